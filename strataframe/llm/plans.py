@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm import markup, scans
+from strataframe.llm import language, markup, scans, split
 from strataframe.tables import one_delivery, read
 
 
@@ -30,5 +30,38 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_repaired(spark, sf_dir).select("doc_id", "anchor", F.explode("noise").alias("noise"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_repaired": p5_repaired}
-ORACLE: dict[str, str] = {}
+def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.split_oversized(_bodies(spark, sf_dir))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_pieces(spark, sf_dir).filter("piece_no = 1").select("doc_id", "anchor")
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = read(spark, sf_dir, "sections").filter(F.trim("anchor") != "").select("doc_id", "anchor", "language", "loaded_at")
+    return one_delivery(named, ["doc_id", "anchor"]).select("doc_id", "anchor", F.col("language").alias("label"))
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    bodies, labels = _bodies(spark, sf_dir), _labels(spark, sf_dir)
+    model = language.train(bodies.join(labels, ["doc_id", "anchor"]).select("label", F.col("body").alias("text")))
+    return language.segments(bodies, model), labels
+
+
+def p6_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _segments(spark, sf_dir)[0]
+
+
+def p6_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.documents(_segments(spark, sf_dir)[0])
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.mislabelled(*_segments(spark, sf_dir))
+
+
+QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_segments": p6_segments, "p6_documents": p6_documents, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_repaired": p5_repaired}
+ORACLE: dict[str, str] = {
+    "p3_found": "SELECT DISTINCT doc_id, anchor FROM content_sections WHERE length(body) > 6000",
+}

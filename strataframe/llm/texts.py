@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 
 CJK = "぀-ヿ㐀-䶿一-鿿豈-﫿ー"
 _CJK = re.compile(f"[{CJK}]")
-_END = re.compile(r"""([.!?…]+["'”’»)\]]*(?=\s|$)|[。！？]+[」』”’）]*)""")
+_END = re.compile(rf"""([.!?…]+["'”’»)\]]*(?=\s|$|{_CJK.pattern})|[。！？]+[」』”’）]*)""")
+_UNIT = re.compile(r"\d\s?[^\W\d_]{1,3}\.$")
 _ABBREVIATION = re.compile(r"(?:^|[\s(])(?:\d+|[A-Za-z]|no|nr|fig|sec|vol|pp?|approx|min|max|typ|e\.g|i\.e|z\.B|bzw|ca)\.$", re.I)
 
 
@@ -30,7 +31,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
         start = p.start()
         for m in _END.finditer(text, p.start(), p.end()):
             piece = text[start : m.end()]
-            if m[0][0] == "." and _ABBREVIATION.search(piece) and not re.search(r"\d\.$", piece.rstrip()):
+            if m[0][0] == "." and _ABBREVIATION.search(piece) and not re.search(r"\d\.$", piece) and not _UNIT.search(piece):
                 continue
             # entries that stand on lines of their own before a sentence aren't part of it
             cut = max((x.end() for x in re.finditer(r"\n", piece) if _starts_anew(piece[: x.start()], piece[x.end() :])), default=0)
