@@ -24,9 +24,10 @@ LANGUAGES = ("en", "zh", "de", "fr", "es", "ja", "pt", "nl")
 # English names of the languages.
 NAMES = {"english": "en", "chinese": "zh", "german": "de", "french": "fr", "spanish": "es", "japanese": "ja", "portuguese": "pt", "dutch": "nl"}
 BUCKETS, ORDER = 1 << 16, 3
-SAMPLE_TEXTS = 1500  # of labelled texts for each language; the fit's only bound
-SAMPLE_SENTENCES = 48  # of each of them
+SAMPLE_TEXTS = 800  # of labelled texts for each language; the fit's only bound
+SAMPLE_SENTENCES = 32  # of each of them
 CONFIDENT = 0.9
+CHUNK = 2000  # sentences that are in memory as n-grams at once
 
 
 def label(text: str | None) -> str | None:
@@ -66,9 +67,10 @@ def fit(texts: list[str], labels: list[int], k: int) -> np.ndarray:
     """Log probabilities, buckets x languages, smoothed; equal in every bucket for no texts."""
     counts = np.full((BUCKETS, k), 0.1)
     y = np.asarray(labels, np.int64)
-    for b, begin in hashed(texts):
-        sizes = np.diff(np.append(begin, len(b)))
-        counts += np.bincount(b * k + np.repeat(y, sizes), minlength=BUCKETS * k).reshape(BUCKETS, k)
+    for at in range(0, len(texts), CHUNK):
+        for b, begin in hashed(texts[at : at + CHUNK]):
+            sizes = np.diff(np.append(begin, len(b)))
+            counts += np.bincount(b * k + np.repeat(y[at : at + CHUNK], sizes), minlength=BUCKETS * k).reshape(BUCKETS, k)
     return np.log(counts / counts.sum(0)).astype(np.float32)
 
 
@@ -77,6 +79,8 @@ def scores(model: np.ndarray, texts: list[str]) -> np.ndarray:
 
     As n-grams overlap, a text has the weight of about the square root of their number only.
     """
+    if len(texts) > CHUNK:
+        return np.concatenate([scores(model, texts[at : at + CHUNK]) for at in range(0, len(texts), CHUNK)])
     out, size = np.zeros((len(texts), model.shape[1])), np.ones(len(texts))
     if not texts:
         return out
@@ -168,7 +172,7 @@ def segments(sections: DataFrame, model: np.ndarray) -> DataFrame:
             spans = [sentences(t) for t in texts]
             out = []
             flat = [t[x:y] for t, s in zip(texts, spans) for x, y in s]
-            p = np.concatenate([scores(shared.value, flat[i : i + 2000]) for i in range(0, len(flat), 2000)]) if flat else np.zeros((0, len(LANGUAGES)))
+            p = scores(shared.value, flat)
             at = 0
             for doc, anchor, t, s in zip(b.doc_id, b.anchor, texts, spans):
                 for x, y, lang, sure, n in stretches(t, s, p[at : at + len(s)]):

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm import language, markup, scans, split
+from strataframe.llm import bpe, language, markup, packing, quality, scans, split
 from strataframe.tables import one_delivery, read
 
 
@@ -61,7 +63,39 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.mislabelled(*_segments(spark, sf_dir))
 
 
-QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_segments": p6_segments, "p6_documents": p6_documents, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_repaired": p5_repaired}
+def vocabulary(spark: SparkSession) -> str:
+    """The vocabulary file: the session's setting, else where the public tokenizers are installed.
+    The folder must be the same on all machines."""
+    return spark.conf.get("strataframe.vocabulary", None) or f"{os.environ.get('TOKENIZERS_DIR', '/opt/tokenizers')}/{bpe.VOCABULARY}"
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, each counted once."""
+    return one_delivery(read(spark, sf_dir, "documents").select("doc_id", "text", "loaded_at"), ["doc_id"]).select("doc_id", "text")
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(_texts(spark, sf_dir), vocabulary(spark))
+
+
+def p9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(bpe.counts(_texts(spark, sf_dir), vocabulary(spark)))
+
+
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boxes = p9_pack(spark, sf_dir).groupBy("container_id").agg(F.sum("n_tokens").alias("used"), F.count("*").alias("n_items"))
+    return boxes.agg(F.count("*").alias("n_containers"), F.sum("used").alias("n_tokens"), F.max("used").alias("fullest"), (F.sum("used") / (F.count("*") * packing.CAPACITY)).alias("fill"))
+
+
+def p10_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.text_quality(_texts(spark, sf_dir), read(spark, sf_dir, "common_words"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_stats(spark, sf_dir).filter("shape != 'prose'").select("doc_id", "shape")
+
+
+QUERIES = {"p8_ids": p8_ids, "p9_pack": p9_pack, "p9_fill": p9_fill, "p10_found": p10_found, "p10_stats": p10_stats, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_segments": p6_segments, "p6_documents": p6_documents, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_repaired": p5_repaired}
 ORACLE: dict[str, str] = {
     "p3_found": "SELECT DISTINCT doc_id, anchor FROM content_sections WHERE length(body) > 6000",
 }

@@ -28,7 +28,7 @@ _BOUNDARIES = [
     (2, re.compile(r"[;:,]\s|[；：，、]")),
     (1, re.compile(r"\s")),
 ]
-_SINGLE = re.compile("[̀-ͯ‍︀-️ั-゙゚ฺ\U0001f3fb-\U0001f3ff]")
+_SINGLE = re.compile("[̀-ͯ‍︀-️゙゚ัิ-ฺ\U0001f3fb-\U0001f3ff]")
 
 
 def boundaries(text: str) -> tuple[np.ndarray, np.ndarray]:

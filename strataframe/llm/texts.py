@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-CJK = "぀-ヿ㐀-䶿一-鿿豈-﫿ー"
+CJK = "぀-ヿ㐀-䶿一-鿿豈-﫿"
 _CJK = re.compile(f"[{CJK}]")
 _END = re.compile(rf"""([.!?…]+["'”’»)\]]*(?=\s|$|{_CJK.pattern})|[。！？]+[」』”’）]*)""")
 _UNIT = re.compile(r"\d\s?[^\W\d_]{1,3}\.$")
