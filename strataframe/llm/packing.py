@@ -211,7 +211,7 @@ def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, salts:
     table = plan(histogram, capacity).table()
     before = parts.select("length", "salt", (F.sum("k").over(Window.partitionBy("length").orderBy("salt")) - F.col("k")).alias("before"))
     ranked = items.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy(key, "piece_no")) - 1)
-    ranked = ranked.join(F.broadcast(before), ["length", "salt"]).select(key, "piece_no", "token_start", "length", (F.col("rank") + F.col("before")).alias("rank"))
+    ranked = ranked.join(before, ["length", "salt"]).select(key, "piece_no", "token_start", "length", (F.col("rank") + F.col("before")).alias("rank"))
     shared = sizes.sparkSession.sparkContext.broadcast(table)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
