@@ -53,14 +53,11 @@ def module_of(entity: Column, parameter: Column, category: Column) -> tuple[Colu
     rule, else the fallback. The rules are ordered expressions, so there is no join at all."""
     cat = F.lower(squeezed(F.coalesce(category, F.lit(""))))
     hay = F.lower(F.concat_ws(" ", F.coalesce(entity, F.lit("")), F.coalesce(parameter, F.lit(""))))
-    found = F.lit(None).cast("string")
-    for key, module in CATEGORY_TO_MODULE:
-        found = F.coalesce(found, F.when(cat.contains(key), module))
-    for module, words in KEYWORD_TO_MODULE:
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | hay.contains(w)
-        found = F.coalesce(found, F.when(hit, module))
+    rules = [(cat.contains(key), module) for key, module in CATEGORY_TO_MODULE]
+    rules += [(hay.rlike("|".join(words)), module) for module, words in KEYWORD_TO_MODULE]
+    found = F.when(*rules[0])
+    for hit, module in rules[1:]:
+        found = found.when(hit, module)
     return F.coalesce(found, F.lit(FALLBACK)), found.isNull()
 
 
