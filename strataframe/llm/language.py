@@ -1,7 +1,7 @@
 """Languages of texts and of their stretches.
 
-A multinomial naive Bayes model over hashed character n-grams (one to three characters, spaces and
-both ends of the text as characters). It is trained on a bounded sample of sentences with the labels
+A multinomial naive Bayes model over hashed character n-grams (two and three characters, spaces
+and both ends of the text as characters). It is trained on a bounded sample of sentences with the labels
 that their documents have; as some labels are wrong, the fit is repeated on the labels that the
 first fit gives. The matrix of log probabilities (buckets x languages) is broadcast, and whole
 batches of sentences are scored at once in numpy.
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.llm import markup, scans
@@ -23,8 +23,9 @@ from strataframe.llm.texts import sentences
 LANGUAGES = ("en", "zh", "de", "fr", "es", "ja", "pt", "nl")
 # English names of the languages.
 NAMES = {"english": "en", "chinese": "zh", "german": "de", "french": "fr", "spanish": "es", "japanese": "ja", "portuguese": "pt", "dutch": "nl"}
-BUCKETS, ORDER = 1 << 16, 3
-SAMPLE_TEXTS = 800  # of labelled texts for each language; the fit's only bound
+BUCKETS, ORDER = 1 << 16, 3  # n-grams of two and three characters
+SAMPLE_TEXTS = 400  # of labelled texts for each language; the fit's only bound
+SAMPLE_CHARS = 20_000  # of each of them, for the fit only
 SAMPLE_SENTENCES = 32  # of each of them
 CONFIDENT = 0.9
 CHUNK = 2000  # sentences that are in memory as n-grams at once
@@ -51,6 +52,8 @@ def hashed(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         m = len(c) - n + 1
         h = h[:m] * np.uint32(0x9E3779B1) + c[n - 1 :]
         broken = broken[:m] | ends[n - 1 :]
+        if n < 2:
+            continue
         keep = ~broken
         x = h[keep] * np.uint32(0x85EBCA6B)
         x ^= x >> np.uint32(15)
@@ -94,8 +97,11 @@ def scores(model: np.ndarray, texts: list[str]) -> np.ndarray:
     return p / p.sum(1, keepdims=True)
 
 
+_PAGED = re.compile(r"^[ \t]*(?:[-—–~][ \t]*\d+[ \t]*[-—–~]|\[\d+\]|\d{1,4}\.?|(?:page|p\.)[ \t]*\d+.*|\d+[ \t]*/[ \t]*\d+)[ \t]*$|\x0c", re.M | re.I)
+
+
 def plain(body: str | None, doc: str | None = "") -> str:
-    """Running text of a body: without mark-up, code, page lines and broken words."""
+    """Text of a body without mark-up, headings, tables, code and lines of scanned pages."""
     if not isinstance(body, str) or not body.strip():
         return ""
     if markup._ANY.search(body):
@@ -103,35 +109,46 @@ def plain(body: str | None, doc: str | None = "") -> str:
         if any(b.strong for b in bs):
             body = "\n\n".join(b.text or "" for b in bs if b.kind not in ("code", "formula", "heading", "table", "navigation"))
             return re.sub(r"^[ \t]*#{1,6} .*$", "\n", body, flags=re.M)
-    if "\n" in body or "\r" in body:
-        lines, _ = scans.layout(body, doc or "")
-        return scans.joined(lines)[0]
+    if "\n" in body:
+        words = (doc or "").lower().split()[:2]  # a document's number and name, as heading lines have them
+        low = body.lower() if words else ""
+        if any(map(low.__contains__, words)) or _PAGED.search(body):
+            return scans.joined(scans.layout(body, doc or "")[0])[0]
     return body
 
 
-def train(labelled: DataFrame, per_language: int = SAMPLE_TEXTS) -> np.ndarray:
-    """A model from texts with labels (label, text), of which the ``per_language`` with the smallest
-    hashes are taken for each label, so that the sample is bounded and the same in any order."""
-    named = F.lower(F.trim("label"))
-    code = F.coalesce(F.create_map(*(F.lit(x) for kv in NAMES.items() for x in kv))[named], F.regexp_extract(named, "^([a-z]{2})(?:[-_].*)?$", 1))
-    rows = labelled.select(code.alias("code"), "text").filter(F.col("code").isin(*LANGUAGES) & (F.length("text").between(60, 20_000)))
-    share = rows.groupBy("code").agg(F.count("*").alias("n"))
-    rate = {r.code: min(1.0, per_language / r.n) for r in share.collect()}
-    cut = F.create_map(*(F.lit(x) for kv in rate.items() for x in kv)) if rate else None
-    if cut is None:
+def _code(label: Column) -> Column:
+    named = F.lower(F.trim(label))
+    names = F.create_map(*(F.lit(x) for kv in NAMES.items() for x in kv))
+    code = F.coalesce(names[named], F.regexp_extract(named, "^([a-z]{2})(?:[-_][a-z0-9]{2,8})*$", 1))
+    return F.when(code.isin(*LANGUAGES), code)
+
+
+def train(labels: DataFrame, sections: DataFrame, per_language: int = SAMPLE_TEXTS) -> np.ndarray:
+    """A model from bodies (doc_id, anchor, body) with labels (doc_id, anchor, label).
+
+    About ``per_language`` bodies of each label are taken by the hash of their key, so the sample is
+    bounded and the same in any order. The keys are chosen without reading bodies, and sent to the
+    scan of the bodies, which then moves the sample only.
+    """
+    keys = labels.select("doc_id", "anchor", _code(F.col("label")).alias("code")).filter("code is not null")
+    rate = {r.code: min(1.0, per_language / r.n) for r in keys.groupBy("code").agg(F.count("*").alias("n")).collect()}
+    if not rate:
         return np.zeros((BUCKETS, len(LANGUAGES)), np.float32)
-    unit = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = rows.filter(unit < cut[F.col("code")]).select("code", "text").limit(2 * per_language * len(LANGUAGES)).collect()
-    texts, labels = [], []
-    for r in sorted(sample, key=lambda r: (r.code, r.text)):
-        t = plain(r.text)
+    cut = F.create_map(*(F.lit(x) for kv in rate.items() for x in kv))
+    unit = F.pmod(F.xxhash64("doc_id", "anchor"), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    chosen = keys.filter(unit < cut[F.col("code")]).limit(2 * per_language * len(LANGUAGES))
+    sample = sections.filter(F.length("body") >= 60).join(F.broadcast(chosen), ["doc_id", "anchor"]).groupBy("doc_id", "anchor", "code").agg(F.first(F.substring("body", 1, SAMPLE_CHARS)).alias("body")).collect()
+    texts, y = [], []
+    for r in sorted(sample, key=lambda r: (r.code, r.doc_id, r.anchor)):
+        t = plain(r.body, r.doc_id)
         for a, b in sentences(t)[:SAMPLE_SENTENCES]:
             texts.append(t[a:b])
-            labels.append(LANGUAGES.index(r.code))
-    model = fit(texts, labels, len(LANGUAGES))
+            y.append(LANGUAGES.index(r.code))
+    model = fit(texts, y, len(LANGUAGES))
     for _ in range(2):  # wrong labels and foreign sentences are few; the fit itself corrects them
-        labels = scores(model, texts).argmax(1).tolist()
-        model = fit(texts, labels, len(LANGUAGES))
+        y = scores(model, texts).argmax(1).tolist()
+        model = fit(texts, y, len(LANGUAGES))
     return model
 
 
@@ -168,7 +185,7 @@ def segments(sections: DataFrame, model: np.ndarray) -> DataFrame:
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = [plain(x, d) for x, d in zip(b.body, b.doc_id)]
+            texts = list(map(plain, b.body, b.doc_id))
             spans = [sentences(t) for t in texts]
             out = []
             flat = [t[x:y] for t, s in zip(texts, spans) for x, y in s]
@@ -191,9 +208,7 @@ def documents(found: DataFrame) -> DataFrame:
 
 def mislabelled(found: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, anchor, language of the bodies whose label (doc_id, anchor, label) isn't their one language."""
-    named = F.lower(F.trim("label"))
-    code = F.coalesce(F.create_map(*(F.lit(x) for kv in NAMES.items() for x in kv))[named], F.regexp_extract(named, "^([a-z]{2})(?:[-_][a-z0-9]{2,8})*$", 1))
     langs = found.groupBy("doc_id", "anchor").agg(F.collect_set("language").alias("languages"))
-    both = langs.join(labels.select("doc_id", "anchor", code.alias("code")), ["doc_id", "anchor"], "left")
+    both = langs.join(labels.select("doc_id", "anchor", _code(F.col("label")).alias("code")), ["doc_id", "anchor"], "left")
     wrong = both.filter((F.size("languages") > 1) | F.col("code").isNull() | (F.col("languages")[0] != F.col("code")))
     return wrong.select("doc_id", "anchor", F.explode("languages").alias("language"))

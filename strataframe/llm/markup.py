@@ -66,6 +66,16 @@ _STRONG = {
         re.compile(r"(?<![\\\w])\\[#%&_$](?=\w)|(?<=\w)\\[%&_,;](?!\w*\\)|(?<=\d)\\[,;]"),
     ],
 }
+#: What a text must hold for a pattern to match at all, by notation and in the order of the patterns.
+_NEEDS = {
+    "html": ["<", "<!", "&"],
+    "markdown": ["]", "]:", "**", "__", "~~", "---", "\n", "`", "> ", "#", "- ["],
+    "wiki": ["==", "[[", "{{", "|", "''", "__", ". ", "|", "{", "||"],
+    "latex": ["\\", "\\", "\\", "\\", "$$", "$", "\\"],
+}
+_GATED = {n: list(zip(_NEEDS[n], _STRONG[n], strict=True)) for n in _STRONG}
+
+
 #: Constructs of short blocks that several notations share, and to which they may go.
 _WEAK = [
     (re.compile(r"^#{1,6}[ \t]+\S", re.M), ("markdown", "wiki")),
@@ -91,6 +101,7 @@ _FORMULA = [
     ("wiki", re.compile(r"<math\b[^>]*>(.*?)</math>", re.S | re.I), 1),
     ("html", re.compile(r"<p\b[^>]*class=['\"]?eq['\"]?[^>]*>(.*?)</p\s*>", re.S | re.I), 1),
 ]
+_HELD = {"markdown": ("```", "~~~"), "html": ("<p",), "wiki": ("{", "<"), "latex": ("\\", "$$")}
 _ANY = re.compile(r"[<&#*_`~\[{=\\$|>]|''|^h[1-6]\.|^bq\.|^-{4}|^[;:] ", re.M)
 _BLOCK_TAG = re.compile(r"</?(?:p|div|h[1-6]|ul|ol|li|table|tr|pre|hr|blockquote|dl|dt|dd|section|article|header|footer|nav|body|html|head|title|form|tbody|thead|caption)\b[^<>]*>", re.I)
 
@@ -133,7 +144,8 @@ def _cut(text: str) -> list[Block]:
 
     for kind, table in (("code", _CODE), ("formula", _FORMULA)):
         for notation, pattern, group in table:
-            text = pattern.sub(keep(kind, notation, group), text)
+            if any(map(text.__contains__, _HELD[notation])):
+                text = pattern.sub(keep(kind, notation, group), text)
     out: list[Block] = []
     for piece in re.split(r"\n[ \t]*(?:\n[ \t]*)+", text):
         if m := re.fullmatch(r"\s*\x00(\d+)\x00\s*", piece):
@@ -157,10 +169,10 @@ def blocks(text: str) -> list[Block]:
     for b in out:  # first pass: rules
         if b.kind:
             continue
-        bare = _PATH.sub(" ", b.raw)
+        bare = _PATH.sub(" ", b.raw) if "\\" in b.raw else b.raw
         # the empty line that ended the block counts as one, so that headings stand alone
-        for notation, patterns in _STRONG.items():
-            if any(p.search(bare) for p in patterns):
+        for notation, gated in _GATED.items():
+            if any(need in bare and p.search(bare) for need, p in gated):
                 b.strong.add(notation)
         if "wiki" in b.strong and "latex" in b.strong and not any(p.search(re.sub(r"\{\{.*?\}\}", "", bare, flags=re.S)) for p in _STRONG["latex"]):
             b.strong.discard("latex")
@@ -180,6 +192,8 @@ def blocks(text: str) -> list[Block]:
             if of := [n for n in b.weak if n in out[j].strong]:
                 b.strong = {of[0]}
                 break
+    if not any(b.strong for b in out):  # a plain text needs no cleaning
+        return out
     for i, b in enumerate(out):
         if not b.kind:
             b.text = _clean(b)

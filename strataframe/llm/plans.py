@@ -47,7 +47,7 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _segments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     bodies, labels = _bodies(spark, sf_dir), _labels(spark, sf_dir)
-    model = language.train(bodies.join(labels, ["doc_id", "anchor"]).select("label", F.col("body").alias("text")))
+    model = language.train(labels, read(spark, sf_dir, "content_sections").select("doc_id", "anchor", "body"))
     return language.segments(bodies, model), labels
 
 

@@ -27,22 +27,24 @@ def sentences(text: str) -> list[tuple[int, int]]:
     is no sentence, nor are fewer than four words or eight characters without spaces.
     """
     out = []
-    for p in re.finditer(r"[^\n]+(?:\n(?!\s*\n)[^\n]+)*", text):
+    for p in _PARAGRAPH.finditer(text):
         start = p.start()
         for m in _END.finditer(text, p.start(), p.end()):
-            piece = text[start : m.end()]
-            if m[0][0] == "." and _ABBREVIATION.search(piece) and not re.search(r"\d\.$", piece) and not _UNIT.search(piece):
+            end = m.end()
+            if m[0][0] == "." and _ABBREVIATION.search(tail := text[max(start, end - 14) : end]) and not tail[-2:-1].isdigit() and not _UNIT.search(tail):
                 continue
-            # entries that stand on lines of their own before a sentence aren't part of it
-            cut = max((x.end() for x in re.finditer(r"\n", piece) if _starts_anew(piece[: x.start()], piece[x.end() :])), default=0)
-            body = piece[cut:].strip()
-            cjk = len(_CJK.findall(body))
-            if cjk >= 8 or len(re.findall(r"[^\W\d_]+", body)) >= 4:
-                out.append((start + cut, m.end()))
-            start = m.end()
+            piece = text[start:end]
+            if "\n" in piece:  # entries on lines of their own before a sentence aren't part of it
+                cut = max((i + 1 for i, ch in enumerate(piece) if ch == "\n" and _starts_anew(piece[:i], piece[i + 1 :])), default=0)
+                start, piece = start + cut, piece[cut:]
+            if piece.count(" ", 1) >= 3 and len(_LETTERS.findall(piece)) >= 4 or not piece.isascii() and len(_CJK.findall(piece)) >= 8:
+                out.append((start, end))
+            start = end
     return out
 
 
+_LETTERS = re.compile(r"[^\W\d_]+")
+_PARAGRAPH = re.compile(r"[^\n]+(?:\n(?!\s*\n)[^\n]+)*")
 _BULLET = re.compile(r"\s*(?:[-*+•·–—▪◦‣#]+\s|\(?\d{1,3}[.)]\s|\(?[a-z][.)]\s|[A-Z]{2,}-\d+)")
 
 
