@@ -42,7 +42,7 @@ def label(text: str | None) -> str | None:
 
 def hashed(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each order of n-grams: the buckets of all texts in a row, and where each text begins."""
-    joined = "".join(" " + _OTHER.sub(" ", t.lower()).strip() + " \n" for t in texts)
+    joined = "".join(f" {x} \n" if (x := _OTHER.sub(" ", t.lower()).strip()) else "\n" for t in texts)
     c = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
     ends = c == 10
     broken, h = np.zeros(len(c), bool), np.zeros(len(c), np.uint32)

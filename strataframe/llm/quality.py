@@ -283,7 +283,7 @@ def _junk_words(words: list[str], cjk: int) -> bool:
     if cjk * 3 > len(words):
         return False
     spaced = [w for w in words if w.isalpha()]
-    if len(spaced) * 3 < len(words):
+    if len(spaced) * 5 < len(words):
         return True
     letters = "".join(spaced)
     return len(_VOWELS.findall(letters)) < 0.22 * max(1, len(letters))
