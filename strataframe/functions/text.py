@@ -211,10 +211,12 @@ def json_list(raw: Column) -> Column:
     return F.nullif(F.when(t.startswith("["), t).otherwise(inner), F.lit(""))
 
 
-def redacted(text: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
-    """Text with ordered rules (pattern, replacement) applied, and the number of replacements."""
+def redacted(text: Column, rules: list[tuple[str, ...]]) -> tuple[Column, Column]:
+    """Text with ordered rules (pattern, replacement) applied, and the number of replacements. A rule
+    may name, third, a text without which its pattern can't match; it is looked for first."""
     n = F.lit(0)
-    for pattern, to in rules:
-        n = n + F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))
-        text = F.regexp_replace(text, pattern, to)
+    for pattern, to, *needs in rules:
+        hit = text.contains(needs[0]) if needs else F.lit(True)
+        n = n + F.when(hit, F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))).otherwise(0)
+        text = F.when(hit, F.regexp_replace(text, pattern, to)).otherwise(text)
     return text, n

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strataframe.functions import text as X
 from strataframe.tables import read
 
-REDACTION = [(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[email]"), (r"[MH][0-9]{7}", "[doc]"), (r"CONFIDENTIAL", "[mark]")]
+REDACTION = [(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[email]", "@"), (r"[MH][0-9]{7}", "[doc]"), (r"CONFIDENTIAL", "[mark]", "CONFIDENTIAL")]
 
 
 def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +149,7 @@ def slug_sql(column: str, fallback: str, hyphen: bool = True) -> str:
 
 def _redact(column: str) -> tuple[str, str]:
     n = []
-    for pattern, to in REDACTION:
+    for pattern, to, *_ in REDACTION:
         n.append(f"len(regexp_extract_all({column}, '{pattern}'))")
         column = f"regexp_replace({column}, '{pattern}', '{to}', 'g')"
     return column, " + ".join(n)
