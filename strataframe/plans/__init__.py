@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-MODULES = ("problems", "text_queries", "section_queries", "store_queries")
+MODULES = ("problems", "text_queries", "section_queries", "store_queries", "page_queries")
 
 
 def _gather(name: str) -> dict:
