@@ -29,6 +29,7 @@ _TAG = re.compile(r"<[a-zA-Z/!][^<>]{0,300}>")
 _ROW_HTML = re.compile(r"<t[dh]\b", re.I)
 _CJK = re.compile(f"[{CJK}]")
 _WORD = re.compile(f"[{CJK}]|[^\\W_{CJK}]+(?:['’][^\\W_{CJK}]+)*")
+_ASCII_WORD, _SPACED_WORD = re.compile("[a-z0-9]+(?:'[a-z0-9]+)*"), re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _END = re.compile(r"[.!?。！？…][\"'”’»)\]」』]*$")
 _BULLET = re.compile(r"(?:[-*+•·–—▪◦‣○●■□o»>]|\(?\d{1,4}[.)]|\(?[a-zA-Z][.)]|\d{1,3}(?:\.\d{1,3})+\.?|[A-Z]{2,6}[-_ ]?\d{1,6}[:.)]?|\[[ xX]?\])\s+\S")
 _LEADER = re.compile(r"(?:\.\s?){4,}\s*\d*$|…{2,}\s*\d*$")
@@ -122,8 +123,9 @@ def list_lines(lines: list[str]) -> list[bool]:
     periodic = len(set(indents)) > 1 and len(set(indents)) <= 6 and all(indents.count(k) > 1 for k in set(indents))
     out = [False] * len(lines)
     for k, s in enumerate(strip):
-        ended = bool(_END.search(s)) and not _LEADER.search(s)
-        if _LEADER.search(s):
+        led = (".." in s or ". ." in s or "…" in s) and _LEADER.search(s) is not None
+        ended = not led and _ends(s)
+        if led:
             out[k] = sizes[k] <= 160
         elif _BULLET.match(s):
             out[k] = sizes[k] <= 110 and not (ended and sizes[k] > 45)
@@ -182,15 +184,21 @@ def measure(text: str | None, common: Common) -> tuple:
         clean = re.sub(r"</tr>\s*", "\n", re.sub(r"</t[dh]>\s*(?=<t[dh])", "\t", clean, flags=re.I), flags=re.I).replace("&nbsp;", " ")
     if "<" in clean:
         clean = _TAG.sub("", clean)
-    words = _WORD.findall(clean.lower())
     solid = sum(map(len, clean.split())) or 1
-    cjk = len(_CJK.findall(clean))
-    symbols = solid - sum(map(len, words))
-    lines = [x for x in clean.split("\n") if x.strip()]
-    ended = sum(bool(_END.search(x.strip())) for x in lines) / max(1, len(lines))
+    plain = clean.isascii()
+    cjk = 0 if plain else len(_CJK.findall(clean))
+    words = (_ASCII_WORD if plain else _WORD if cjk else _SPACED_WORD).findall(clean.lower())  # the same words
+    written = sum(map(len, words))
+    lines = [x for x in clean.split("\n") if x and not x.isspace()]
+    ended = sum(map(_ends, lines)) / max(1, len(lines))
     share = common.share(words, clean, cjk)
-    stats = len(words), sum(map(len, words)) / max(1, len(words)), symbols / solid, ended, share
-    return (*stats, _shape(clean, lines, words, solid, cjk, common))
+    stats = len(words), written / max(1, len(words)), (solid - written) / solid, ended, share
+    return (*stats, _shape(clean, lines, words, solid, written, cjk, plain, common))
+
+
+def _ends(line: str) -> bool:
+    """Whether a line ends like a sentence."""
+    return _END.search(line.rstrip()[-8:]) is not None
 
 
 def _valid(piece: str, common: Common) -> bool:
@@ -216,6 +224,9 @@ def _block(lines: list[str], common: Common) -> tuple[int, int]:
     """Characters of sentences and of list entries in one block of lines that is no table."""
     if all(map(_HEADING.match, map(str.strip, lines))):
         return 0, 0
+    if len(lines) == 1 and not _BULLET.match(text := lines[0].strip()):
+        got = sum(b - a - text.count(" ", a, b) for a, b in _covered(text, common))
+        return (got, 0) if got * 2 >= len(text) - text.count(" ") else (got, (len(text) - text.count(" ")) * list_lines(lines)[0])
     text, places = "", []
     for x in lines:
         x = x.strip()
@@ -248,11 +259,12 @@ def _entry(line: str) -> bool:
     return bool(_BULLET.match(line)) or len(line) <= 50 and not _END.search(line) and not _HEADING.match(line)
 
 
-def _shape(clean: str, lines: list[str], words: list[str], solid: int, cjk: int, common: Common) -> str:
-    odd = len(_MOJIBAKE.findall(clean)) * 2 + sum(map(len, _ESCAPE.findall(clean)))
-    if odd > 0.15 * solid or len(_BROKEN.findall(clean)) > 0.03 * solid or repeated(words) > 0.6:
+def _shape(clean: str, lines: list[str], words: list[str], solid: int, written: int, cjk: int, plain: bool, common: Common) -> str:
+    odd = 0 if plain else len(_MOJIBAKE.findall(clean)) * 2
+    if any(map(clean.__contains__, ("\\x", "%", "0x", "??", "&&", "\x00"))):
+        odd += sum(map(len, _ESCAPE.findall(clean))) + 2 * clean.count("\x00") * plain
+    if odd > 0.15 * solid or not plain and len(_BROKEN.findall(clean)) > 0.03 * solid or repeated(words) > 0.6:
         return "junk"
-    written = sum(map(len, words))
     bare = solid - sum(len(m[0]) - m[0].count(" ") for m in _LEADERS.finditer(clean)) if ".." in clean or ". ." in clean or "__" in clean or "…" in clean else solid
     rows = table_lines(lines)
     in_rows = sum(len(x) - x.count(" ") for x, r in zip(lines, rows) if r)
