@@ -64,6 +64,38 @@ def ancestors(sections: DataFrame, depth: int, most: int = 24) -> DataFrame:
     return sections.withColumn("top", top).filter((F.col("depth") >= depth) & F.col("top").isNotNull()).select("doc_id", "node_id", "top")
 
 
+def spec_owners(docs: DataFrame, subsystems: DataFrame, systems: DataFrame) -> DataFrame:
+    """doc_id, system, subsystem: all subsystems that own a document. Directly by a spec of their own
+    (subsystems: system, subsystem, title, glob); where there is none, by a spec of their system
+    (systems: system, glob) and a word that the document's name and the subsystem's title share."""
+    d = docs.select("doc_id").distinct()
+    own = rule_table(subsystems.filter("glob is not null").select("system", "subsystem", X.glob_pattern(F.col("glob")).alias("pattern")))
+    direct = d.join(own, F.expr("lower(doc_id) rlike pattern")).select("doc_id", "system", "subsystem").distinct()
+    rest = d.join(direct.select("doc_id").distinct(), "doc_id", "left_anti")
+    above = rule_table(systems.select("system", X.glob_pattern(F.col("glob")).alias("pattern")))
+    under = rest.join(above, F.expr("lower(doc_id) rlike pattern")).select("doc_id", "system").distinct().withColumn("word", F.explode(X.tokens(F.col("doc_id"))))
+    titles = rule_table(subsystems.select("system", "subsystem", F.explode(X.tokens(F.col("title"))).alias("word")).distinct())
+    return direct.unionByName(under.join(titles, ["system", "word"]).select("doc_id", "system", "subsystem").distinct())
+
+
+def spec_sections(sections: DataFrame, owners: DataFrame, parts: DataFrame) -> DataFrame:
+    """doc_id, node_id, path of the sections of owned documents that are parts or functions.
+
+    A heading of depth 1 whose slug is a part of the owner (parts: system, subsystem, part, function or
+    null) has the part's path; one of depth 2 below it the function's if it is one, else the part's.
+    Where a document has several owners, the last in order gives the path.
+    """
+    one = sections.filter("depth = 1").select("doc_id", F.col("node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("part"))
+    known = parts.select("system", "subsystem", "part").distinct()
+    tops = one.join(owners, "doc_id").join(known, ["system", "subsystem", "part"]).withColumn("base", F.concat_ws("/", "system", "subsystem", "part"))
+    two = sections.filter("depth = 2").select("doc_id", "node_id", F.col("parent_node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("function"))
+    functions = parts.filter("function is not null").select("system", "subsystem", "part", "function", F.lit(True).alias("known")).distinct()
+    deep = two.join(tops, ["doc_id", "top"]).join(functions, ["system", "subsystem", "part", "function"], "left")
+    deep = deep.select("doc_id", "node_id", F.when(F.col("known"), F.concat_ws("/", "base", "function")).otherwise(F.col("base")).alias("path"), "base")
+    rows = tops.select("doc_id", F.col("top").alias("node_id"), F.col("base").alias("path"), "base").unionByName(deep)
+    return rows.groupBy("doc_id", "node_id").agg(F.max_by("path", F.struct("base", "path")).alias("path"))
+
+
 def route(evidence: DataFrame, specs: DataFrame, keywords: DataFrame, headings: DataFrame, sections: DataFrame, own_doc: str, doc_words: bool = False) -> DataFrame:
     """doc_id, anchor, title, slug of evidence (doc_id, node_id, anchor, title).
 

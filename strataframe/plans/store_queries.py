@@ -207,6 +207,23 @@ def taxonomy_v2(s: SparkSession, d: str) -> DataFrame:
     return one.join(two, ["doc_id", "top"], "left").groupBy("doc_id", "system").agg(F.count("subsystem").alias("n_subsystems"), F.min("subsystem").alias("first_subsystem"))
 
 
+SUBSYSTEMS = [("thermal", "pads", "Thermal pad", "*thermal*"), ("audio", "bracket", "Speaker bracket", None), ("audio", "boot", "Microphone boot", None), ("power", "tray", "Battery tray", "*battery*")]
+SYSTEMS = [("audio", "*speaker*"), ("power", "*charger*")]
+
+
+def spec_owners(s: SparkSession, d: str) -> DataFrame:
+    return routing.spec_owners(nodes(s, d), _values(s, SUBSYSTEMS, "system string, subsystem string, title string, glob string"), _values(s, SYSTEMS, "system string, glob string"))
+
+
+def spec_section_map(s: SparkSession, d: str) -> DataFrame:
+    """Sections of owned documents; the parts and functions are the headings of the documents' owners."""
+    n, o = nodes(s, d), spec_owners(s, d)
+    one = n.filter("depth = 1").select("doc_id", F.col("node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("part"))
+    two = n.filter("depth = 2 and ord % 2 = 0").select("doc_id", F.col("parent_node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("function"))
+    parts = one.join(two, ["doc_id", "top"], "left").join(o, "doc_id").select("system", "subsystem", "part", "function").distinct()
+    return routing.spec_sections(n, o, parts)
+
+
 def fact_pages(s: SparkSession, d: str) -> DataFrame:
     """Rendered rows of a document's facts, counted and hashed by module."""
     c = _classified(s, d).select("atom_no", "module")
@@ -216,7 +233,7 @@ def fact_pages(s: SparkSession, d: str) -> DataFrame:
 
 
 
-QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_counts, taxonomy_v1, taxonomy_v2, fact_pages)}
+QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, fact_pages)}
 
 _STEM = r"regexp_replace(regexp_extract(source_path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1')"
 _DOMAIN = "regexp_extract(source_path, '^in/([^/]*)/', 1)"
@@ -264,6 +281,7 @@ def _route_sql(doc_words: bool) -> str:
 _PROMPTS = f"(SELECT doc_id, anchor, title, {PROMPT_SQL} AS prompt_hash FROM {BODIES})"
 _RESPONSES = f"(SELECT prompt_hash, min(title) AS response FROM {_PROMPTS} WHERE length(title) % 3 = 0 GROUP BY 1)"
 _SLUG2 = r"coalesce(nullif(trim(regexp_replace(lower(trim(title, {w})), '[^a-z0-9\x{{4e00}}-\x{{9fff}}]+', '-', 'g'), '-'), ''), 'unknown')".format(w=_WSP)
+_OWNERS = f"(WITH d AS (SELECT DISTINCT doc_id FROM sections), u AS (SELECT * FROM ({_rows([tuple(chr(0) if x is None else x for x in r) for r in SUBSYSTEMS])}) t(system, subsystem, title, pattern)), a AS (SELECT DISTINCT doc_id, system, subsystem FROM d JOIN u ON lower(doc_id) GLOB lower(pattern)), r AS (SELECT doc_id, unnest({tokens_sql('doc_id')}) AS word FROM d WHERE doc_id NOT IN (SELECT doc_id FROM a)), y AS (SELECT system, pattern FROM ({_rows(SYSTEMS)}) t(system, pattern)), w AS (SELECT system, subsystem, unnest({tokens_sql('title')}) AS word FROM u) SELECT * FROM a UNION SELECT r.doc_id, w.system, w.subsystem FROM r JOIN y ON lower(r.doc_id) GLOB lower(y.pattern) JOIN w ON w.system = y.system AND w.word = r.word)".replace(chr(0), "-")
 _LINE = "'- ' || coalesce(entity, '') || ' / ' || coalesce(parameter, '') || ': ' || coalesce(value, '—')"
 ORACLE = {
     "manifest_upsert": f"SELECT key, source_path, source_sha256, status, adapter_name, output_sha256 FROM {_LATEST}",
@@ -295,5 +313,7 @@ ORACLE = {
     "route_counts": f"SELECT slug, count(*) AS n_evidence, count(DISTINCT doc_id) AS n_docs FROM ({_route_sql(True)}) GROUP BY 1",
     "taxonomy_v1": f"WITH n AS (SELECT * FROM {NODES} WHERE doc_id = '{OWN_DOC}'), t AS (SELECT node_id, title, (SELECT arg_max(b.node_id, b.ord) FROM n b WHERE b.depth = 1 AND b.ord <= a.ord) AS top FROM n a WHERE depth >= 1), w AS (SELECT top, string_agg(DISTINCT word, ' ' ORDER BY word) AS keywords FROM (SELECT top, unnest({tokens_sql('title')}) AS word FROM t WHERE node_id <> top) GROUP BY 1) SELECT ord, {_SLUG2} AS slug, title AS category, coalesce(keywords, '') AS keywords FROM n LEFT JOIN w ON n.node_id = w.top WHERE depth = 1",
     "taxonomy_v2": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES}) SELECT a.doc_id, a.slug AS system, count(b.slug) AS n_subsystems, min(b.slug) AS first_subsystem FROM n a LEFT JOIN n b ON a.doc_id = b.doc_id AND b.depth = 2 AND b.parent_node_id = a.node_id WHERE a.depth = 1 GROUP BY 1, 2",
+    "spec_owners": f"SELECT doc_id, system, subsystem FROM {_OWNERS}",
+    "spec_section_map": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES}), o AS (SELECT * FROM {_OWNERS}), t AS (SELECT n.doc_id, n.node_id, o.system || '/' || o.subsystem || '/' || n.slug AS base FROM n JOIN o ON n.doc_id = o.doc_id WHERE depth = 1), f AS (SELECT DISTINCT t.base, n.slug AS function FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id WHERE n.depth = 2 AND n.ord % 2 = 0), x AS (SELECT doc_id, node_id, base, base AS path FROM t UNION ALL SELECT t.doc_id, n.node_id, t.base, CASE WHEN f.function IS NULL THEN t.base ELSE t.base || '/' || f.function END FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id AND n.depth = 2 LEFT JOIN f ON f.base = t.base AND f.function = n.slug) SELECT doc_id, node_id, arg_max(path, (base, path)) AS path FROM x GROUP BY 1, 2",
     "fact_pages": f"SELECT a.doc_id, module, count(*) AS n_lines, sum(length({_LINE})) AS n_chars, min({_LINE}) AS first_line FROM {_ATOMS} a JOIN (SELECT atom_no, module FROM {_CLASSIFIED}) c USING (atom_no) GROUP BY 1, 2",
 }
