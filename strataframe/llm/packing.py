@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -214,17 +215,19 @@ def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, salts:
     ranked = ranked.join(before, ["length", "salt"]).select(key, "piece_no", "token_start", "length", (F.col("rank") + F.col("before")).alias("rank"))
     shared = sizes.sparkSession.sparkContext.broadcast(table)
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
-        first = {n: (int(g.index[0]), g.lo.to_numpy(), g.base.to_numpy(), g.each.to_numpy()) for n, g in t.groupby("length")}
+        first = {n: (g.lo.to_numpy(), g.base.to_numpy(), g.each.to_numpy()) for n, g in t.groupby("length")}
         for b in batches:
-            box = np.zeros(len(b), np.int64)
-            for n, rows in b.groupby("length").indices.items():
-                if n > 0:
-                    _, lo, base, each = first[n]
-                    r = b["rank"].to_numpy()[rows]
-                    g = np.searchsorted(lo, r, "right") - 1
-                    box[rows] = base[g] + (r - lo[g]) // each[g]
-            yield pd.DataFrame({"container_id": box, key: b[key], "piece_no": b.piece_no, "token_start": b.token_start, "n_tokens": b.length})
-
-    return ranked.mapInPandas(place, PLACES.format(key=key, kind=kind))
+            length, rank = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
+            box = np.zeros(len(length), np.int64)
+            order = np.argsort(length, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(length[order])) + 1):
+                if len(rows) and (n := int(length[rows[0]])) > 0:
+                    lo, base, each = first[n]
+                    g = np.searchsorted(lo, rank[rows], "right") - 1
+                    box[rows] = base[g] + (rank[rows] - lo[g]) // each[g]
+            kept = [b.column(b.schema.get_field_index(c)) for c in (key, "piece_no", "token_start", "length")]
+            yield pa.RecordBatch.from_arrays([pa.array(box), *kept], names=["container_id", key, "piece_no", "token_start", "n_tokens"])
+
+    return ranked.mapInArrow(place, PLACES.format(key=key, kind=kind))

@@ -16,8 +16,9 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strataframe.llm.texts import CJK
 
@@ -168,6 +169,7 @@ class Common:
 
 
 STATS = "doc_id long, word_count int, mean_word_length double, symbol_ratio double, punctuated_lines double, common_words double, shape string"
+_NAMES, _KINDS = [c.split()[0] for c in STATS.split(", ")], [pa.int32(), *[pa.float64()] * 4, pa.string()]
 
 
 def measure(text: str | None, common: Common) -> tuple:
@@ -310,11 +312,11 @@ def text_quality(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     if len(rows) > MAX_COMMON:
         raise ValueError(f"more than {MAX_COMMON} common words")
     pairs = [tuple(r) for r in rows]
-    names = [c.split()[0] for c in STATS.split(", ")]
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = Common(pairs)
         for b in batches:
-            yield pd.DataFrame([(i, *measure(t, common)) for i, t in zip(b.doc_id, b.text)], columns=names)
+            columns = list(zip(*(measure(t, common) for t in b.column(1).to_pylist()))) or [()] * len(_KINDS)
+            yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, columns, _KINDS)], names=_NAMES)
 
-    return documents.select("doc_id", "text").mapInPandas(of, STATS)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of, STATS)
