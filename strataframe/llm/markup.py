@@ -309,6 +309,8 @@ def _clean(b: Block) -> str:
     for n in ("latex", "wiki", "markdown", "html"):
         if n in b.strong:
             t = _CLEAN[n](t)
+    if "latex" in b.strong:
+        paths = [re.sub(r"\\([#%&_$])", r"\1", x) for x in paths]
     t = re.sub(r"\x01(\d+)\x01", lambda m: paths[int(m[1])], t)
     return re.sub(r"[ \t]*\n[ \t]*\n\s*", "\n\n", t).strip("\n")
 
