@@ -42,8 +42,19 @@ def label(text: str | None) -> str | None:
 
 def hashed(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each order of n-grams: the buckets of all texts in a row, and where each text begins."""
-    joined = "".join(f" {x} \n" if (x := _OTHER.sub(" ", t.lower()).strip()) else "\n" for t in texts)
-    c = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+    c = np.frombuffer("\0".join([*(t.replace("\0", " ") for t in texts), ""]).lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    ends = c == 0
+    letter = _letters()[c]
+    # runs of other characters become one space, also at both ends of each text
+    edge = np.concatenate([[True], ends[:-1]])
+    gap = ~letter & ~ends & (np.concatenate([[False], letter[:-1]]) | edge)
+    keep = letter | gap | ends
+    extra = ends & np.concatenate([[False], letter[:-1]])  # texts that end in a letter get their space
+    at = np.flatnonzero(keep)
+    c = np.where(letter, c, np.where(ends, 10, 32))[at].astype(np.uint32)
+    c = np.insert(c, np.flatnonzero(extra[at]), 32)
+    first = np.concatenate([[True], c[:-1] == 10])
+    c = np.insert(c, np.flatnonzero(first & (c != 32) & (c != 10)), 32)
     ends = c == 10
     broken, h = np.zeros(len(c), bool), np.zeros(len(c), np.uint32)
     for n in range(1, ORDER + 1):
@@ -63,7 +74,15 @@ def hashed(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield (x & np.uint32(BUCKETS - 1)).astype(np.int64), np.concatenate([[0], np.cumsum(keep)])[np.minimum(begin, m)]
 
 
-_OTHER = re.compile(r"[\W\d_]+")
+_table: np.ndarray | None = None
+
+
+def _letters() -> np.ndarray:
+    """Which code points are letters, built once per process."""
+    global _table
+    if _table is None:
+        _table = np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
+    return _table
 
 
 def fit(texts: list[str], labels: list[int], k: int) -> np.ndarray:
@@ -97,9 +116,6 @@ def scores(model: np.ndarray, texts: list[str]) -> np.ndarray:
     return p / p.sum(1, keepdims=True)
 
 
-_PAGED = re.compile(r"^[ \t]*(?:[-—–~][ \t]*\d+[ \t]*[-—–~]|\[\d+\]|\d{1,4}\.?|(?:page|p\.)[ \t]*\d+.*|\d+[ \t]*/[ \t]*\d+)[ \t]*$|\x0c", re.M | re.I)
-
-
 def plain(body: str | None, doc: str | None = "") -> str:
     """Text of a body without mark-up, headings, tables, code and lines of scanned pages."""
     if not isinstance(body, str) or not body.strip():
@@ -109,11 +125,9 @@ def plain(body: str | None, doc: str | None = "") -> str:
         if any(b.strong for b in bs):
             body = "\n\n".join(b.text or "" for b in bs if b.kind not in ("code", "formula", "heading", "table", "navigation"))
             return re.sub(r"^[ \t]*#{1,6} .*$", "\n", body, flags=re.M)
-    if "\n" in body:
-        words = (doc or "").lower().split()[:2]  # a document's number and name, as heading lines have them
-        low = body.lower() if words else ""
-        if any(map(low.__contains__, words)) or _PAGED.search(body):
-            return scans.joined(scans.layout(body, doc or "")[0])[0]
+    lines, _ = scans.lines_of(body, doc or "")
+    if len(lines) > 1:
+        return scans.joined(lines)[0]
     return body
 
 
