@@ -31,8 +31,10 @@ def asset_closure(bodies: DataFrame, assets: DataFrame) -> DataFrame:
 
 def page_gaps(nodes: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages of a document (doc_id, n_pages) in no node's range (doc_id, page_start, page_end)."""
-    have = nodes.filter("page_start <= page_end").select("doc_id", "page_start", "page_end").distinct().select("doc_id", F.explode(F.sequence("page_start", "page_end")).alias("page")).distinct()
-    want = pages.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("n_pages"))).alias("page"))
+    ranges = nodes.filter("page_start <= page_end").select("doc_id", "page_start", "page_end").distinct().join(pages, "doc_id")  # a wrong last page can't make more rows than the document has pages
+    ranges = ranges.select("doc_id", F.greatest("page_start", F.lit(1)).alias("a"), F.least("page_end", "n_pages").alias("b")).filter("a <= b")
+    have = ranges.select("doc_id", F.explode(F.sequence("a", "b")).alias("page")).distinct()
+    want = pages.filter("n_pages >= 1").select("doc_id", F.explode(F.sequence(F.lit(1), F.col("n_pages"))).alias("page"))
     return want.join(have, ["doc_id", "page"], "left_anti")
 
 
