@@ -209,7 +209,7 @@ def _valid(piece: str, common: Common) -> bool:
         return cjk >= 3 and common.share([], piece, cjk) >= 0.04
     words = piece.lower().split()
     n = len(words)
-    return n >= 3 and sum(map(common.any.__contains__, words)) >= 0.1 * n
+    return n >= 3 and sum(map(common.any.__contains__, words)) >= 0.08 * n
 
 
 def _covered(text: str, common: Common) -> list[tuple[int, int]]:
