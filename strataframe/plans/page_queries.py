@@ -12,8 +12,6 @@ from strataframe.plans.section_queries import _pages as doc_pages
 from strataframe.plans.text_queries import tokens_sql
 from strataframe.tables import read
 
-WIDE = 6  # evidence that a prompt numbers
-
 
 def _sections(s: SparkSession, d: str) -> DataFrame:
     return read(s, d, "content_sections").groupBy("doc_id", "anchor").agg(F.first("title").alias("title"), F.first("category").alias("category"), F.first("body").alias("body"))
@@ -48,13 +46,20 @@ def topic_title(s: SparkSession, d: str) -> DataFrame:
     return w.groupBy("component").agg(F.min(F.struct((-F.col("n")).alias("m"), "word")).alias("x")).select("component", F.col("x.word").alias("title"), (-F.col("x.m")).alias("n"))
 
 
+def _numbered(e: DataFrame) -> DataFrame:
+    """slug, user: the prompt of each page, which numbers all of its evidence (slug, ev_no, section_title);
+    what is gathered is one page's titles."""
+    asked = e.groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("ev_no", "section_title"))).alias("x"))
+    line = lambda v: F.concat(F.lit("["), v["ev_no"].cast("string"), F.lit("] "), F.coalesce(v["section_title"], F.lit("")))
+    return asked.select("slug", F.array_join(F.transform("x", line), "\n").alias("user"))
+
+
 def wiki_pages(s: SparkSession, d: str) -> DataFrame:
-    """A page for each document: offline answers to its first sections, with footnotes."""
+    """A page for each document: offline answers to all its sections, with footnotes."""
     e = leaves(s, d).join(read(s, d, "sections").select("doc_id", "node_id", "page_start").distinct(), ["doc_id", "node_id"])
     e = e.select(F.col("doc_id").alias("slug"), F.row_number().over(Window.partitionBy("doc_id").orderBy("anchor", "node_id")).alias("ev_no"), "doc_id", "anchor", F.col("title").alias("section_title"), "page_start")
-    asked = e.filter(F.col("ev_no") <= WIDE).groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("ev_no", "section_title"))).alias("x"))
-    user = F.array_join(F.transform("x", lambda v: F.concat(F.lit("["), v["ev_no"].cast("string"), F.lit("] "), F.coalesce(v["section_title"], F.lit("")))), "\n")
-    body = pages.offline_answer(F.array(F.struct(F.lit("user").alias("role"), user.alias("content"))))
+    asked = _numbered(e)
+    body = pages.offline_answer(F.array(F.struct(F.lit("user").alias("role"), F.col("user").alias("content"))))
     t = asked.select("slug", F.col("slug").alias("title"))
     return pages.pages(t, e, asked.select("slug", body.alias("body"))).select("slug", "n_pins", "n_unresolved", F.length("markdown").alias("n_chars"), X.sha(F.col("markdown")).alias("markdown_sha256"))
 
