@@ -97,10 +97,16 @@ def section_body(text: Column, anchor: str, most: int = 1500) -> Column:
     characters it is cut and ends in an ellipsis. Empty where there is no such anchor."""
     needle = f'<a id="{anchor}"></a>'
     at = F.instr(text, needle)
-    rest = F.regexp_replace(F.expr(f"substring({_name(text)}, instr({_name(text)}, '{needle}') + {len(needle)})"), "^\n", "")
-    body = F.regexp_replace(F.element_at(F.split(rest, r'<a id="sec-\d+"></a>', 2), 1), r"(?U)\s+\z", "")
-    cut = F.concat(F.regexp_replace(F.substring(body, 1, most - 1), r"(?U)\s+\z", ""), F.lit("…"))
-    return F.when(at == 0, "").when(F.length(body) > most, cut).otherwise(body)
+    rest = F.expr(f"substring({_name(text)}, instr({_name(text)}, '{needle}') + {len(needle)})")
+    return F.when(at == 0, "").otherwise(excerpt(F.element_at(F.split(rest, r'<a id="sec-\d+"></a>', 2), 1), most))
+
+
+def excerpt(segment: Column, most: int = 1500) -> Column:
+    """The text between two section anchors without its first line end and white space at the end;
+    beyond ``most`` characters it is cut and ends in an ellipsis."""
+    end = r"(?U)[\s\x1c-\x1f]+\z"
+    body = F.regexp_replace(F.regexp_replace(segment, "^\n", ""), end, "")
+    return F.when(F.length(body) > most, F.concat(F.regexp_replace(F.substring(body, 1, most - 1), end, ""), F.lit("…"))).otherwise(body)
 
 
 def _name(c: Column) -> str:

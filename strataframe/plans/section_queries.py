@@ -33,6 +33,12 @@ def content_sections(s: SparkSession, d: str) -> DataFrame:
     return sections.content_sections(docs(s, d)).select("doc_id", "anchor", "title", "level", "category", X.sha(F.col("body")).alias("body_sha256"))
 
 
+def section_bodies(s: SparkSession, d: str) -> DataFrame:
+    """The excerpt of every section of every text; ``section_body`` has those of one fixed anchor."""
+    b = X.excerpt(F.col("segment"))
+    return sections.segments(docs(s, d)).select("doc_id", "pos", "anchor", F.length(b).alias("n_chars"), X.sha(b).alias("body_sha256"))
+
+
 def chunk_body(s: SparkSession, d: str) -> DataFrame:
     rows = bodies(s, d).filter("body is not null").select("doc_id", "anchor", F.posexplode(sections.chunks(F.col("body"), CHUNK)).alias("chunk_no", "chunk"))
     return rows.select("doc_id", "anchor", "chunk_no", F.length("chunk").alias("n_chars"), X.sha(F.col("chunk")).alias("chunk_sha256"))
@@ -170,7 +176,7 @@ def content_hash(s: SparkSession, d: str) -> DataFrame:
     return h.select("doc_id", "n_sections", X.sha(F.array_join(F.transform("x", lambda v: v["h"]), "\n")).alias("content_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
+QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, section_bodies, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
 
 NODES = "(SELECT DISTINCT doc_id, node_id, parent_node_id, ord, depth, level, title, anchor, page_start, page_end, is_leaf FROM sections)"
 LEAVES = f"(SELECT doc_id, node_id, anchor, title FROM {NODES} WHERE is_leaf AND trim(anchor) <> '')"
@@ -199,12 +205,17 @@ numbered AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY component)
 SELECT CASE WHEN k = 1 THEN base ELSE base || '-' || k END AS slug, title, n_evidence, n_docs FROM numbered"""
 _HEADING = r"(?m)^(#{1,6})[ \t]+(.*?)[ \t]*$"
 _WS = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '||chr(133)||chr(160)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)||chr(65279)"
+_SPACE = "||".join(f"chr({k})" for k in (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
 ORACLE = {
     "evidence_leaves": f"SELECT * FROM {LEAVES}",
     "content_sections": rf"""WITH seg AS (SELECT doc_id, i AS pos, a[i] AS anchor, p[i + 1] AS segment FROM (SELECT *, unnest(generate_series(1, len(a))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{X.SECTION_ANCHOR}', 1) AS a, regexp_split_to_array(text, '{X.SECTION_ANCHOR}') AS p FROM {DOCS} WHERE contains(text, '<a id="sec-')))),
 h AS (SELECT doc_id, pos, anchor, trim(regexp_extract(segment, '{_HEADING}', 2), {_WS}) AS title, length(regexp_extract(segment, '{_HEADING}', 1)) AS level, trim(substr(segment, strpos(segment, regexp_extract(segment, '{_HEADING}', 0)) + length(regexp_extract(segment, '{_HEADING}', 0))), {_WS}) AS body FROM seg WHERE regexp_matches(segment, '{_HEADING}')),
 c AS (SELECT *, coalesce(nullif(last_value(CASE WHEN level = 1 THEN title END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING), ''), title) AS category FROM h)
 SELECT doc_id, anchor, title, level, category, sha256(body) AS body_sha256 FROM c WHERE body <> ''""",
+    "section_bodies": rf"""WITH seg AS (SELECT doc_id, i - 1 AS pos, a[i] AS anchor, p[i + 1] AS segment FROM (SELECT *, unnest(generate_series(1, len(a))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{X.SECTION_ANCHOR}', 1) AS a, regexp_split_to_array(text, '{X.SECTION_ANCHOR}') AS p FROM {DOCS} WHERE contains(text, '<a id="sec-')))),
+b AS (SELECT doc_id, pos, anchor, rtrim(regexp_replace(segment, '^\n', ''), {_SPACE}) AS body FROM seg),
+c AS (SELECT doc_id, pos, anchor, CASE WHEN length(body) > 1500 THEN rtrim(substr(body, 1, 1499), {_SPACE}) || '…' ELSE body END AS body FROM b)
+SELECT doc_id, pos, anchor, length(body) AS n_chars, sha256(body) AS body_sha256 FROM c""",
     "nest_by_level": f"SELECT doc_id, node_id, ord, (SELECT max(b.ord) FROM {NODES} b WHERE b.doc_id = a.doc_id AND b.ord < a.ord AND b.level < a.level) AS parent_ord FROM {NODES} a",
     "section_end_page": f"""WITH n AS (SELECT * FROM {NODES} WHERE page_start IS NOT NULL AND level > 0), p AS (SELECT doc_id, max(page_end) AS n_pages FROM n GROUP BY 1),
 nx AS (SELECT a.doc_id, a.node_id, arg_min(b.page_start, b.ord) AS nxt FROM n a LEFT JOIN n b ON a.doc_id = b.doc_id AND b.ord > a.ord AND b.level <= a.level GROUP BY 1, 2)

@@ -1,6 +1,9 @@
 """Queries that do the whole job, on small tables made for it."""
 
-from strataframe.plans import page_queries
+import hashlib
+import re
+
+from strataframe.plans import all_queries, page_queries
 
 SECTIONS = "doc_id string, node_id string, parent_node_id string, ord int, depth int, level int, title string, anchor string, page_start int, page_end int, is_leaf boolean"
 
@@ -21,3 +24,23 @@ def test_prompts_number_all_evidence(spark, tmp_path):
     assert hashes[0] != hashes[1]
     evidence = spark.createDataFrame([("s", k, f"T{k}") for k in range(1, 61)], "slug string, ev_no int, section_title string")
     assert page_queries._numbered(evidence).first().user == "\n".join(f"[{k}] T{k}" for k in range(1, 61))
+
+
+def excerpt_of(text, anchor):
+    """The surveyed operator's rule for one anchor."""
+    start = text.find(f'<a id="{anchor}"></a>') + len(f'<a id="{anchor}"></a>')
+    start += text[start : start + 1] == "\n"
+    stop = re.compile(r'<a id="sec-\d+"></a>').search(text, start)
+    body = text[start : stop.start() if stop else len(text)].rstrip()
+    return body if len(body) <= 1500 else body[:1499].rstrip() + "…"
+
+
+def test_every_section_has_its_body(spark, tmp_path):
+    long, edge = "é" * 1400 + " " * 200 + "x", "y" * 1500
+    text = f'before<a id="sec-0003"></a>\n\na <a id="tbl-0001"></a> b \x1f\n<a id="sec-0004"></a>{long}<a id="sec-0007"></a>\n{edge}\n<a id="sec-0009"></a>'
+    rows = [(1, text), (2, None), (3, "none"), (4, '<a id="sec-0001"></a>\nfirst　\n<a id="sec-0002"></a> last')]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.anchor): (r.n_chars, r.body_sha256) for r in all_queries()["section_bodies"](spark, str(tmp_path)).collect()}
+    want = {(k, a): excerpt_of(t, a) for k, t in rows if t for a in re.findall(r'<a id="(sec-\d+)"></a>', t)}
+    assert got == {k: (len(b), hashlib.sha256(b.encode()).hexdigest()) for k, b in want.items()}
+    assert len(got) == 6
