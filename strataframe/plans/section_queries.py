@@ -80,6 +80,12 @@ def toc_rollup(s: SparkSession, d: str) -> DataFrame:
     return sections.toc_rollup(deep, toc.filter("page % 2 = 0"))
 
 
+def toc_rollup_all(s: SparkSession, d: str) -> DataFrame:
+    """The same numbers against all contents entries; ``toc_rollup`` knows those of even pages."""
+    toc = sections.toc_lines(docs(s, d))
+    return sections.toc_rollup(toc.select("doc_id", F.concat("number", F.lit(".1")).alias("number")), toc)
+
+
 def jaccard_pairs(s: SparkSession, d: str) -> DataFrame:
     return topics.jaccard_pairs(topics.token_sets(leaves(s, d))).select("a", "b", F.round("distance", 6).alias("distance"))
 
@@ -176,7 +182,7 @@ def content_hash(s: SparkSession, d: str) -> DataFrame:
     return h.select("doc_id", "n_sections", X.sha(F.array_join(F.transform("x", lambda v: v["h"]), "\n")).alias("content_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, section_bodies, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
+QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, section_bodies, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, toc_rollup_all, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
 
 NODES = "(SELECT DISTINCT doc_id, node_id, parent_node_id, ord, depth, level, title, anchor, page_start, page_end, is_leaf FROM sections)"
 LEAVES = f"(SELECT doc_id, node_id, anchor, title FROM {NODES} WHERE is_leaf AND trim(anchor) <> '')"
@@ -224,6 +230,7 @@ SELECT n.doc_id, n.node_id, n.page_start, greatest(coalesce(nxt - 1, n_pages), n
     "heading_inference": "WITH s AS (SELECT p_brand AS doc_id, p_partkey % 50 AS page, p_partkey AS pos, round_even(p_size / 3.0 * 2, 0) / 2 AS size, p_partkey % 7 = 0 AS bold, trim(p_name) AS title FROM part WHERE trim(p_name) <> ''), w AS (SELECT doc_id, size, sum(length(title)) AS w, min((page, pos)) AS f FROM s GROUP BY 1, 2), b AS (SELECT doc_id, size AS body FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, f) = 1), c AS (SELECT DISTINCT s.doc_id, page, size, title FROM s JOIN b USING (doc_id) WHERE size > body * 1.1 OR (bold AND size >= body + 1)), z AS (SELECT doc_id, size, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC) AS level FROM (SELECT DISTINCT doc_id, size FROM c)) SELECT c.doc_id, page, level, title FROM c JOIN z ON c.doc_id = z.doc_id AND c.size = z.size WHERE level <= 4",
     "toc_parse": f"SELECT * FROM {TOC}",
     "toc_rollup": f"WITH t AS (SELECT * FROM {TOC}), q AS (SELECT DISTINCT doc_id, number || '.1' AS number FROM t), k AS (SELECT DISTINCT doc_id, number AS entry FROM t WHERE page % 2 = 0), m AS (SELECT q.doc_id, q.number, arg_max(entry, length(entry)) AS entry FROM q JOIN k ON q.doc_id = k.doc_id AND (q.number = entry OR starts_with(q.number, entry || '.')) GROUP BY 1, 2) SELECT q.doc_id, q.number, coalesce(entry, 'root') AS entry FROM q LEFT JOIN m ON q.doc_id = m.doc_id AND q.number = m.number",
+    "toc_rollup_all": f"WITH t AS (SELECT * FROM {TOC}), q AS (SELECT DISTINCT doc_id, number || '.1' AS number FROM t), k AS (SELECT DISTINCT doc_id, number AS entry FROM t), m AS (SELECT q.doc_id, q.number, arg_max(entry, length(entry)) AS entry FROM q JOIN k ON q.doc_id = k.doc_id AND (q.number = entry OR starts_with(q.number, entry || '.')) GROUP BY 1, 2) SELECT q.doc_id, q.number, coalesce(entry, 'root') AS entry FROM q LEFT JOIN m ON q.doc_id = m.doc_id AND q.number = m.number",
     "jaccard_pairs": f"WITH {PAIRS} SELECT a, b, round(distance, 6) AS distance FROM pairs WHERE distance <= 0.85",
     "topic_components": _COMPONENTS + "SELECT node, component FROM comp",
     "discover_topics": _TOPICS,

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+from strataframe.operators import sections
 from strataframe.plans import all_queries, page_queries
 
 SECTIONS = "doc_id string, node_id string, parent_node_id string, ord int, depth int, level int, title string, anchor string, page_start int, page_end int, is_leaf boolean"
@@ -44,3 +45,17 @@ def test_every_section_has_its_body(spark, tmp_path):
     want = {(k, a): excerpt_of(t, a) for k, t in rows if t for a in re.findall(r'<a id="(sec-\d+)"></a>', t)}
     assert got == {k: (len(b), hashlib.sha256(b.encode()).hexdigest()) for k, b in want.items()}
     assert len(got) == 6
+
+
+def test_contents_of_odd_pages_count(spark, tmp_path):
+    text = "1 One ..... 2\n1.1 Sub ..... 3\n3 Three ..... 5\n"
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.number, r.entry) for r in all_queries()["toc_rollup_all"](spark, str(tmp_path)).collect()}
+    assert got == {("1.1", "1.1"), ("1.1.1", "1.1"), ("3.1", "3")}
+
+
+def test_numbers_without_entry_go_to_the_root(spark):
+    asked = spark.createDataFrame([("d", n) for n in ("2", "2.1", "1.10", "11", "3.1.4")] + [("e", "1")], "doc_id string, number string")
+    toc = spark.createDataFrame([("d", "1"), ("d", "1.1"), ("d", "3.1")], "doc_id string, number string")
+    got = {(r.doc_id, r.number): r.entry for r in sections.toc_rollup(asked, toc).collect()}
+    assert got == {("d", "2"): "root", ("d", "2.1"): "root", ("d", "1.10"): "1", ("d", "11"): "root", ("d", "3.1.4"): "3.1", ("e", "1"): "root"}
