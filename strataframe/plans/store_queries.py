@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import text as X
 from strataframe.operators import facts, routing, store
-from strataframe.plans.section_queries import LEAVES, NODES, leaves, nodes
+from strataframe.plans.section_queries import _WS, LEAVES, NODES, leaves, nodes
 from strataframe.plans.text_queries import BODIES, PROMPT_SQL, _prompts, tokens_sql
 from strataframe.plans.text_queries import _bodies as bodies
-from strataframe.tables import read
+from strataframe.tables import read, squeezed
 
 # A small category tree for routing; rules are numbered in the order in which they hold.
 SPECS = [(1, "thermal", "*thermal*"), (2, "audio", "*speaker*"), (2, "audio", "*acoustic*"), (3, "power", "*battery*"), (3, "power", "*charger*"), (4, "mech", "?1*hinge*")]
@@ -224,6 +224,16 @@ def spec_section_map(s: SparkSession, d: str) -> DataFrame:
     return routing.spec_sections(n, o, parts)
 
 
+def spec_section_paths(s: SparkSession, d: str) -> DataFrame:
+    """Sections of owned documents by all parts and functions of their owners; headings without a title
+    are neither. ``spec_section_map`` knows the functions of even positions."""
+    n, o = nodes(s, d).filter(squeezed(F.col("title")) != ""), spec_owners(s, d)
+    one = n.filter("depth = 1").select("doc_id", F.col("node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("part"))
+    two = n.filter("depth = 2").select("doc_id", F.col("parent_node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("function"))
+    parts = one.join(two, ["doc_id", "top"], "left").join(o, "doc_id").select("system", "subsystem", "part", "function").distinct()
+    return routing.spec_sections(n, o, parts)
+
+
 def fact_pages(s: SparkSession, d: str) -> DataFrame:
     """Rendered rows of a document's facts, counted and hashed by module."""
     c = _classified(s, d).select("atom_no", "module")
@@ -233,7 +243,7 @@ def fact_pages(s: SparkSession, d: str) -> DataFrame:
 
 
 
-QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, fact_pages)}
+QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, spec_section_paths, fact_pages)}
 
 _STEM = r"regexp_replace(regexp_extract(source_path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1')"
 _DOMAIN = "regexp_extract(source_path, '^in/([^/]*)/', 1)"
@@ -315,5 +325,6 @@ ORACLE = {
     "taxonomy_v2": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES}) SELECT a.doc_id, a.slug AS system, count(b.slug) AS n_subsystems, min(b.slug) AS first_subsystem FROM n a LEFT JOIN n b ON a.doc_id = b.doc_id AND b.depth = 2 AND b.parent_node_id = a.node_id WHERE a.depth = 1 GROUP BY 1, 2",
     "spec_owners": f"SELECT doc_id, system, subsystem FROM {_OWNERS}",
     "spec_section_map": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES}), o AS (SELECT * FROM {_OWNERS}), t AS (SELECT n.doc_id, n.node_id, o.system || '/' || o.subsystem || '/' || n.slug AS base FROM n JOIN o ON n.doc_id = o.doc_id WHERE depth = 1), f AS (SELECT DISTINCT t.base, n.slug AS function FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id WHERE n.depth = 2 AND n.ord % 2 = 0), x AS (SELECT doc_id, node_id, base, base AS path FROM t UNION ALL SELECT t.doc_id, n.node_id, t.base, CASE WHEN f.function IS NULL THEN t.base ELSE t.base || '/' || f.function END FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id AND n.depth = 2 LEFT JOIN f ON f.base = t.base AND f.function = n.slug) SELECT doc_id, node_id, arg_max(path, (base, path)) AS path FROM x GROUP BY 1, 2",
+    "spec_section_paths": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES} WHERE trim(title, {_WS}) <> ''), o AS (SELECT * FROM {_OWNERS}), t AS (SELECT n.doc_id, n.node_id, o.system || '/' || o.subsystem || '/' || n.slug AS base FROM n JOIN o ON n.doc_id = o.doc_id WHERE depth = 1), f AS (SELECT DISTINCT t.base, n.slug AS function FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id WHERE n.depth = 2), x AS (SELECT doc_id, node_id, base, base AS path FROM t UNION ALL SELECT t.doc_id, n.node_id, t.base, CASE WHEN f.function IS NULL THEN t.base ELSE t.base || '/' || f.function END FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id AND n.depth = 2 LEFT JOIN f ON f.base = t.base AND f.function = n.slug) SELECT doc_id, node_id, arg_max(path, (base, path)) AS path FROM x GROUP BY 1, 2",
     "fact_pages": f"SELECT a.doc_id, module, count(*) AS n_lines, sum(length({_LINE})) AS n_chars, min({_LINE}) AS first_line FROM {_ATOMS} a JOIN (SELECT atom_no, module FROM {_CLASSIFIED}) c USING (atom_no) GROUP BY 1, 2",
 }

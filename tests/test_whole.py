@@ -3,7 +3,7 @@
 import hashlib
 import re
 
-from strataframe.operators import sections
+from strataframe.operators import routing, sections
 from strataframe.plans import all_queries, page_queries
 
 SECTIONS = "doc_id string, node_id string, parent_node_id string, ord int, depth int, level int, title string, anchor string, page_start int, page_end int, is_leaf boolean"
@@ -59,3 +59,17 @@ def test_numbers_without_entry_go_to_the_root(spark):
     toc = spark.createDataFrame([("d", "1"), ("d", "1.1"), ("d", "3.1")], "doc_id string, number string")
     got = {(r.doc_id, r.number): r.entry for r in sections.toc_rollup(asked, toc).collect()}
     assert got == {("d", "2"): "root", ("d", "2.1"): "root", ("d", "1.10"): "1", ("d", "11"): "root", ("d", "3.1.4"): "3.1", ("e", "1"): "root"}
+
+
+def test_functions_of_odd_positions_have_their_path(spark, tmp_path):
+    thermal = [node("M1 Thermal PES", 1, 1, "Part"), *(node("M1 Thermal PES", k, 2, t, "n001") for k, t in ((2, "Even"), (3, "Odd"), (4, " ")))]
+    got = {r.node_id: r.path for r in all_queries()["spec_section_paths"](spark, written(spark, tmp_path, thermal + [node("other", 1, 1, "Part")])).collect()}
+    assert got == {"n001": "thermal/pads/part", "n002": "thermal/pads/part/even", "n003": "thermal/pads/part/odd"}
+
+
+def test_unknown_functions_fall_back_to_their_part(spark):
+    rows = spark.createDataFrame([node("d", 1, 1, "Part"), node("d", 2, 2, "Known", "n001"), node("d", 3, 2, "New", "n001"), node("d", 4, 1, "Elsewhere"), node("d", 5, 2, "Known", "n004")], SECTIONS)
+    owners = spark.createDataFrame([("d", "s", "u")], "doc_id string, system string, subsystem string")
+    parts = spark.createDataFrame([("s", "u", "part", "known")], "system string, subsystem string, part string, function string")
+    got = {r.node_id: r.path for r in routing.spec_sections(rows, owners, parts).collect()}
+    assert got == {"n001": "s/u/part", "n002": "s/u/part/known", "n003": "s/u/part"}
