@@ -6,10 +6,11 @@ the first match is the smallest rule number, kept in a partial aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.functions import text as X
+from strataframe.tables import squeezed
 
 MAX_RULES = 20_000
 UNCATEGORIZED = "_uncategorized"
@@ -96,6 +97,36 @@ def spec_sections(sections: DataFrame, owners: DataFrame, parts: DataFrame) -> D
     return rows.groupBy("doc_id", "node_id").agg(F.max_by("path", F.struct("base", "path")).alias("path"))
 
 
+def taxonomy_nodes(sections: DataFrame, owners: DataFrame, subsystems: DataFrame, own_doc: str) -> DataFrame:
+    """tree, layer, path, slug, title: the nodes of all four layers of category trees.
+
+    Headings of the first two depths are the systems and subsystems of their document's tree. The own
+    document's tree also has the subsystems (system, subsystem, title) that specs are linked to; below
+    them, the first two depths of the other documents that they own (owners: doc_id, system, subsystem)
+    are parts and functions. Headings without a title are none. Nodes of one path are one node, with
+    the children of all; the title is the last heading's, of headings under one parent the first's, and
+    a part's the first of all.
+    """
+    n = sections.withColumn("title", squeezed(F.col("title"))).filter("title != ''").withColumn("slug", X.slug(F.col("title"), "unknown", False))
+    one = n.filter("depth = 1").select("doc_id", F.col("node_id").alias("top"), F.col("ord").alias("top_ord"), F.col("slug").alias("s1"), F.col("title").alias("t1"))
+    two = n.filter("depth = 2").select("doc_id", F.col("parent_node_id").alias("top"), "ord", "node_id", F.col("slug").alias("s2"), F.col("title").alias("t2"))
+    both = one.join(two, ["doc_id", "top"])
+
+    def rows(df: DataFrame, tree: Column, layer: str, path: list[str], title: str, ruled: bool = False) -> DataFrame:
+        by = [F.lit(0)] if ruled else [F.lit(1), "doc_id", "top_ord", *(["top"] if title == "t1" else [-F.col("ord"), "node_id"])]
+        named = df.select(tree.alias("tree"), F.lit(layer).alias("layer"), F.concat_ws("/", *path).alias("path"), F.col(path[-1]).alias("slug"), F.col(title).alias("title"), F.struct(*by).alias("by"))
+        best = F.min_by("title", "by") if layer == "part" else F.max_by("title", "by")
+        return named.groupBy("tree", "layer", "path", "slug").agg(best.alias("title"), F.lit(not ruled).alias("heading"))
+
+    own, of = F.lit(own_doc), F.col("doc_id")
+    linked = owners.filter(of != own_doc)
+    above = rows(one, of, "system", ["s1"], "t1").unionByName(rows(both, of, "subsystem", ["s1", "s2"], "t2"))
+    above = above.unionByName(rows(subsystems, own, "system", ["system"], "system", True)).unionByName(rows(subsystems, own, "subsystem", ["system", "subsystem"], "title", True))
+    above = above.groupBy("tree", "layer", "path", "slug").agg(F.max_by("title", "heading").alias("title"))
+    below = rows(one.join(linked, "doc_id"), own, "part", ["system", "subsystem", "s1"], "t1").unionByName(rows(both.join(linked, "doc_id"), own, "function", ["system", "subsystem", "s1", "s2"], "t2"))
+    return above.unionByName(below.drop("heading"))
+
+
 def route(evidence: DataFrame, specs: DataFrame, keywords: DataFrame, headings: DataFrame, sections: DataFrame, own_doc: str, doc_words: bool = False) -> DataFrame:
     """doc_id, anchor, title, slug of evidence (doc_id, node_id, anchor, title).
 

@@ -234,6 +234,11 @@ def spec_section_paths(s: SparkSession, d: str) -> DataFrame:
     return routing.spec_sections(n, o, parts)
 
 
+def taxonomy_nodes(s: SparkSession, d: str) -> DataFrame:
+    """All nodes of the category trees of all documents; ``taxonomy_v2`` counts the subsystems."""
+    return routing.taxonomy_nodes(nodes(s, d), spec_owners(s, d), _values(s, SUBSYSTEMS, "system string, subsystem string, title string, glob string"), OWN_DOC)
+
+
 def fact_pages(s: SparkSession, d: str) -> DataFrame:
     """Rendered rows of a document's facts, counted and hashed by module."""
     c = _classified(s, d).select("atom_no", "module")
@@ -243,7 +248,7 @@ def fact_pages(s: SparkSession, d: str) -> DataFrame:
 
 
 
-QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, spec_section_paths, fact_pages)}
+QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, spec_section_paths, taxonomy_nodes, fact_pages)}
 
 _STEM = r"regexp_replace(regexp_extract(source_path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1')"
 _DOMAIN = "regexp_extract(source_path, '^in/([^/]*)/', 1)"
@@ -326,5 +331,17 @@ ORACLE = {
     "spec_owners": f"SELECT doc_id, system, subsystem FROM {_OWNERS}",
     "spec_section_map": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES}), o AS (SELECT * FROM {_OWNERS}), t AS (SELECT n.doc_id, n.node_id, o.system || '/' || o.subsystem || '/' || n.slug AS base FROM n JOIN o ON n.doc_id = o.doc_id WHERE depth = 1), f AS (SELECT DISTINCT t.base, n.slug AS function FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id WHERE n.depth = 2 AND n.ord % 2 = 0), x AS (SELECT doc_id, node_id, base, base AS path FROM t UNION ALL SELECT t.doc_id, n.node_id, t.base, CASE WHEN f.function IS NULL THEN t.base ELSE t.base || '/' || f.function END FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id AND n.depth = 2 LEFT JOIN f ON f.base = t.base AND f.function = n.slug) SELECT doc_id, node_id, arg_max(path, (base, path)) AS path FROM x GROUP BY 1, 2",
     "spec_section_paths": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES} WHERE trim(title, {_WS}) <> ''), o AS (SELECT * FROM {_OWNERS}), t AS (SELECT n.doc_id, n.node_id, o.system || '/' || o.subsystem || '/' || n.slug AS base FROM n JOIN o ON n.doc_id = o.doc_id WHERE depth = 1), f AS (SELECT DISTINCT t.base, n.slug AS function FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id WHERE n.depth = 2), x AS (SELECT doc_id, node_id, base, base AS path FROM t UNION ALL SELECT t.doc_id, n.node_id, t.base, CASE WHEN f.function IS NULL THEN t.base ELSE t.base || '/' || f.function END FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id AND n.depth = 2 LEFT JOIN f ON f.base = t.base AND f.function = n.slug) SELECT doc_id, node_id, arg_max(path, (base, path)) AS path FROM x GROUP BY 1, 2",
+    "taxonomy_nodes": f"""WITH n AS (SELECT doc_id, node_id, parent_node_id, ord, depth, trim(title, {_WS}) AS title, {_SLUG2} AS slug FROM {NODES} WHERE trim(title, {_WS}) <> ''),
+a AS (SELECT doc_id, node_id AS top, ord AS top_ord, slug AS s1, title AS t1 FROM n WHERE depth = 1),
+b AS (SELECT a.*, n.ord, n.node_id, n.slug AS s2, n.title AS t2 FROM a JOIN n ON n.doc_id = a.doc_id AND n.parent_node_id = a.top AND n.depth = 2),
+o AS (SELECT * FROM {_OWNERS} WHERE doc_id <> '{OWN_DOC}'),
+u AS (SELECT * FROM ({_rows([x[:3] for x in SUBSYSTEMS])}) t(system, subsystem, title)),
+x AS (SELECT doc_id AS tree, 'system' AS layer, s1 AS path, s1 AS slug, t1 AS title, row_number() OVER (PARTITION BY doc_id, s1 ORDER BY top_ord DESC, top DESC) AS k FROM a
+  UNION ALL SELECT doc_id, 'subsystem', s1 || '/' || s2, s2, t2, row_number() OVER (PARTITION BY doc_id, s1, s2 ORDER BY top_ord DESC, ord, node_id DESC) FROM b
+  UNION ALL SELECT DISTINCT '{OWN_DOC}', 'system', system, system, system, 1 FROM u WHERE system NOT IN (SELECT s1 FROM a WHERE doc_id = '{OWN_DOC}')
+  UNION ALL SELECT DISTINCT '{OWN_DOC}', 'subsystem', system || '/' || subsystem, subsystem, title, 1 FROM u WHERE (system, subsystem) NOT IN (SELECT (s1, s2) FROM b WHERE doc_id = '{OWN_DOC}')
+  UNION ALL SELECT '{OWN_DOC}', 'part', system || '/' || subsystem || '/' || s1, s1, t1, row_number() OVER (PARTITION BY system, subsystem, s1 ORDER BY doc_id, top_ord, top) FROM a JOIN o USING (doc_id)
+  UNION ALL SELECT '{OWN_DOC}', 'function', system || '/' || subsystem || '/' || s1 || '/' || s2, s2, t2, row_number() OVER (PARTITION BY system, subsystem, s1, s2 ORDER BY doc_id DESC, top_ord DESC, ord, node_id DESC) FROM b JOIN o USING (doc_id))
+SELECT tree, layer, path, slug, title FROM x WHERE k = 1""",
     "fact_pages": f"SELECT a.doc_id, module, count(*) AS n_lines, sum(length({_LINE})) AS n_chars, min({_LINE}) AS first_line FROM {_ATOMS} a JOIN (SELECT atom_no, module FROM {_CLASSIFIED}) c USING (atom_no) GROUP BY 1, 2",
 }

@@ -73,3 +73,17 @@ def test_unknown_functions_fall_back_to_their_part(spark):
     parts = spark.createDataFrame([("s", "u", "part", "known")], "system string, subsystem string, part string, function string")
     got = {r.node_id: r.path for r in routing.spec_sections(rows, owners, parts).collect()}
     assert got == {"n001": "s/u/part", "n002": "s/u/part/known", "n003": "s/u/part"}
+
+
+def test_trees_have_all_nodes_of_four_layers(spark, tmp_path):
+    own, spec, more = "M0900001 Platform PES", "M1 Thermal PES", "M2 Thermal PES"
+    rows = [node(own, 1, 1, "Thermal"), node(own, 2, 2, "Zinc", "n001"), node(own, 3, 2, "Air", "n001"), node(own, 4, 2, " ", "n001"), node(own, 5, 1, "THERMAL"), node(own, 6, 2, "Last", "n005")]
+    rows += [node(spec, 1, 1, "Fan"), node(spec, 2, 2, "Speed", "n001"), node(spec, 3, 2, "Noise", "n001"), node(more, 1, 1, "FAN"), node(more, 2, 2, "SPEED", "n001"), node(more, 3, 2, "speed", "n001")]
+    got = all_queries()["taxonomy_nodes"](spark, written(spark, tmp_path, rows)).collect()
+    tree = {(r.layer, r.path): (r.slug, r.title) for r in got if r.tree == own}
+    assert len(got) == len({(r.tree, r.path) for r in got})
+    assert {p: t for (k, p), (_, t) in tree.items() if k == "subsystem" and p.startswith("thermal/")} == {"thermal/zinc": "Zinc", "thermal/air": "Air", "thermal/last": "Last", "thermal/pads": "Thermal pad"}
+    assert tree["system", "thermal"] == ("thermal", "THERMAL") and tree["system", "audio"] == ("audio", "audio")
+    assert {p: t for (k, p), t in tree.items() if k in ("part", "function")} == {"thermal/pads/fan": ("fan", "Fan"), "thermal/pads/fan/speed": ("speed", "SPEED"), "thermal/pads/fan/noise": ("noise", "Noise")}
+    assert {(r.layer, r.path) for r in got if r.tree == spec} == {("system", "fan"), ("subsystem", "fan/speed"), ("subsystem", "fan/noise")}
+    assert all(p.rpartition("/")[0] in {q for _, q in tree} for _, p in tree if "/" in p)
