@@ -232,10 +232,37 @@ def _paged(body: str, doc: str) -> bool:
     return any(0 < len(k) <= 40 and (n >= 2 or name and name in k.lower()) or n >= 3 and k.strip() for k, n in Counter(body.split("\n")).items())
 
 
+def _repeating(body: str, doc: str) -> bool:
+    """Whether ``layout`` can find anything in a body without form feeds: a page number, or two lines
+    that it takes for one heading line of the document, however they were misread."""
+    lines = [x.strip() for x in re.split(r"[\r\n]", body)]
+    if any(0 < len(x) <= 24 and any(map(str.isdigit, x)) and any(p.fullmatch(x) for _, p in _PAGE) for x in lines):
+        return True
+    names = {fold(w) for w in re.findall(r"[^\W_]{2,}", doc)}
+    number = re.match(r"[A-Z]\d{5,}", doc)
+    own = fold(number[0]) if number else None
+    whole = fold(body)  # holds every folded line
+    if not any(whole.count(k) >= 2 for k in (names | {own} if own else names)):
+        return False
+    seen: set[str] = set()
+    for x in lines:
+        if 1 < len(x) <= 60:
+            key = fold(x)
+            if key in seen:
+                return True
+            if own and own in key or any(w in names for w in re.findall(r"[^\W_]{2,}", key)):
+                seen.add(key)
+    return False
+
+
 def lines_of(body: str, doc: str) -> tuple[list[str], set[str]]:
     """The lines of a body's content; a body without any noise of pages is one piece."""
-    several = "\n" in body or "\r" in body or "\x0c" in body
-    return layout(body, doc) if several and _paged(body, doc) else ([body], set())
+    if not ("\n" in body or "\r" in body or "\x0c" in body):
+        return [body], set()
+    if _paged(body, doc):
+        return layout(body, doc)
+    lines, kinds = layout(body, doc) if _repeating(body, doc) else ([], set())
+    return (lines, kinds) if kinds else ([body], set())
 
 
 def _plain(body: str, doc: str) -> str:
