@@ -3,21 +3,26 @@
 The layout of a body is read on its own: lines that hold a page number (a rising sequence in one
 style), heading and foot lines (short lines that come again after a page's length, compared after
 folding characters that scanners confuse), and words broken at a line end. Misread words need the
-corpus: the frequencies of all words form a lexicon, a symmetric-delete index over it gives
-candidates for rare words, and a weighted edit distance, in which confused pairs are cheap,
-together with the frequency of the word pair before it picks the repair. Words are counted by partial
-sums and the index is joined on its deletes. Repairs that are few enough (``MOST_SENT``) are sent to
-the tasks as a book and applied in one pass; more are joined with the words of each body that hold a
-confused pair at all. Both ways give the same result.
+corpus: the frequencies of all words form a lexicon. A symmetric-delete index over it gives candidates
+for rare words; its forms are the words' strokes, in which confused pairs are equal but for one
+stroke, so that any number of them meets. A weighted edit distance, in which confused pairs are cheap,
+together with the frequency of the word pair before it weighs each candidate against the word as it is
+read, after each word that stands before it. Chinese and Japanese have no spaces: there a character
+between its two neighbours is the word, and the index leaves out the character in the middle.
+
+Words are counted by partial sums, and the decisions (word before, misread word, repair) are made by
+joins over the counts. Those that are few enough (``MOST_SENT``) are sent to the tasks as a book and
+applied in one pass; more are joined with the words of each body. Both ways read the same decisions.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -31,13 +36,20 @@ CONFUSED = 0.25  # cost of a confused pair; other edits cost 1
 MAX_COST = 0.8
 RATIO_LETTERS, RATIO_SIGNS = 15, 3  # how much more frequent a repair is than the word
 LEXICON_LEAST = 5
-MAX_WORD = 24
+UNREAD = 2.0  # how much less a word as it is read is believed, as a logarithm; with signs in it: 6
+UNREAD_SIGNS = 6.0
+SHORT = 24  # letters; longer words have so few of a kind that runs of strokes of any length may meet
 
 # What scanners read for what was printed.
 PAIRS = {
     "í": ("i",), "ì": ("i",), "†": ("t",), "@": ("a",), "6": ("b", "6"), "8": ("b", "s"), "5": ("s",), "0": ("o",), "c": ("e",), "1": ("l", "i"), "|": ("l", "i"), "!": ("l", "i"), "q": ("g",), "9": ("g",), "3": ("e",), "$": ("s",), "€": ("e",),
     "rn": ("m",), "ii": ("u", "n"), "li": ("h",), "cl": ("d",), "vv": ("w",), "nn": ("m",), "ni": ("m",), "ri": ("n",), "tl": ("h",), "ln": ("h",), "fi": ("h",),
 }
+# The same for characters of Chinese and Japanese.
+CJK_PAIRS = {
+    "一": ("ー",), "力": ("カ",), "卜": ("ト",), "工": ("エ",), "二": ("ニ",), "口": ("ロ",), "ゐ": ("る",), "茌": ("在",), "丕": ("不",), "渎": ("读",),
+    "庋": ("度",), "侧": ("测",), "犬": ("大",), "栽": ("载",), "干": ("于",), "晴": ("時",), "雷": ("電",), "曰": ("日",), "ば": ("は",),
+}
 _HYPHENS = "-‐¬\xad"
 _C = f"[{CJK}]"
 _PAGE = [
@@ -59,7 +71,7 @@ _CLOSED = re.compile(r"[.!?。！？:;：；]\s*$")
 
 def fold(line: str) -> str:
     """A line as it is compared on different pages: confused characters made equal."""
-    t = re.sub(r"\s+", " ", line.strip().lower())
+    t = " ".join(line.lower().split())
     for a, b in (("rn", "m"), ("nn", "m"), ("ii", "u"), ("vv", "w"), ("cl", "d"), ("li", "h"), ("tl", "h")):
         t = t.replace(a, b)
     return t.translate(_FOLD)
@@ -68,8 +80,25 @@ def fold(line: str) -> str:
 _FOLD = str.maketrans({"í": "i", "ì": "i", "†": "t", "@": "a", "6": "b", "8": "b", "5": "s", "0": "o", "1": "l", "|": "l", "!": "l", "i": "l", "q": "g", "9": "g", "3": "e", "c": "e", "$": "s", "€": "e", "一": "ー", "干": "于"})
 
 
+_RUN = re.compile(r"[^\W\d_]{2,}")
+_CHARACTER = re.compile(_C)
+
+
 def _words(line: str) -> int:
-    return len(re.findall(r"[^\W\d_]{2,}", line)) + len(re.findall(_C, line)) // 3
+    return len(_RUN.findall(line)) + (0 if line.isascii() else len(_CHARACTER.findall(line)) // 3)
+
+
+def _running(line: str) -> bool:
+    """Whether a line has four words at least; reads no more of it than that takes."""
+    n = sum(1 for _ in islice(_RUN.finditer(line), 4))
+    return n >= 4 or not line.isascii() and n + len(_CHARACTER.findall(line)) // 3 >= 4
+
+
+@lru_cache(4096)
+def _naming(doc: str) -> tuple[frozenset[str], str, str]:
+    """The folded words of a document's name, its number, and the number folded."""
+    number = re.match(r"[A-Z]\d{5,}", doc)
+    return frozenset(fold(w) for w in re.findall(r"[^\W_]{2,}", doc)), number[0] if number else "", fold(number[0]) if number else ""
 
 
 def layout(body: str, doc: str = "") -> tuple[list[str], set[str]]:
@@ -77,15 +106,19 @@ def layout(body: str, doc: str = "") -> tuple[list[str], set[str]]:
 
     A body without running text (lists, tables, figures) is left as it is.
     """
-    lines = body.replace("\r\n", "\n").replace("\r", "\n").replace("\x0c", "\n\x0c\n").split("\n")
-    text = [i for i, x in enumerate(lines) if len(x) >= 16 and not _ENTRY.match(x) and _words(x) >= 4]
+    if "\r" in body or "\x0c" in body:
+        body = body.replace("\r\n", "\n").replace("\r", "\n").replace("\x0c", "\n\x0c\n")
+    lines = body.split("\n")
+    if len(lines) < 3:
+        return lines, set()
+    text = [i for i, x in enumerate(lines) if len(x) >= 16 and not _ENTRY.match(x) and _running(x)]
     if len(text) < 3:
         return lines, set()
+    bare = [x.strip() for x in lines]
     kinds: set[str] = set()
     drop: set[int] = set()
     by: dict[str, list[tuple[int, int]]] = {}
-    for i, x in enumerate(lines):
-        x = x.strip()
+    for i, x in enumerate(bare):
         if 0 < len(x) <= 24 and any(map(str.isdigit, x)):
             for style, pattern in _PAGE:
                 if m := pattern.fullmatch(x):
@@ -101,33 +134,38 @@ def layout(body: str, doc: str = "") -> tuple[list[str], set[str]]:
     if drop:
         kinds.add("page_no")
     seen: dict[str, list[int]] = {}
-    names = {fold(w) for w in re.findall(r"[^\W_]{2,}", doc)}
-    number = re.match(r"[A-Z]\d{5,}", doc)
+    names, number, folded = _naming(doc)
     width = sorted(len(lines[i]) for i in text)[len(text) // 2]
-    shown = width * (2 if len(re.findall(_C, lines[text[len(text) // 2]])) * 2 > width else 1)  # as wide as it looks
-    for i, x in enumerate(lines):
-        x = x.strip()
-        if 1 < len(x) <= 60 and (len(x) <= 0.8 * shown or number and number[0] in x) and i not in drop and x != "\x0c" and not _ENTRY.match(x + " ") and (not _CLOSED.search(x) or names and fold(x) and any(n in fold(x).split() for n in names)):
-            seen.setdefault(fold(x), []).append(i)
+    middle = lines[text[len(text) // 2]]
+    shown = width * (2 if not middle.isascii() and len(_CHARACTER.findall(middle)) * 2 > width else 1)  # as wide as it looks
+    for i, x in enumerate(bare):
+        if 1 < len(x) <= 60 and (len(x) <= 0.8 * shown or number and number in x) and i not in drop and not _ENTRY.match(x + " "):
+            key = fold(x)
+            if not _CLOSED.search(x) or names and not names.isdisjoint(key.split()):
+                seen.setdefault(key, []).append(i)
     found_lines: set[int] = set()
     ends = drop | {i for i, x in enumerate(lines) if x == "\x0c"}
     for key, at in seen.items():
-        line = lines[at[0]].strip()
-        own = bool(number and fold(number[0]) in key) or bool(names and any(w in names for w in re.findall(r"[^\W_]{2,}", key)))
+        line = bare[at[0]]
+        if len(at) == 1:
+            if kinds and folded and folded in key and _words(line) <= 6:
+                found_lines.update(at)
+            continue
+        own = bool(folded and folded in key) or bool(names and any(w in names for w in re.findall(r"[^\W_]{2,}", key)))
         gaps = sorted(b - a for a, b in zip(at, at[1:]))
-        apart = gaps[len(gaps) // 4] if gaps else 0  # a page may have a single line, or none
+        apart = gaps[len(gaps) // 4]  # a page may have a single line, or none
         # lines that don't name the document must stand where pages meet
         edges = len(at) >= 3 and 2 * sum(any(j in ends for j in range(i - 2, i + 3)) for i in at) >= len(at)
         other = edges and apart >= 5 and len(line) <= 0.6 * width and _words(line) <= 5 and not re.search(r"[`~{}\\<>|#=\[\]*_();:\"]", line) and re.search(r"[^\W\d_]", line) and _broken(lines, at, drop)
-        if len(at) >= 2 and apart >= 2 and (own and _words(line) <= 7 and not re.match(r"[#=<\\{`~*]", line) or other):
+        if apart >= 2 and (own and _words(line) <= 7 and not re.match(r"[#=<\\{`~*]", line) or other):
             found_lines.update(at)
             if len({" ".join(lines[i].split()) for i in at}) > 1:
                 kinds.add("glyph")  # one heading line in several readings
-        elif len(at) == 1 and kinds and number and fold(number[0]) in key and _words(line) <= 6:
-            found_lines.update(at)
     if found_lines:
         kinds.add("header")
         drop |= found_lines
+    if not ends and not drop:
+        return lines, kinds
     keep, pending = [], False
     for i, x in enumerate(lines):
         if i in drop or x.strip() == "\x0c":
@@ -196,7 +234,7 @@ def joined(lines: list[str], compound: set[str] = frozenset()) -> tuple[str, boo
 
 _MARK = "@†|$€"
 _IN = rf"a-zß-ɏ0-9{_MARK}"
-_WORD = re.compile(rf"(?<![{_IN}])[{_IN}][{_IN}!'’]{{0,{MAX_WORD - 2}}}[{_IN}](?![{_IN}])")
+_WORD = re.compile(rf"(?<![{_IN}])[{_IN}](?:[{_IN}!'’]*[{_IN}])(?![{_IN}])")
 _LETTER = re.compile("[a-zß-ɏ]")
 _MARKED = re.compile(r"<[^<>\n]*>|\\[A-Za-z]+|&[a-z#0-9]+;|\{\{|\}\}|\[\[|\]\]|^[ \t]*\|.*\|[ \t]*$", re.M)
 _HAS_MARKED = re.compile(r"[<\\&{}\[\]|]")
@@ -211,58 +249,51 @@ def is_word(w: str) -> bool:
     return w.isalpha() or _LETTER.search(w) is not None
 
 
+_PARTS = re.compile(f"[{_IN}!'’]+")
+
+
+@lru_cache(1 << 17)
+def _known_word(run: str) -> str:
+    """The word in a run of its characters: without signs at its ends, "" for what is none."""
+    w = run.strip("!'’")
+    return w if len(w) > 1 and is_word(w) else ""
+
+
 def words_of(text: str) -> list[str]:
-    """Words that may be misread: with a letter, in lower case, from two to ``MAX_WORD`` characters."""
-    return [w for w in _WORD.findall(text.lower()) if w.isalpha() or _LETTER.search(w)]
+    """Words that may be misread: with a letter, in lower case, of two characters or more."""
+    return list(filter(None, map(_known_word, _PARTS.findall(text.lower()))))
 
 
-_BREAK = re.compile(rf"[{_HYPHENS}][ \t]*[\r\n\x0c]")
-_NUMBERED = re.compile(r"^[ \t]*(?:[-—–~][ \t]*\d+[ \t]*[-—–~]|\[\d+\]|\d{1,4}\.?|p(?:p|age|ag|[aá]gina)?\.?[ \t]*\d+[^\n]{0,14}|seite[ \t]*\d+[^\n]{0,14}|\d+[ \t]*/[ \t]*\d+|第[ \t]*\d+[ \t]*\S{1,3})[ \t]*\r?$", re.M | re.I)
+_READ = re.compile(f"[{''.join(CJK_PAIRS)}]")
+_EITHER = re.compile(f"[{''.join(CJK_PAIRS)}{''.join(x for to in CJK_PAIRS.values() for x in to)}]")
+_UNREAD = str.maketrans({read: to[0] for read, to in CJK_PAIRS.items()})
 
 
-def _paged(body: str, doc: str) -> bool:
-    """Whether a body of several lines may hold noise of pages at all: a line like a page number, a
-    form feed, a broken word, the document's number, a
-    short line with its name, or a line that comes again."""
-    if "\x0c" in body or _BREAK.search(body) or _NUMBERED.search(body):
-        return True
-    number, name = [*doc.lower().split()[:2], "", ""][:2]
-    if number and number in body.lower():
-        return True
-    return any(0 < len(k) <= 40 and (n >= 2 or name and name in k.lower()) or n >= 3 and k.strip() for k, n in Counter(body.split("\n")).items())
+class _Beside(dict):
+    """Neighbours as they are compared: confused characters made equal, digits, letters and gaps alike."""
 
+    def __missing__(self, c: str) -> str:
+        self[c] = v = "0" if c.isdigit() else "a" if c.isascii() and c.isalpha() else " " if not c.isalnum() else c.translate(_UNREAD)
+        return v
+
+
+_BESIDE = _Beside()
 
-def _repeating(body: str, doc: str) -> bool:
-    """Whether ``layout`` can find anything in a body without form feeds: a page number, or two lines
-    that it takes for one heading line of the document, however they were misread."""
-    lines = [x.strip() for x in re.split(r"[\r\n]", body)]
-    if any(0 < len(x) <= 24 and any(map(str.isdigit, x)) and any(p.fullmatch(x) for _, p in _PAGE) for x in lines):
-        return True
-    names = {fold(w) for w in re.findall(r"[^\W_]{2,}", doc)}
-    number = re.match(r"[A-Z]\d{5,}", doc)
-    own = fold(number[0]) if number else None
-    whole = fold(body)  # holds every folded line
-    if not any(whole.count(k) >= 2 for k in (names | {own} if own else names)):
-        return False
-    seen: set[str] = set()
-    for x in lines:
-        if 1 < len(x) <= 60:
-            key = fold(x)
-            if key in seen:
-                return True
-            if own and own in key or any(w in names for w in re.findall(r"[^\W_]{2,}", key)):
-                seen.add(key)
-    return False
+
+def windows(text: str, what: re.Pattern[str] = _EITHER) -> list[tuple[int, str]]:
+    """Place and window of each character that may be misread, or be what was printed: the sign of a
+    window, the neighbour before, the character, the neighbour after."""
+    if text.isascii():
+        return []
+    return [(i, f"\x01{_BESIDE[text[i - 1 : i]]}{text[i]}{_BESIDE[text[i + 1 : i + 2]]}") for i in map(re.Match.start, what.finditer(text))]
 
 
 def lines_of(body: str, doc: str) -> tuple[list[str], set[str]]:
-    """The lines of a body's content; a body without any noise of pages is one piece."""
+    """The lines of a body's content; a body without any noise of pages or broken word is one piece."""
     if not ("\n" in body or "\r" in body or "\x0c" in body):
         return [body], set()
-    if _paged(body, doc):
-        return layout(body, doc)
-    lines, kinds = layout(body, doc) if _repeating(body, doc) else ([], set())
-    return (lines, kinds) if kinds else ([body], set())
+    lines, kinds = layout(body, doc)
+    return (lines, kinds) if kinds or breaks(lines) else ([body], set())
 
 
 def _plain(body: str, doc: str) -> str:
@@ -274,7 +305,7 @@ _COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of words, of pairs (before, word) and of hyphen compounds, summed by batch."""
+    """Counts of words, of windows, of pairs (before, word) and of hyphen compounds, summed by batch."""
     for b in batches:
         words: Counter[str] = Counter()
         pairs: Counter[tuple[str, str]] = Counter()
@@ -283,6 +314,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found = words_of(text)
             words.update(found)
             pairs.update(zip(["", *found], found))
+            words.update(w for _, w in windows(text))
             if "-" in text:
                 words.update(x.lower() for x in _COMPOUND.findall(text))
         yield pd.DataFrame({"before": [None] * len(words) + [a for a, _ in pairs], "word": [*words, *(w for _, w in pairs)], "n": [*words.values(), *pairs.values()]}, columns=["before", "word", "n"])
@@ -294,123 +326,164 @@ def frequencies(sections: DataFrame) -> DataFrame:
     return counted.groupBy("before", "word").agg(F.sum("n").alias("n"))
 
 
-def deletes(word: str, most: int = 2) -> set[str]:
-    """Forms of a word with up to ``most`` characters left out, of a short word only one: two letters
-    read for one are two left out."""
-    most = most if len(word) >= 4 else 1
-    out = level = {word}
-    for _ in range(most):
-        level = {w[:i] + w[i + 1 :] for w in level for i in range(len(w))}
-        out = out | level
-    return {w for w in out if w}
+# The strokes that letters and their readings have in common.
+_STROKES = str.maketrans({"í": "i", "ì": "i", "1": "i", "|": "i", "!": "i", "l": "i", "t": "i", "†": "i", "f": "i", "r": "i", "n": "ii", "u": "ii", "h": "ii", "m": "iii", "d": "ci", "w": "vv", "e": "c", "3": "c", "€": "c", "@": "a", "0": "o", "q": "g", "9": "g", "6": "s", "8": "s", "5": "s", "$": "s", "b": "s"})
+
+
+def strokes(word: str) -> str:
+    """A word's strokes: equal for what is read and what was printed, but for one stroke in ``nn`` and ``ln``."""
+    return word.translate(_STROKES)
+
+
+def forms(word: str) -> set[str]:
+    """Forms on which a word meets those that it may be a reading of.
+
+    Strokes and strokes less one, so two words meet if their strokes differ in one place; a word with
+    ``nn`` or ``ln`` has both as they are and as ``m`` and ``h``, which is enough for three of them.
+    Long words meet on strokes without the length of their runs; lengths near the bound have both. A
+    window meets on its neighbours. The forms of a short word are nearly as long as itself, and so few
+    words share one, however many words there are.
+    """
+    if word[:1] == "\x01":
+        return {word[:2] + word[3:]}
+    s = strokes(word)
+    out = set()
+    if len(word) <= SHORT + 3:  # three pairs are read in a word at most, each a letter longer
+        for x in {s, strokes(word.replace("ln", "h").replace("nn", "m"))}:
+            out |= {x} | {x[:i] + x[i + 1 :] for i in range(len(x))}
+    if len(word) >= SHORT - 3:
+        out.add("\x02" + re.sub("i+", "i", s))
+    return out
 
 
 def distance(read: str, printed: str, most: float = MAX_COST) -> float:
-    """Weighted edit distance from a printed word to what was read of it; inf beyond ``most``."""
+    """Weighted edit distance from a printed word to what was read of it; inf beyond ``most``.
+
+    Only places within ``most`` are visited, so long words cost their length.
+    """
     n, m = len(read), len(printed)
-    if abs(n - m) > 2:
-        return float("inf")
-    rows: list[list[float]] = [[float("inf")] * (m + 1) for _ in range(n + 1)]
+    rows: list[dict[int, float]] = [{} for _ in range(n + 1)]
     rows[0][0] = 0.0
+
+    def put(i: int, j: int, d: float) -> None:
+        if d <= most and d < rows[i].get(j, float("inf")):
+            rows[i][j] = d
+
     for i in range(n + 1):
-        for j in range(m + 1):
-            d = rows[i][j]
-            if d > most:
-                continue
-            if i < n and j < m and read[i] == printed[j]:
-                rows[i + 1][j + 1] = min(rows[i + 1][j + 1], d)
-            for size in (1, 2):
-                for to in PAIRS.get(read[i : i + size], ()) if i + size <= n else ():
-                    if printed.startswith(to, j):
-                        rows[i + size][j + len(to)] = min(rows[i + size][j + len(to)], d + CONFUSED)
-            if i < n and j < m:
-                rows[i + 1][j + 1] = min(rows[i + 1][j + 1], d + 1)
-            if i < n:
-                rows[i + 1][j] = min(rows[i + 1][j], d + 1)
-            if j < m:
-                rows[i][j + 1] = min(rows[i][j + 1], d + 1)
-    return rows[n][m] if rows[n][m] <= most else float("inf")
+        row = rows[i]
+        for j in sorted(row):
+            while True:  # a letter left out leads to the next place of the same row
+                d = row[j]
+                if i < n and j < m:
+                    put(i + 1, j + 1, d if read[i] == printed[j] else d + 1)
+                for size in (1, 2):
+                    for to in PAIRS.get(read[i : i + size], ()) if i + size <= n else ():
+                        if printed.startswith(to, j):
+                            put(i + size, j + len(to), d + CONFUSED)
+                if i < n:
+                    put(i + 1, j, d + 1)
+                if j >= m or d + 1 > most or d + 1 >= row.get(j + 1, float("inf")):
+                    break
+                row[j + 1] = d + 1
+                j += 1
+    return rows[n].get(m, float("inf"))
 
 
 def _indexed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for at in range(0, len(b), 2000):
             part = b.iloc[at : at + 2000]
-            out = [(w, n, d) for w, n in zip(part.word, part.n) for d in deletes(w)]
+            out = [(w, n, d) for w, n in zip(part.word, part.n) for d in forms(w)]
             yield pd.DataFrame(out, columns=["word", "n", "form"])
 
 
+def _cost(read: str, printed: str) -> float:
+    if read[:1] == "\x01":
+        return CONFUSED if printed[2] in CJK_PAIRS.get(read[2], ()) else float("inf")
+    return distance(read, printed)
+
+
 def _measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        b = b.assign(cost=[distance(a, c) for a, c in zip(b.word, b.candidate)])
+        b = b.assign(cost=[_cost(a, c) for a, c in zip(b.word, b.candidate)])
         yield b[b.cost <= MAX_COST][["word", "n", "candidate", "m", "cost"]]
 
 
-def suspect(word: str) -> bool:
-    """Whether a word holds something that is a confused pair at all."""
-    return any(p in word for p in PAIRS)
-
-
 def candidates(words: DataFrame) -> DataFrame:
-    """word, candidate, cost, m for rare words (word, n), by a symmetric-delete index.
+    """word, n, candidate, m, cost for rare words (word, n), by a symmetric-delete index.
 
     A candidate is a word of letters only, ``LEXICON_LEAST`` times or more in the corpus and
-    ``RATIO_*`` times as frequent as the word. Both sides are joined on their deletes; delete forms
-    are short of the words themselves, so none is frequent.
+    ``RATIO_*`` times as frequent as the word. Both sides are joined on their ``forms``.
     """
     held = "^.*(?:[" + "".join(re.escape(p) for p in PAIRS if len(p) == 1) + "]|" + "|".join(p for p in PAIRS if len(p) == 2) + ").*$"
-    lexicon = words.filter((F.col("n") >= LEXICON_LEAST) & F.col("word").rlike(r"^[\p{L}'’]+$"))
-    rare = words.filter(F.col("word").rlike(held) & ~F.col("word").contains("-"))
+    window = F.col("word").startswith("\x01")
+    read = F.substring("word", 3, 1).isin(*CJK_PAIRS)
+    lexicon = words.filter((F.col("n") >= LEXICON_LEAST) & (window & ~read | F.col("word").rlike(r"^[\p{L}'’]+$")))
+    rare = words.filter(window & read | ~window & F.col("word").rlike(held) & ~F.col("word").contains("-"))
     index = lexicon.mapInPandas(_indexed, "word string, n long, form string").select(F.col("word").alias("candidate"), F.col("n").alias("m"), "form")
     asked = rare.mapInPandas(_indexed, "word string, n long, form string")
-    signs = F.col("word").rlike(r"[0-9@†|!$€]")
-    ratio = F.when(signs, RATIO_SIGNS).otherwise(RATIO_LETTERS)
+    ratio = F.when(window | F.col("word").rlike(SIGNS), RATIO_SIGNS).otherwise(RATIO_LETTERS)
     near = asked.join(index, "form").filter((F.col("word") != F.col("candidate")) & (F.col("m") >= F.col("n") * ratio)).select("word", "n", "candidate", "m").distinct()
     return near.mapInPandas(_measured, "word string, n long, candidate string, m long, cost double")
 
 
-REPAIRED = "doc_id string, anchor string, text string, noise array<string>"
+SIGNS = r"[0-9@†|!$€]"
 
 
-def _asked(known: frozenset[str] | None):
-    """Words of each body that have a repair, once each with the word before, and the compounds that
-    breaks ask for. known: the words that have one; None if they are too many to send."""
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out: set[tuple] = set()
-            for doc, anchor, body in zip(b.doc_id, b.anchor, b.body):
-                lines, _ = lines_of(body, doc or "")
-                if len(lines) > 1:
-                    for _, a, mark, rest in breaks(lines):
-                        if mark in "-‐":
-                            out.add((doc, anchor, f"{a}-{rest}".lower().strip(".,;:"), ""))
-                found = words_of(unmarked(joined(lines)[0] if len(lines) > 1 else body))
-                if known is None or not known.isdisjoint(found):
-                    out.update((doc, anchor, w, last) for last, w in zip(["", *found], found) if (w in known if known is not None else suspect(w)))
-            yield pd.DataFrame(list(out), columns=["doc_id", "anchor", "word", "before"])
+def decisions(counted: DataFrame) -> DataFrame:
+    """before, word, repair: what to read for a misread word after the word before it.
 
-    return of
+    counted: word, before, n as of ``frequencies``. Each candidate is weighed by the logarithms of its
+    frequency and of the pair's against the cost of its edits, and so is the word as it is read, without
+    the very place that asks. Words that stay have no row. Compounds whose hyphen is their
+    own have a row without a repair.
+    """
+    words = counted.filter("before is null").select("word", "n")
+    pairs = counted.filter("before is not null").select("before", F.col("word").alias("candidate"), F.col("n").alias("together"))
+    near = candidates(words)
+    window = F.col("word").startswith("\x01")
+    asked = pairs.select("before", F.col("candidate").alias("word"), F.col("together").alias("read")).join(near.filter(~window), "word")
+    asked = asked.unionByName(near.filter(window).select("word", F.lit("").alias("before"), F.lit(1).cast("long").alias("read"), "n", "candidate", "m", "cost"))
+    hits = asked.join(pairs, ["before", "candidate"], "left")
+    score = F.log(F.col("m") + 1.0) + 2 * F.log(F.coalesce("together", F.lit(0)) + 1.0) - 8 * F.col("cost")
+    kept = F.log(F.col("n").cast("double")) + 2 * F.log(F.col("read").cast("double")) - F.when(window | F.col("word").rlike(SIGNS), UNREAD_SIGNS).otherwise(UNREAD)
+    best = hits.groupBy("before", "word").agg(F.max(F.struct(score.alias("s"), F.col("candidate").alias("repair"))).alias("x"), F.first(kept).alias("kept"))
+    own = words.filter(F.col("word").contains("-") & (F.col("n") >= 2)).select(F.lit("").alias("before"), "word", F.lit(None).cast("string").alias("repair"))
+    return best.filter(F.col("x.s") > F.col("kept")).select("before", "word", F.col("x.repair").alias("repair")).unionByName(own)
+
+
+REPAIRED = "doc_id string, anchor string, text string, noise array<string>"
+
+
+def _asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What each body may ask the decisions for, once each: its words with the word before, its
+    windows, and the compounds of its broken words."""
+    for b in batches:
+        out: set[tuple] = set()
+        for doc, anchor, body in zip(b.doc_id, b.anchor, b.body):
+            lines, _ = lines_of(body, doc or "")
+            if len(lines) > 1:
+                out.update((doc, anchor, "", f"{a}-{rest}".lower().strip(".,;:")) for _, a, mark, rest in breaks(lines) if mark in "-‐")
+            text = unmarked(joined(lines)[0] if len(lines) > 1 else body)
+            found = words_of(text)
+            out.update((doc, anchor, last, w) for last, w in zip(["", *found], found))
+            out.update((doc, anchor, "", w) for _, w in windows(text, _READ))
+        yield pd.DataFrame(list(out), columns=["doc_id", "anchor", "before", "word"])
 
 
 class Book:
-    """All repairs in memory, where they are few enough: misread words to their candidates, counts of
-    pairs for words with several, and compounds."""
+    """All decisions in memory, where they are few enough."""
 
-    def __init__(self, fixes: list[tuple[str, str, float, int]], pairs: list[tuple[str, str, int]], compounds: list[str]) -> None:
-        self.fixes: dict[str, list[tuple[str, float, int]]] = {}
-        for word, candidate, cost, m in fixes:
-            self.fixes.setdefault(word, []).append((candidate, cost, m))
-        self.known, self.pairs, self.compounds = frozenset(self.fixes), {(a, b): n for a, b, n in pairs}, frozenset(compounds)
+    def __init__(self, rows: list[tuple[str, str, str | None]]) -> None:
+        self.repairs = {(before, word): to for before, word, to in rows if to is not None}
+        self.known = frozenset(word for _, word in self.repairs)
+        self.compounds = frozenset(word for _, word, to in rows if to is None)
 
-    def found(self, words: list[str]) -> dict[tuple[str, str], str | None]:
-        """The best repair of each misread word after the word before it; scored as in the join."""
+    def found(self, words: list[str]) -> dict[tuple[str, str], str]:
+        """The repairs of the words of a text, by the word before and the word."""
         if self.known.isdisjoint(words):
             return {}
-        out: dict[tuple[str, str], str | None] = {}
-        for last, w in zip(["", *words], words):
-            if w in self.known and (last, w) not in out:
-                out[last, w] = max((math.log(m + 1.0) + 2 * math.log(self.pairs.get((last, c), 0) + 1.0) - 8 * cost, c) for c, cost, m in self.fixes[w])[1]
-        return out
+        return {k: self.repairs[k] for k in zip(["", *words], words) if k in self.repairs}
 
 
 def _repair_by(book):
@@ -426,8 +499,8 @@ def _repair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
         for doc, anchor, body, found in zip(b.doc_id, b.anchor, b.body, b.found):
-            text, kinds = repair(body, doc, {(r["before"], r["word"]): r["repair"] for r in found} if found is not None else {})
-            out.append((doc, anchor, text, kinds))
+            book = Book([(r["before"], r["word"], r["repair"]) for r in found] if found is not None else [])
+            out.append((doc, anchor, *repair(body, doc, book=book)))
         yield pd.DataFrame(out, columns=["doc_id", "anchor", "text", "noise"])
 
 
@@ -435,130 +508,96 @@ _CJK_STOPS = re.compile(rf"(?<=[{CJK}])(?:([.,])(?=\s*[{CJK}]|\s*\d|\s*$)|(`)(?=
 _CJK_UNIT = re.compile(rf"(?<=[{CJK}])([\d.,\s]{{1,12}}[A-Za-zµμ°·%]{{1,4}})\.(?=[{CJK}])")
 _CJK_MARKS = {".": "。", ",": "，", "`": "、"}
 
-# Characters between neighbours beside which they are a misreading.
-_CJK_CONTEXT = [
-    ("一", re.compile(r"(?<=[ァ-ヶ])一(?=[ァ-ヶ])|(?<=[ァ-ヶ])一(?=[のをはがにでと、。])"), "ー"),
-    ("力", re.compile(r"(?<=[ァ-ヶー])力|力(?=[ァ-ヶー])"), "カ"),
-    ("卜", re.compile(r"(?<=[ァ-ヶー])卜|卜(?=[ァ-ヶー])"), "ト"),
-    ("工", re.compile(r"(?<=[ァ-ヶー])[工](?=[ァ-ヶー])"), "エ"),
-    ("二", re.compile(r"(?<=[ァ-ヶー])[二](?=[ァ-ヶー])"), "ニ"),
-    ("口", re.compile(r"(?<=[ァ-ヶー])[口](?=[ァ-ヶー])"), "ロ"),
-    ("ゐ", re.compile(r"ゐ"), "る"),
-    ("茌", re.compile(r"茌"), "在"),
-    ("丕", re.compile(r"丕"), "不"),
-    ("渎", re.compile(r"渎"), "读"),
-    ("庋", re.compile(r"庋"), "度"),
-    ("侧", re.compile(r"侧(?=[试量定])"), "测"),
-    ("犬", re.compile(r"(?<=[最更很])犬|犬(?=[于き小])"), "大"),
-    ("栽", re.compile(r"栽(?=荷)"), "载"),
-    ("干", re.compile(r"(?<=[低大小高等属由位对関])干|干(?=\d)"), "于"),
-    ("晴", re.compile(r"(?<=\d)晴(?=間)|晴(?=[間は、に])"), "時"),
-    ("雷", re.compile(r"雷(?=[池源圧力気])|(?<=[充放通])雷"), "電"),
-    ("曰", re.compile(r"曰(?=[期時間])|(?<=\d)曰"), "日"),
-    ("ば", re.compile(r"(?<=[のー面枠窓池イ板部い子値材料線])ば(?=休|[一-鿿ァ-ヶ\d、])|(?<=て)ば(?=い[けな])"), "は"),
-    ("丨", re.compile(rf"(?<=[{CJK}])丨(?=[{CJK}，。、]|\s|$)", re.M), ""),
-]
+_STROKE = re.compile(rf"(?<=[{CJK}])丨(?=[{CJK}，。、]|\s|$)", re.M)  # a stroke that no word has
 
 
-def cjk_repair(text: str) -> tuple[str, bool]:
-    """Marks and characters of Chinese and Japanese texts that their neighbours show to be misread."""
-    if text.isascii() or len(re.findall(_C, text)) < 20:
-        return text, False
+def marks_repaired(text: str) -> str:
+    """Marks of Chinese and Japanese texts that are read as those of other scripts, line by line."""
+    if text.isascii() or not any(map(text.__contains__, ".,`丨")) or not _CHARACTER.search(text):
+        return text
     japanese = len(re.findall(r"[぀-ヿ]", text)) > len(text) // 50
-    fixed = _CJK_STOPS.sub(lambda m: "、" if japanese and m[1] == "," else _CJK_MARKS[m[1] or m[2]], text)
-    fixed = _CJK_UNIT.sub(r"\1。", fixed)
-    for needs, pattern, to in _CJK_CONTEXT:
-        if needs in fixed:
-            fixed = pattern.sub(to, fixed)
-    return fixed, fixed != text
+    lines = text.split("\n")
+    for i, x in enumerate(lines):
+        n = len(_CHARACTER.findall(x))
+        if n > 1 and n * 2 >= sum(map(str.isalpha, x)):
+            x = _CJK_STOPS.sub(lambda m: "、" if japanese and m[1] == "," else _CJK_MARKS[m[1] or m[2]], x)
+            lines[i] = _STROKE.sub("", _CJK_UNIT.sub(r"\1。", x))
+    return "\n".join(lines)
+
+
+def characters_repaired(text: str, repairs: dict[tuple[str, str], str]) -> str:
+    """Misread characters of Chinese and Japanese texts replaced, by the windows that have a repair."""
+    at = {i: to[2] for i, w in windows(text, _READ) if (to := repairs.get(("", w)))}
+    return "".join(at.get(i, c) for i, c in enumerate(text)) if at else text
 
 
 _EOL = re.compile(r"\r\n|\r|\n")
+_NONE = Book([])
 
 
-def repair(body: str | None, doc: str | None, found: dict[tuple[str, str], str | None] | None = None, book: Book | None = None) -> tuple[str | None, list[str]]:
-    """Repaired text and kinds of noise of one body. found: (word before, misread word) to its repair,
-    None for a compound whose hyphen is its own; or the book of all repairs."""
+def repair(body: str | None, doc: str | None, book: Book = _NONE) -> tuple[str | None, list[str]]:
+    """Repaired text and kinds of noise of one body, by the decisions of a book."""
     if not isinstance(body, str) or not body.strip():
         return body, []
     lines, kinds = lines_of(body, doc or "")
     kinds = set(kinds)
-    if book is not None:
-        compounds = book.compounds
-        found = book.found(words_of(unmarked(joined(lines)[0] if len(lines) > 1 else body)))
-    else:
-        found = found or {}
-        compounds = {w for (_, w), to in found.items() if to is None}
+    text = body
     if len(lines) > 1:
-        text, hyphen = joined(lines, compounds)
+        text, hyphen = joined(lines, book.compounds)
         if hyphen:
             kinds.add("hyphen")
-    else:
-        text = body
-        if any(to for to in found.values()) or not body.isascii() and cjk_repair(body)[1]:
-            text = joined(_EOL.split(body))[0]
-        elif not body.isascii():
-            return body, []
-    if any(to for to in found.values()):
-        marked = [m.span() for m in _MARKED.finditer(text)]
-        out, at, last = [], 0, ""
-        for m in _WORD.finditer(text.lower()):
-            w = m[0]
-            if not is_word(w):
-                continue
-            to, (a, b) = found.get((last, w)), m.span()
-            last = w
-            if to and not any(x < b and a < y for x, y in marked):
-                word = text[a:b]
-                if word[0].isupper() or not word[0].isalpha() and (a == 0 or re.search(r"[.!?]\s*$", text[max(0, a - 3) : a])):
-                    to = to[0].upper() + to[1:]
-                out += [text[at:a], to.upper() if word.upper() == word and len(word) > 2 and any(map(str.isalpha, word)) else to]
-                at = b
-                kinds.add("glyph")
-        text = "".join([*out, text[at:]])
-    text, misread = cjk_repair(text)
-    if misread:
+    found = book.found(words_of(unmarked(text)))
+    whole = len(lines) > 1
+    for _ in range(2):  # repaired as it stands, and again as paragraphs if there was anything to repair
+        fixed = marks_repaired(characters_repaired(_replaced(text, found), book.repairs))
+        if fixed == text or whole:
+            break
+        text, whole = joined(_EOL.split(body))[0], True
+    if fixed != text:
         kinds.add("glyph")
-    return (text if kinds else body), [k for k in KINDS if k in kinds]
+    return (fixed if kinds else body), [k for k in KINDS if k in kinds]
+
+
+def _replaced(text: str, found: dict[tuple[str, str], str]) -> str:
+    """A text with its misread words repaired, but for those inside mark-up."""
+    if not found:
+        return text
+    marked = [m.span() for m in _MARKED.finditer(text)]
+    out, at, last = [], 0, ""
+    for m in _WORD.finditer(text.lower()):
+        w = m[0]
+        if not is_word(w):
+            continue
+        to, (a, b) = found.get((last, w)), m.span()
+        last = w
+        if to and not any(x < b and a < y for x, y in marked):
+            word = text[a:b]
+            if word[0].isupper() or not word[0].isalpha() and (a == 0 or re.search(r"[.!?]\s*$", text[max(0, a - 3) : a])):
+                to = to[0].upper() + to[1:]
+            out += [text[at:a], to.upper() if word.upper() == word and len(word) > 2 and any(map(str.isalpha, word)) else to]
+            at = b
+    return "".join([*out, text[at:]])
 
 
-MOST_SENT = 200_000  # repairs, and pairs of words, that are sent to the tasks; more are joined
+MOST_SENT = 200_000  # decisions that are sent to the tasks; more are joined
 
 
 def repair_scans(sections: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
     """Continuous text and kinds of noise for each body (doc_id, anchor, body), one row per row.
 
     Null, blank and clean bodies stay as they are, without kinds. Rows are told apart by doc_id and
-    anchor, which should be unique. Other columns are left out. Up to ``most_sent`` repairs go to the
-    tasks as a book; more are joined on the rare words of each body, with the same result.
+    anchor, which should be unique. Other columns are left out. Up to ``most_sent`` decisions go to the
+    tasks as a book; more are joined with the words of each body, with the same result.
     """
     sections = sections.select("doc_id", "anchor", "body")
-    counted = checkpointed(frequencies(sections))  # small beside the texts, and read three times
-    words = counted.filter("before is null").select("word", "n")
-    near = candidates(words)
-    pairs = counted.filter("before is not null").select(F.col("before").alias("b"), F.col("word").alias("candidate"), F.col("n").alias("with_before"))
-    own = words.filter(F.col("word").contains("-") & (F.col("n") >= 2)).select("word", F.lit(None).cast("string").alias("candidate"), F.lit(0.0).alias("cost"), F.lit(0).cast("long").alias("m"))
-    fixes = checkpointed(near.select("word", "candidate", "cost", "m").unionByName(own))
-    few = fixes.limit(most_sent + 1).collect()
-    known = None
+    counted = checkpointed(frequencies(sections))  # small beside the texts, and read several times
+    decided = checkpointed(decisions(counted))
+    few = decided.limit(most_sent + 1).collect()
     if len(few) <= most_sent:
-        by: dict[str, list[str]] = {}
-        for r in few:
-            if r.candidate is not None:
-                by.setdefault(r.word, []).append(r.candidate)
-        known = frozenset(by)
-        several = sorted({c for cs in by.values() if len(cs) > 1 for c in cs})
-        asked_pairs = pairs.join(F.broadcast(sections.sparkSession.createDataFrame([(c,) for c in several], "candidate string")), "candidate").select("b", "candidate", "with_before").limit(most_sent + 1).collect() if several else []
-        if len(asked_pairs) <= most_sent:
-            book = Book([(r.word, r.candidate, r.cost, r.m) for r in few if r.candidate is not None], [tuple(r) for r in asked_pairs], [r.word for r in few if r.candidate is None])
-            return sections.mapInPandas(_repair_by(sections.sparkSession.sparkContext.broadcast(book)), REPAIRED)
-    asked = sections.filter("body is not null").mapInPandas(_asked(known), "doc_id string, anchor string, word string, before string")
-    hits = asked.join(fixes, "word")
-    hits = hits.join(pairs, (hits.before == pairs.b) & hits.candidate.eqNullSafe(pairs.candidate), "left").drop(pairs.candidate)
-    # log frequency of the word and of the pair against the cost of the edits
-    score = F.log(F.col("m") + 1.0) + 2 * F.log(F.coalesce(F.col("with_before"), F.lit(0)) + 1.0) - 8 * F.col("cost")
-    best = hits.groupBy("doc_id", "anchor", "before", "word").agg(F.max(F.struct(score.alias("s"), F.col("candidate").alias("repair"))).alias("x"))
-    found = best.groupBy("doc_id", "anchor").agg(F.collect_list(F.struct("before", "word", F.col("x.repair").alias("repair"))).alias("found"))
+        book = Book([tuple(r) for r in few])
+        return sections.mapInPandas(_repair_by(sections.sparkSession.sparkContext.broadcast(book)), REPAIRED)
+    asked = sections.filter("body is not null").mapInPandas(_asked, "doc_id string, anchor string, before string, word string")
+    found = asked.join(decided, ["before", "word"]).groupBy("doc_id", "anchor").agg(F.collect_list(F.struct("before", "word", "repair")).alias("found"))
     a, f = sections.alias("a"), found.alias("f")
     both = a.join(f, F.col("a.doc_id").eqNullSafe(F.col("f.doc_id")) & F.col("a.anchor").eqNullSafe(F.col("f.anchor")), "left")
     return both.select("a.doc_id", "a.anchor", "a.body", "f.found").mapInPandas(_repair, REPAIRED)
