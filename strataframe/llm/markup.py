@@ -1,20 +1,23 @@
 """Mark-up residue of four notations, turned into clean text.
 
-A text is cut into blocks. The first pass decides each block by rules: which notation's
-constructs it holds that can be no other's, and by its length, the density of stop words and the
-density of links whether it is prose, a heading, a list, code, a formula, a table or navigation.
-Short blocks whose constructs might belong to several notations (a line of ``#``, rows between
-bars, doubled stars before an entry) stay undecided; the second pass gives them the notation of the
-nearest decided block, and short blocks without stop words the class of their neighbours.
-
-The clean text keeps headings, list entries, code, formulas and table cells; navigation (short,
-mostly links, no stop words) and constructs without text are left out.
+A text is cut into blocks, which two passes decide. The first pass finds which notation's constructs a
+block holds that can be no other's, and sorts blocks by length, density of stop words and density of
+links: running text, structure (headings, lists, tables, code, formulas), boilerplate (mostly links,
+hardly a stop word), or short. Short blocks are ambiguous twice over. Constructs in them that several notations
+share (a line of ``#``, rows between bars, doubled stars before an entry) may belong to any of these,
+while in running text they are plain writing; and a few words without stop words may be content or
+boilerplate. The second pass gives an ambiguous block the notation of the nearest decided block that
+can have its constructs, and content or boilerplate as its nearest decided neighbours are.
+
+The clean text keeps headings, list entries, code, formulas and table cells; boilerplate and constructs
+without text are left out.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -70,10 +73,10 @@ _STRONG = {
 _NEEDS = {
     "html": ["<", "<!", "&"],
     "markdown": ["]", "]:", "**", "__", "~~", "---", "\n", "`", "> ", "#", "- ["],
-    "wiki": ["==", "[[", "{{", "|", "''", "__", ". ", "|", "{", "||"],
+    "wiki": ["==", "[[", "{{", "|", "''", "__", ".", "|", "{", "||"],
     "latex": ["\\", "\\", "\\", "\\", "$$", "$", "\\"],
 }
-_GATED = {n: list(zip(_NEEDS[n], _STRONG[n], strict=True)) for n in _STRONG}
+_GATED = [(n, need, p) for n in _STRONG for need, p in zip(_NEEDS[n], _STRONG[n], strict=True)]
 
 
 #: Constructs of short blocks that several notations share, and to which they may go.
@@ -83,7 +86,8 @@ _WEAK = [
     (re.compile(r"^\|[^|\n]+\|(?:[^|\n]*\|)+[ \t]*$", re.M), ("markdown", "wiki")),
     (re.compile(r"^[;:][ \t]+\S", re.M), ("wiki",)),
 ]
-_NEST = re.compile(r"^\*{2,5}[ \t]+\S|^#{2,6}[ \t]+\S", re.M)
+RUNNING = 0.12  # share of stop words from which a block of many words is running text
+FEW_WORDS = 6
 
 _CODE = [
     ("markdown", re.compile(r"(?:\A|(?<=\n))[ \t]{0,3}(```+|~~~+)[^\n`]*\n(.*?)(?:\n[ \t]{0,3}\1[`~]*[ \t]*(?=\n|\Z)|\Z)", re.S), 2),
@@ -101,7 +105,7 @@ _FORMULA = [
     ("wiki", re.compile(r"<math\b[^>]*>(.*?)</math>", re.S | re.I), 1),
     ("html", re.compile(r"<p\b[^>]*class=['\"]?eq['\"]?[^>]*>(.*?)</p\s*>", re.S | re.I), 1),
 ]
-_HELD = {"markdown": ("```", "~~~"), "html": ("<p",), "wiki": ("{", "<"), "latex": ("\\", "$$")}
+_HELD = {"markdown": ("```", "~~~"), "html": ("<",), "wiki": ("{", "<"), "latex": ("\\", "$$")}
 _ANY = re.compile(r"[<&#*_`~\[{=\\$|>]|''|^h[1-6]\.|^bq\.|^-{4}|^[;:] ", re.M)
 _BLOCK_TAG = re.compile(r"</?(?:p|div|h[1-6]|ul|ol|li|table|tr|pre|hr|blockquote|dl|dt|dd|section|article|header|footer|nav|body|html|head|title|form|tbody|thead|caption)\b[^<>]*>", re.I)
 
@@ -119,15 +123,13 @@ def _density(text: str) -> tuple[int, float]:
 
 
 class Block:
-    """A block: its raw text, the notations that hold it, those it might belong to, and its class."""
+    """A block: its raw text, the notations that hold it, its clean text and its class."""
 
-    __slots__ = ("kind", "raw", "text", "strong", "weak", "links")
+    __slots__ = ("kind", "raw", "text", "strong")
 
     def __init__(self, raw: str, kind: str = "", strong: set[str] | None = None, text: str | None = None) -> None:
         self.raw, self.kind, self.text = raw, kind, text
         self.strong: set[str] = strong or set()
-        self.weak: tuple[str, ...] = ()
-        self.links = 0
 
 
 def _cut(text: str) -> list[Block]:
@@ -164,15 +166,17 @@ def _weak(raw: str) -> tuple[str, ...]:
 
 
 def blocks(text: str) -> list[Block]:
-    """The blocks of a text with their notations decided in two passes."""
-    out = _cut(text.replace("\r\n", "\n").replace("\r", "\n"))
+    """The blocks of a text with notations and classes decided in two passes."""
+    text = text.replace("\r\n", "\n").replace("\r", "\n")
+    out = _cut(text)
+    gated = [x for x in _GATED if x[1] in text]
     for b in out:  # first pass: rules
         if b.kind:
             continue
         bare = _PATH.sub(" ", b.raw) if "\\" in b.raw else b.raw
         # the empty line that ended the block counts as one, so that headings stand alone
-        for notation, gated in _GATED.items():
-            if any(need in bare and p.search(bare) for need, p in gated):
+        for notation, need, p in gated:
+            if notation not in b.strong and need in bare and p.search(bare):
                 b.strong.add(notation)
         if "wiki" in b.strong and "latex" in b.strong and not any(p.search(re.sub(r"\{\{.*?\}\}", "", bare, flags=re.S)) for p in _STRONG["latex"]):
             b.strong.discard("latex")
@@ -180,52 +184,78 @@ def blocks(text: str) -> list[Block]:
             rest = re.sub(r"\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?(?:\{[^{}]*\})*|\{\{?[^{}]*\}?\}", "", bare)
             if not any(p.search(rest) for p in _STRONG["wiki"]):
                 b.strong.discard("wiki")
-        b.weak = _weak(bare)
-        b.links = len(re.findall(r"\]\(|\[\[|<a\b|\\href", b.raw))
     decided = [i for i, b in enumerate(out) if b.strong]
-    for i, b in enumerate(out):  # second pass: undecided blocks inherit from the nearest decided
-        if b.strong or not b.weak:
-            continue
-        if len(b.raw) > 4000 and not _NEST.search(b.raw):
-            continue
-        for j in sorted(decided, key=lambda j: (abs(j - i), j)):
-            if of := [n for n in b.weak if n in out[j].strong]:
-                b.strong = {of[0]}
-                break
-    if not any(b.strong for b in out):  # a plain text needs no cleaning
+    if not decided:  # a plain text needs no cleaning
         return out
-    for i, b in enumerate(out):
+    for i, b in enumerate(out):  # second pass: undecided blocks inherit from the nearest decided
+        if not b.strong and not b.kind and (weak := _weak(_PATH.sub(" ", b.raw) if "\\" in b.raw else b.raw)) and not _running(b.raw):
+            b.strong = _inherited(out, decided, i, weak)
+    for b in out:
         if not b.kind:
             b.text = _clean(b)
             b.kind = _kind(b)
+    sure = [i for i, b in enumerate(out) if b.kind not in ("short", "empty")]
     for i, b in enumerate(out):
-        if b.kind == "short":
-            near = sorted((abs(j - i), j) for j, o in enumerate(out) if o.kind in ("prose", "list", "table"))
-            b.kind = out[near[0][1]].kind if near else "prose"
+        if b.kind == "short":  # boilerplate if there is nothing else beside it
+            at = bisect(sure, i)
+            near = [out[j].kind for j in (*sure[max(0, at - 1) : at], *sure[at : at + 1])]
+            b.kind = BOILERPLATE if near and all(k == BOILERPLATE for k in near) else "prose"
     return out
 
 
+def _inherited(out: list[Block], decided: list[int], i: int, weak: tuple[str, ...]) -> set[str]:
+    """The notation of the nearest decided block that can have these constructs."""
+    before, after = bisect(decided, i) - 1, bisect(decided, i)
+    while before >= 0 or after < len(decided):
+        left = i - decided[before] if before >= 0 else len(out)
+        right = decided[after] - i if after < len(decided) else len(out)
+        j, before, after = (decided[before], before - 1, after) if left <= right else (decided[after], before, after + 1)
+        if of := [n for n in weak if n in out[j].strong]:
+            return {of[0]}
+    return set()
+
+
+BOILERPLATE = "navigation"
+
+
+def _running(raw: str) -> bool:
+    """Whether a block is running text: many words, many of them stop words, most lines without a
+    construct at their begin. Other blocks are ambiguous, however long they are."""
+    lines = raw.split("\n")
+    if sum(bool(_LINE.match(x)) for x in lines) * 2 >= len(lines):
+        return False
+    n, density = _density(raw)
+    return n >= FEW_WORDS and density >= RUNNING
+
+
+_LINE = re.compile(r"#{1,6}[ \t]+\S|\*{1,5}[ \t]+\S|\|.*\|[ \t]*$|[;:][ \t]+\S")
+
+
 def _kind(b: Block) -> str:
+    """The class of a block by its structure, its length, and its densities of stop words and links."""
     raw, text = b.raw, (b.text or "").strip()
     if not text:
         return "empty"
     if re.match(r"\s*(?:#{1,6}[ \t]|={2,6}[^=]|h[1-6]\.\s|\\(?:sub)*section|\\(?:sub)?paragraph|\\chapter|<h[1-6])", raw) and "\n" not in text:
         return "heading"
+    links = len(re.findall(r"\]\(|\[\[|<a\b|\\href", raw))
+    n, density = _density(text)
+    if links >= 3 and links * 4 > n and density < 0.1:
+        return BOILERPLATE
     lines = [x for x in text.split("\n") if x.strip()]
     if sum("\t" in x for x in lines) * 2 > len(lines):
         return "table"
     if sum(bool(re.match(r"\s*(?:[-*+•·]|\d{1,3}[.)])\s", x)) for x in lines) * 2 > len(lines):
         return "list"
-    n, density = _density(text)
-    if b.links >= 3 and b.links * 4 > n and density < 0.1:
-        return "navigation"
-    if n < 6 and density < 0.2:
+    if n < FEW_WORDS and density < 0.2:
         return "short"
     return "prose"
 
 
 _MATH = {"sigma": "σ", "Delta": "Δ", "delta": "δ", "pi": "π", "leq": "≤", "geq": "≥", "le": "≤", "ge": "≥", "times": "×", "cdot": "·", "pm": "±", "approx": "≈", "mu": "µ", "alpha": "α", "beta": "β", "lambda": "λ", "Omega": "Ω", "omega": "ω", "neq": "≠", "infty": "∞", "degree": "°", "ldots": "…", "dots": "…", "milli": "m", "micro": "µ", "metre": "m"}
 
+_SPACED = set("≤≥×·±≈≠")  # signs that keep the space behind them
+
 
 def _clean_html(t: str) -> str:
     t = re.sub(r"<!--.*?-->|<!DOCTYPE[^>]*>", "", t, flags=re.S)
@@ -288,7 +318,7 @@ def _clean_latex(t: str, formula: bool = False) -> str:
         t = re.sub(r"\\(?:text(?:bf|it|tt|sc|rm)?|emph|underline|math(?:rm|bf|it)|mbox|href\{[^{}]*\})\{([^{}]*)\}", r"\1", t)
     t = re.sub(r"\{\\(?:itshape|bfseries|ttfamily|em|bf|it|tt)\s+([^{}]*)\}", r"\1", t)
     t = re.sub(r"\\\(|\\\)|\\\[|\\\]|(?<!\\)\$(?!\d)", "", t)
-    t = re.sub(r"\\([A-Za-z]+)\b\s?", lambda m: _MATH.get(m[1], "") + (" " if formula and m[1] in _MATH else ""), t)
+    t = re.sub(r"\\([A-Za-z]+)\b(\s?)", lambda m: (sign := _MATH.get(m[1], "")) + (" " if formula and sign else m[2] if sign in _SPACED else ""), t)
     t = re.sub(r"\\[,;!: ]", " ", t)
     t = re.sub(r"\\([#%&_$~{}])", r"\1", t)
     t = re.sub(r"\\\\", "\n", t)
@@ -330,7 +360,7 @@ def clean(text: str) -> tuple[str, list[str]]:
             t = _clean_latex(t, True).strip() if "latex" in b.strong else re.sub(r"\s+", " ", _clean_html(t)).strip()
         elif b.kind == "code":
             t = html.unescape(_TAG.sub("", t)) if "html" in b.strong else t
-        elif b.kind == "navigation":
+        elif b.kind == BOILERPLATE:
             continue
         if t.strip():
             out.append(t)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 CJK = "぀-ヿ㐀-䶿一-鿿豈-﫿"
 _CJK = re.compile(f"[{CJK}]")
-_END = re.compile(rf"""([.!?…]+["'”’»)\]]*(?=\s|$|{_CJK.pattern})|[。！？]+[」』”’）]*)""")
+# begins with its characters, so that the search runs from one to the next
+_END = re.compile(rf"""[.!?…。！？](?:(?<=[.!?…])[.!?…]*["'”’»)\]]*(?=\s|$|{_CJK.pattern})|(?<=[。！？])[。！？]*[」』”’）]*)""")
 _UNIT = re.compile(r"\d\s?[^\W\d_]{1,3}\.$")
 _ABBREVIATION = re.compile(r"(?:^|[\s(])(?:\d+|[A-Za-z]|no|nr|fig|sec|vol|pp?|approx|min|max|typ|e\.g|i\.e|z\.B|bzw|ca)\.$", re.I)
 
@@ -37,12 +39,16 @@ def sentences(text: str) -> list[tuple[int, int]]:
             if "\n" in piece:  # entries on lines of their own before a sentence aren't part of it
                 cut = max((i + 1 for i, ch in enumerate(piece) if ch == "\n" and _starts_anew(piece[:i], piece[i + 1 :])), default=0)
                 start, piece = start + cut, piece[cut:]
-            if piece.count(" ", 1) >= 3 and len(_LETTERS.findall(piece)) >= 4 or not piece.isascii() and len(_CJK.findall(piece)) >= 8:
+            if piece.count(" ", 1) >= 3 and _at_least(_LETTERS, piece, 4) or not piece.isascii() and _at_least(_CJK, piece, 8):
                 out.append((start, end))
             start = end
     return out
 
 
+def _at_least(pattern: re.Pattern[str], text: str, n: int) -> bool:
+    return sum(1 for _ in islice(pattern.finditer(text), n)) == n
+
+
 _LETTERS = re.compile(r"[^\W\d_]+")
 _PARAGRAPH = re.compile(r"[^\n]+(?:\n(?!\s*\n)[^\n]+)*")
 _BULLET = re.compile(r"\s*(?:[-*+•·–—▪◦‣#]+\s|\(?\d{1,3}[.)]\s|\(?[a-z][.)]\s|[A-Z]{2,}-\d+)")
