@@ -6,8 +6,8 @@ below the capacity are enumerated, and non-negative least squares (active set) g
 each is repeated so that the histogram is met. The counts are rounded, runs of equal containers
 are filled with exact lengths, and what is left, with the space that is left, is packed greedily
 by best fit, longest first, whole counts at a time. The texts are then given their places by their
-rank among those of their length; ranks are counted in salted parts, so one frequent length
-doesn't gather in one task.
+rank among those of their length; ranks are counted in salted parts, as many as the items need, so one
+frequent length doesn't gather in one task.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from strataframe.tables import checkpointed
 
 CAPACITY = 2048
 BINS, DEPTH, SLACK = 64, 4, 1  # bins of the capacity; most items of a combination; window below it
-SALTS = 64
+SALTS, SALTED = 64, 250_000  # parts of each length at least; items of one part, as a mean over all lengths at most
 
 
 def combinations(bins: int = BINS, depth: int = DEPTH, slack: int = SLACK) -> np.ndarray:
@@ -192,12 +192,14 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS,
 PLACES = "container_id long, {key} {kind}, piece_no int, token_start long, n_tokens int"
 
 
-def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
+def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, salts: int | None = None) -> DataFrame:
     """Places of all texts (``key``, n_tokens): container_id, key, piece_no, token_start, n_tokens.
 
     A text above the capacity is cut into full pieces, each a container of its own, and a rest that
     is packed like any text. Texts without tokens take no space and go to container 0. Null sizes
-    count as none. Repeated keys are packed as often as they come. An empty table gives none.
+    count as none. Repeated keys are packed as often as they come. An empty table gives none. Ranks are
+    counted in ``salts`` parts of each length; without a number in as many as the items need, so that a
+    part stays small even if all of them have one length.
     """
     kind = sizes.schema[key].dataType.simpleString()
     n = F.coalesce(F.col("n_tokens"), F.lit(0)).cast("long")
@@ -206,6 +208,8 @@ def pack(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, salts:
     many = F.when(F.col("n") == 0, F.lit(1)).otherwise(F.ceil(F.col("n") / capacity))
     items = sizes.select(key, "n", full.alias("full"), F.explode(F.sequence(F.lit(1).cast("long"), many)).alias("no"))
     items = items.select(key, F.col("no").cast("int").alias("piece_no"), ((F.col("no") - 1) * capacity).alias("token_start"), F.when(F.col("no") <= F.col("full"), F.lit(capacity)).otherwise(F.col("n") - F.col("full") * capacity).cast("int").alias("length"))
+    if salts is None:
+        salts = max(SALTS, -(-int(sizes.agg(F.sum(many)).first()[0] or 0) // SALTED))
     items = items.withColumn("salt", F.pmod(F.xxhash64(key, "piece_no"), F.lit(salts)).cast("int"))
     parts = checkpointed(items.groupBy("length", "salt").agg(F.count("*").alias("k")))  # at most capacity * salts rows
     histogram = {r.length: r.k for r in parts.groupBy("length").agg(F.sum("k").alias("k")).collect() if r.length > 0}

@@ -2,10 +2,11 @@
 
 Lines are first sorted out by their layout: rows of a table stand under each other with their
 delimiters at the same places or in the same number (vertical delimiter alignment); entries of a
-list are short, begin alike or at indents that repeat (indentation periodicity), and their lengths
-go up and down, while wrapped prose keeps the same length from line to line (autocorrelation of
-line lengths). What is left is running text: its sentences are kept as prose where they have the
-words of a language. The shape is what most characters of the text belong to; ratios of symbols,
+list are short, begin alike or at indents that come again with a period (autocorrelation of indents),
+and their lengths go up and down, while wrapped prose keeps the same length from line to line
+(autocorrelation of line lengths). What is left is running text: its sentences are kept as prose where they have the
+words of a language. The shape is what most characters of the text belong to, and where prose and list
+are as good as even, what the shares of punctuated lines and of common words say; ratios of symbols,
 digits, vowels and repeated words tell junk.
 """
 
@@ -14,6 +15,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -105,13 +108,27 @@ def table_lines(lines: list[str]) -> list[bool]:
     return rows
 
 
-def _correlation(sizes: list[int]) -> float:
-    """How alike the lengths of neighbouring lines are, times how many reach the full width: near 1
-    for wrapped text, low for entries of all lengths."""
-    if len(sizes) < 3:
+def autocorrelation(x: list[int], lag: int = 1, centred: bool = False) -> float:
+    """Sum of products of values ``lag`` places apart, over the sum of squares; 0 for too few values.
+
+    Of the values themselves it is near 1 for lengths that stay the same and lower for lengths that go up and
+    down; of their differences from the mean it is near 1 where values come again with that period.
+    """
+    if len(x) <= lag + 1:
         return 0.0
-    width = sorted(sizes)[int(len(sizes) * 0.9)]
-    return sum(min(a, b) / max(a, b, 1) for a, b in zip(sizes, sizes[1:])) / (len(sizes) - 1) * (sum(s >= 0.8 * width for s in sizes) / len(sizes)) ** 0.5
+    if centred:
+        mean = sum(x) / len(x)
+        x = [v - mean for v in x]
+    squares = sum(v * v for v in x) * (len(x) - lag) / len(x)
+    return sum(map(mul, x, islice(x, lag, None))) / squares if squares else 0.0
+
+
+def periodic(indents: list[int]) -> bool:
+    """Whether indents come again with a period of up to six lines."""
+    return len(set(indents)) > 1 and any(autocorrelation(indents, lag, True) > 0.5 for lag in range(1, min(7, len(indents) // 2 + 1)))
+
+
+EVEN = 0.9  # autocorrelation of line lengths from which lines are taken for wrapped
 
 
 def list_lines(lines: list[str]) -> list[bool]:
@@ -119,9 +136,8 @@ def list_lines(lines: list[str]) -> list[bool]:
     number, a leader or an indent, or among others that are as short and end in no sentence."""
     strip = [x.strip() for x in lines]
     sizes = [len(s) + len(_CJK.findall(s)) for s in strip]  # as wide as they look
-    even, wide = _correlation(sizes), sorted(sizes)[int(len(sizes) * 0.75)] if sizes else 0
-    indents = [len(x) - len(x.lstrip()) for x in lines]
-    periodic = len(set(indents)) > 1 and len(set(indents)) <= 6 and all(indents.count(k) > 1 for k in set(indents))
+    wrapped, wide = autocorrelation(sizes) > EVEN, sorted(sizes)[int(len(sizes) * 0.75)] if sizes else 0
+    short = 80 if periodic([len(x) - len(x.lstrip()) for x in lines]) else 60
     out = [False] * len(lines)
     for k, s in enumerate(strip):
         led = (".." in s or ". ." in s or "…" in s) and _LEADER.search(s) is not None
@@ -130,20 +146,32 @@ def list_lines(lines: list[str]) -> list[bool]:
             out[k] = sizes[k] <= 160
         elif _BULLET.match(s):
             out[k] = sizes[k] <= 110 and not (ended and sizes[k] > 45)
-        elif sizes[k] <= (80 if periodic else 60) and not ended and not _HEADING.match(s):
+        elif sizes[k] <= short and not ended and not _HEADING.match(s):
             near = [m for m in (k - 1, k + 1) if 0 <= m < len(lines)]
             # wrapped lines reach the full width, entries don't
-            out[k] = bool(near) and all(sizes[m] <= 80 for m in near) and not (even > 0.8 and wide > 45 and sizes[k] >= 0.8 * wide)
+            out[k] = bool(near) and all(sizes[m] <= 80 for m in near) and not (wrapped and wide > 45 and sizes[k] >= 0.8 * wide)
     return out
 
 
 def repeated(words: list[str]) -> float:
-    """The largest share of words that are the same as those one to eight places before."""
+    """The largest share of words that are the same as those one period before, for periods of any
+    length that come five times or more.
+
+    Periods of more than eight words are looked for where they show: as the distances at which four
+    words in a row come again; the commonest ones are then measured as the short ones are.
+    """
     n = len(words)
     if n < 12 or len(set(words)) * 3 > n:
         return 0.0
     h = np.fromiter(map(hash, words), np.int64, n)
-    return max(float((h[p:] == h[:-p]).mean()) for p in range(1, 9))
+    rows = h[: n - 3].copy()
+    for k in range(1, 4):
+        rows = rows * np.int64(0x5851F42D4C957F2D) + h[k : n - 3 + k]
+    order = np.argsort(rows, kind="stable")
+    apart = np.diff(order)[rows[order[1:]] == rows[order[:-1]]]
+    found = np.bincount(apart[apart <= n // 5], minlength=1)
+    lags = {*range(1, 9), *(np.argsort(found)[-4:].tolist() if len(found) > 9 else ())} - {0}
+    return max(float((h[p:] == h[:-p]).mean()) for p in lags)
 
 
 class Common:
@@ -195,7 +223,7 @@ def measure(text: str | None, common: Common) -> tuple:
     ended = sum(map(_ends, lines)) / max(1, len(lines))
     share = common.share(words, clean, cjk)
     stats = len(words), written / max(1, len(words)), (solid - written) / solid, ended, share
-    return (*stats, _shape(clean, lines, words, solid, written, cjk, plain, common))
+    return (*stats, _shape(clean, lines, words, solid, written, cjk, plain, common, ended, share))
 
 
 def _ends(line: str) -> bool:
@@ -216,7 +244,7 @@ def _covered(text: str, common: Common) -> list[tuple[int, int]]:
     """Spans of the sentences of a paragraph that have the look of a language."""
     out, start = [], 0
     for m in _STOP.finditer(text):
-        if m.end() - start <= 1200 and _valid(text[start : m.end()], common):
+        if _valid(text[start : m.end()], common):
             out.append((start, m.end()))
         start = m.end()
     return out
@@ -261,7 +289,7 @@ def _entry(line: str) -> bool:
     return bool(_BULLET.match(line)) or len(line) <= 50 and not _END.search(line) and not _HEADING.match(line)
 
 
-def _shape(clean: str, lines: list[str], words: list[str], solid: int, written: int, cjk: int, plain: bool, common: Common) -> str:
+def _shape(clean: str, lines: list[str], words: list[str], solid: int, written: int, cjk: int, plain: bool, common: Common, ended: float, share: float) -> str:
     odd = 0 if plain else len(_MOJIBAKE.findall(clean)) * 2
     if any(map(clean.__contains__, ("\\x", "%", "0x", "??", "&&", "\x00"))):
         odd += sum(map(len, _ESCAPE.findall(clean))) + 2 * clean.count("\x00") * plain
@@ -288,6 +316,8 @@ def _shape(clean: str, lines: list[str], words: list[str], solid: int, written:
             p, e = _block(block, common)
             prose, in_list, block = prose + p, in_list + e, []
     other = max(0, solid - in_rows - in_list - prose)
+    if max(prose, in_list) >= max(in_rows, other) and abs(prose - in_list) < 0.02 * solid:  # even: what lines end in, and their words
+        prose, in_list = (1 + in_list, in_list) if ended >= 0.5 and share >= 0.08 else (prose, 1 + prose)
     shape = max((("prose", prose), ("list", in_list), ("table", in_rows), ("junk", other)), key=lambda p: p[1])[0]
     return "junk" if shape == "list" and _junk_words(words, cjk) else shape
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from strataframe.llm import quality as Q
@@ -20,6 +22,35 @@ def test_shapes(text, shape):
     assert Q.measure(text, COMMON)[-1] == shape
 
 
+@pytest.mark.parametrize("period", [1, 2, 7, 8, 9, 10, 23, 60, 150])
+def test_the_same_words_over_and_over(period):
+    r = random.Random(period)
+    words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(period)]
+    assert Q.repeated(words * 12) > 0.6
+    text = " ".join(["the", *words][:period]) + " "
+    assert Q.measure(text * 30, COMMON)[-1] == "junk"
+
+
+def test_different_sentences_are_not_the_same_words():
+    r = random.Random(1)
+    words = [r.choice("the of and a pump fan cover is has been set to run in".split()) for _ in range(3000)]
+    assert Q.repeated(words) < 0.3
+
+
+def test_long_sentences_are_prose():
+    r = random.Random(2)
+    for n in (12, 200, 2000):
+        words = [r.choice("the of and in to be".split()) if i % 3 else "".join(r.choice("aeioumnrst") for _ in range(6)) for i in range(n)]
+        assert Q.measure(" ".join(words) + ".", COMMON)[-1] == "prose"
+
+
+def test_autocorrelation():
+    assert Q.autocorrelation([50] * 20) == pytest.approx(1)
+    assert Q.autocorrelation([5, 60] * 10) < 0.2
+    assert Q.autocorrelation([0, 2, 4] * 8, 3, True) > 0.9 and Q.periodic([0, 2, 4] * 8) and not Q.periodic([0] * 9)
+    assert Q.autocorrelation([]) == 0 and not Q.periodic([])
+
+
 def test_statistics():
     n, mean, symbols, ended, common, _ = Q.measure("The cat is in.\nNo end", COMMON)
     assert (n, ended) == (6, 0.5)
