@@ -27,17 +27,53 @@ def one_delivery(df: DataFrame, keys: Sequence[str], time: str = "loaded_at") ->
     return df.groupBy(*keys).agg(F.min(F.struct(time, *rest)).alias("_r")).select(*keys, *(F.col(f"_r.{c}") for c in df.columns if c not in keys))
 
 
+SLOTS = 1 << 26  # bits for repeated keys; a million rows of 64 at most are broadcast
+
+
+def first_deliveries(df: DataFrame, keys: Sequence[str], time: str = "loaded_at", slots: int = SLOTS) -> DataFrame:
+    """``one_delivery`` for wide rows, of which most keys are delivered once: the same rows, but only keys
+    that come again are shuffled.
+
+    Keys are counted by a narrow shuffle, and those that come again set a bit at their hash, ``slots`` bits in all.
+    Rows whose bit is not set are alone and stay where they are read; all others, with the few that share a
+    bit by chance, go through ``one_delivery``. The choice is one of the key, so each key
+    goes one way as a whole, and the result doesn't depend on ``slots``.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(slots))
+    again = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(slot.alias("_slot"))
+    bits = again.groupBy(F.shiftright("_slot", 6).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_slot", F.lit(64)).cast("int"))).alias("_bits"))
+    marked = spread(df).join(F.broadcast(bits), F.shiftright(slot, 6) == F.col("_word"), "left")
+    repeated = F.coalesce(F.getbit("_bits", F.pmod(slot, F.lit(64)).cast("int")), F.lit(0)) == 1
+    rest = [c for c in df.columns if c not in (*keys, time)]
+    alone = marked.filter(~repeated).select(*keys, time, *rest)
+    return alone.unionByName(one_delivery(marked.filter(repeated).select(*df.columns), keys, time).select(*keys, time, *rest))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many parts as there are cores, if its files give less than half of that."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the folder that all executors share, with its lineage cut.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests on
-    one machine) a temporary folder is set.
+    The folder is the session's ``spark.checkpoint.dir``; only where that is unset and all runs on
+    one machine, as in tests, a temporary folder is set. A cluster without the setting is an error.
     """
-    spark = df.sparkSession
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, set as the session's checkpoint folder."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def squeezed(c: Column) -> Column:
