@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.llm import bpe, language, markup, packing, quality, scans, split
-from strataframe.tables import one_delivery, read
+from strataframe.tables import first_deliveries, one_delivery, read
 
 
 def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content sections, each counted once."""
-    return one_delivery(read(spark, sf_dir, "content_sections").select("doc_id", "anchor", "body", "loaded_at"), ["doc_id", "anchor"]).select("doc_id", "anchor", "body")
+    return first_deliveries(read(spark, sf_dir, "content_sections").select("doc_id", "anchor", "body", "loaded_at"), ["doc_id", "anchor"]).select("doc_id", "anchor", "body")
 
 
 def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def vocabulary(spark: SparkSession) -> str:
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, each counted once."""
-    return one_delivery(read(spark, sf_dir, "documents").select("doc_id", "text", "loaded_at"), ["doc_id"]).select("doc_id", "text")
+    return first_deliveries(read(spark, sf_dir, "documents").select("doc_id", "text", "loaded_at"), ["doc_id"]).select("doc_id", "text")
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
