@@ -50,12 +50,14 @@ def visible(targets: DataFrame) -> DataFrame:
 def orphans(refs: DataFrame, targets: DataFrame, heavy_rows: int = HEAVY_ROWS, broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
     """The rows of ``refs`` (ref_field, record_no, kind, key, at) that name no target at ``at``.
 
+    ``refs`` may be counted references as of ``counted``, with a column n and without record_no.
     ``targets`` has kind, key, start, end. A reference is found if start <= at and end is null or
     later. Null keys find nothing and are rows of the result; empty tables on either side are
     fine; repeated references stay repeated. Extra columns of ``targets`` are ignored.
     """
     targets = visible(targets)
-    per_period = refs.groupBy("kind", "key", F.trunc("at", "month").alias("period")).agg(F.count("*").alias("n"))
+    weight = F.sum("n") if "n" in refs.columns else F.count("*")
+    per_period = refs.groupBy("kind", "key", F.trunc("at", "month").alias("period")).agg(weight.alias("n"))
     heavy = per_period.filter(F.col("key").isNotNull()).groupBy("kind", "key").agg(F.sum("n").alias("n")).filter(F.col("n") >= heavy_rows).select("kind", "key")
     some = [tuple(r) for r in heavy.limit(broadcast_rows + 1).collect()]
 
@@ -77,7 +79,7 @@ def orphans(refs: DataFrame, targets: DataFrame, heavy_rows: int = HEAVY_ROWS, b
     if len(wanted.limit(broadcast_rows + 1).select(F.lit(1)).collect()) <= broadcast_rows:
         hot = anti(hot, wanted, ["kind", "key"], True)
     else:
-        salted = hot.withColumn("salt", F.pmod(F.xxhash64("ref_field", "record_no"), F.lit(salts)).cast("int"))
+        salted = hot.withColumn("salt", F.pmod(F.xxhash64(*refs.columns), F.lit(salts)).cast("int"))
         copies = wanted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         hot = anti(salted, copies, ["kind", "key", "salt"], False).drop("salt")
     return light.unionByName(hot.select(refs.columns))
@@ -105,17 +107,24 @@ def section_targets(sections: DataFrame) -> DataFrame:
     return named.select(F.lit("sections").alias("kind"), F.concat(F.lower(squeezed(F.col("doc_id"))), F.lit("#"), F.lower(squeezed(F.col("anchor")))).alias("key"), F.col("loaded_at").alias("start"), F.col("removed_at").alias("end"))
 
 
-def all_orphans(edges: DataFrame, atoms: DataFrame, sections: DataFrame, **kw) -> DataFrame:
-    """Every reference of edges and atoms that names nothing at the time it is loaded."""
+def all_orphans(edges: DataFrame, atoms: DataFrame, sections: DataFrame, report: bool = False, **kw) -> DataFrame:
+    """Every reference of edges and atoms that names nothing at the time it is loaded; for a ``report``
+    equal references are counted first, and only their counts go through the anti-join."""
     refs = edge_references(edges).unionByName(atom_references(atoms))
+    refs = counted(refs) if report else refs
     targets = atom_targets(atoms).unionByName(section_targets(sections))
     return orphans(refs, targets, **kw)
 
 
+def counted(refs: DataFrame) -> DataFrame:
+    """References of one field to one key at one time as one row with their number n."""
+    return refs.groupBy("ref_field", "kind", "key", "at").agg(F.count("*").alias("n"))
+
+
 def orphan_report(found: DataFrame) -> DataFrame:
-    """Orphans counted by table, field and month of loading."""
+    """Orphans (rows of ``orphans``, counted or not) by table, field and month of loading."""
     table, field = F.substring_index("ref_field", ".", 1), F.substring_index("ref_field", ".", -1)
-    return found.groupBy(table.alias("table_name"), field.alias("field"), F.date_format("at", "yyyy-MM").alias("month")).agg(F.count("*").alias("n_orphans"))
+    return found.groupBy(table.alias("table_name"), field.alias("field"), F.date_format("at", "yyyy-MM").alias("month")).agg((F.sum("n") if "n" in found.columns else F.count("*")).alias("n_orphans"))
 
 
-__all__ = ["all_orphans", "atom_references", "atom_targets", "edge_references", "evidence_key", "normal_ref", "orphan_report", "orphans", "section_targets", "visible"]
+__all__ = ["all_orphans", "atom_references", "atom_targets", "counted", "edge_references", "evidence_key", "normal_ref", "orphan_report", "orphans", "section_targets", "visible"]

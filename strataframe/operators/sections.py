@@ -69,8 +69,15 @@ def chunks(body: Column, most: int) -> Column:
     return F.when(F.length(body) <= most, F.array(body)).otherwise(packed)
 
 
+def _bounded(level: Column, most: int) -> Column:
+    """The level itself; one that the windows don't hold is an error, never a lost parent."""
+    return F.when(level >= most, F.raise_error(F.concat(F.lit(f"level of {most} or more: "), level.cast("string"))).cast("int")).otherwise(level)
+
+
 def nest_by_level(rows: DataFrame, doc: str = "doc_id", order: str = "ord", level: str = "level", most: int = MAX_LEVEL) -> DataFrame:
-    """Adds parent_ord: the nearest earlier row of the document with a smaller level, null for none."""
+    """Adds parent_ord: the nearest earlier row of the document with a smaller level, null for none.
+    Levels run from 0 to ``most`` - 1; a larger one raises."""
+    rows = rows.withColumn(level, _bounded(F.col(level), most))
     w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     # for each level the last row that has it; the parent is the latest among the smaller levels
     last = [F.last(F.when(F.col(level) == k, F.col(order)), ignorenulls=True).over(w) for k in range(most)]
@@ -80,10 +87,15 @@ def nest_by_level(rows: DataFrame, doc: str = "doc_id", order: str = "ord", leve
 
 def section_end_pages(rows: DataFrame, most: int = MAX_LEVEL) -> DataFrame:
     """Adds end_page to outline entries (doc_id, ord, level, page_start, n_pages): the page before the
-    next entry of the same or a smaller level, at least the own page; the last runs to the end."""
-    w = Window.partitionBy("doc_id").orderBy("ord").rowsBetween(1, Window.unboundedFollowing)
-    first = [F.first(F.when(F.col("level") <= k, F.col("page_start")), ignorenulls=True).over(w) for k in range(most)]
-    after = F.element_at(F.array(*first), F.least(F.col("level") + 1, F.lit(most)).cast("int"))
+    next entry of the same or a smaller level, at least the own page; the last runs to the end. Levels run
+    from 0 to ``most`` - 1; a larger one raises.
+
+    The windows run from the last entry to the first, so each keeps a running value and reads a row once.
+    """
+    rows = rows.withColumn("level", _bounded(F.col("level"), most))
+    w = Window.partitionBy("doc_id").orderBy(F.desc("ord")).rowsBetween(Window.unboundedPreceding, -1)
+    next_ = [F.last(F.when(F.col("level") <= k, F.col("page_start")), ignorenulls=True).over(w) for k in range(most)]
+    after = F.element_at(F.array(*next_), (F.col("level") + 1).cast("int"))
     return rows.withColumn("end_page", F.greatest(F.coalesce(after - 1, F.col("n_pages")), F.col("page_start")))
 
 

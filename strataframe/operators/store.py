@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from strataframe.functions import text as X
 
 
+MAX_ADAPTERS = 10_000  # suffixes that are broadcast; more are an error
+
+
 def upserted(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The latest row of each key; ties are settled by all columns, so any order gives the same."""
     rest = [c for c in rows.columns if c != key]
@@ -35,7 +38,9 @@ def incremental_plan(files: DataFrame, manifest: DataFrame, adapters: DataFrame,
     the hash is the same and the last run ended well, else ``extract`` (``dry_run`` if only asked)."""
     m = manifest.select("key", F.col("source_sha256").alias("old_sha"), F.col("status").alias("old_status"))
     a = adapters.select("suffix").distinct().withColumn("known", F.lit(True))
-    f = files.withColumn("suffix", X.suffix(F.col("source_path"))).join(F.broadcast(a.limit(10_000)), "suffix", "left").join(m, "key", "left")
+    if a.limit(MAX_ADAPTERS + 1).count() > MAX_ADAPTERS:
+        raise ValueError(f"more than {MAX_ADAPTERS} adapters")
+    f = files.withColumn("suffix", X.suffix(F.col("source_path"))).join(F.broadcast(a), "suffix", "left").join(m, "key", "left")
     same = F.col("old_sha").eqNullSafe(F.col("source_sha256")) & F.col("source_sha256").isNotNull() & (F.col("old_status") == "ok")
     action = F.when(F.col("known").isNull(), "skipped")
     if not force:

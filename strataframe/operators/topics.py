@@ -26,15 +26,24 @@ def token_sets(titles: DataFrame) -> DataFrame:
 def jaccard_pairs(sets: DataFrame, most: float = DISTANCE) -> DataFrame:
     """Pairs of sets (a < b) with 1 - shared / all <= ``most``: a, b, distance.
 
-    The work is the number of pairs that share a word. A word of which very many sets consist is a
-    hot key; the join on it is split by AQE, and the pairs are counted by partial sums.
+    Sets that are that near share one of their rarest words: of n words all but ceil(n * (1 - most)) - 1,
+    the most frequent of which are left out of the index. So no pair is missed, and frequent words, on which most
+    pairs would meet in vain, count only in the sets that have few others. The sizes of a pair bound each other, too.
     """
-    words = sets.select("tokens", F.split("tokens", " ").alias("w")).select("tokens", F.size("w").alias("n"), F.explode("w").alias("word"))
-    a = words.select(F.col("tokens").alias("a"), F.col("n").alias("n_a"), "word")
-    b = words.select(F.col("tokens").alias("b"), F.col("n").alias("n_b"), "word")
-    shared = a.join(b, "word").filter("a < b").groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("k"))
-    distance = 1.0 - F.col("k") / (F.col("n_a") + F.col("n_b") - F.col("k"))
-    return shared.select("a", "b", distance.alias("distance")).filter(F.col("distance") <= most)
+    least = 1.0 - most
+    words = sets.select("tokens", F.explode(F.split("tokens", " ")).alias("word"))
+    counts = words.groupBy("word").agg(F.count("*").alias("f"))
+    ranked = words.join(counts, "word").groupBy("tokens").agg(F.array_sort(F.collect_list(F.struct("f", "word"))).alias("w"))  # the words of one title
+    n = F.size("w")
+    kept = F.greatest(F.lit(1), F.least(n, n - F.ceil(n * least - 1e-9).cast("int") + 1))
+    rare = ranked.select("tokens", n.alias("n"), F.explode(F.slice("w", 1, kept)).alias("x")).select("tokens", "n", "x.word")
+    a = rare.select(F.col("tokens").alias("a"), F.col("n").alias("n_a"), "word")
+    b = rare.select(F.col("tokens").alias("b"), F.col("n").alias("n_b"), "word")
+    sized = (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least - 1e-9) & (F.col("a") < F.col("b"))
+    near = a.join(b, "word").filter(sized).select("a", "b", "n_a", "n_b").distinct()
+    k = F.size(F.array_intersect(F.split("a", " "), F.split("b", " ")))
+    distance = 1.0 - k / (F.col("n_a") + F.col("n_b") - k)
+    return near.select("a", "b", distance.alias("distance")).filter((F.col("distance") <= most) & (k > 0))
 
 
 def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> DataFrame:

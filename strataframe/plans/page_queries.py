@@ -9,12 +9,13 @@ from strataframe.functions import text as X
 from strataframe.operators import pages, topics
 from strataframe.plans.section_queries import _COMPONENTS, LEAVES, PAGES, leaves
 from strataframe.plans.section_queries import _pages as doc_pages
+from strataframe.plans.text_queries import _bodies as bodies
 from strataframe.plans.text_queries import tokens_sql
 from strataframe.tables import read
 
 
 def _sections(s: SparkSession, d: str) -> DataFrame:
-    return read(s, d, "content_sections").groupBy("doc_id", "anchor").agg(F.first("title").alias("title"), F.first("category").alias("category"), F.first("body").alias("body"))
+    return bodies(s, d)
 
 
 def _messages():

@@ -9,8 +9,8 @@ from strataframe.operators import nested, references, units
 from strataframe.tables import read
 
 
-def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return references.all_orphans(read(spark, sf_dir, "edges"), read(spark, sf_dir, "atoms"), read(spark, sf_dir, "sections"))
+def _orphans(spark: SparkSession, sf_dir: str, report: bool = False) -> DataFrame:
+    return references.all_orphans(read(spark, sf_dir, "edges"), read(spark, sf_dir, "atoms"), read(spark, sf_dir, "sections"), report)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +18,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_orphans_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return references.orphan_report(_orphans(spark, sf_dir))
+    return references.orphan_report(_orphans(spark, sf_dir, True))
 
 
 def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,20 +33,21 @@ def p2_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, sf_dir).select("atom_no", "parameter", "is_range", "lo", "hi", "common_unit", "unit_source", "posterior", "uncertain")
 
 
-def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.flatten(nested.documents_of(read(spark, sf_dir, "index_trees"), read(spark, sf_dir, "taxonomies")))
+def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tagged rows of both tables of records, out of the written table."""
+    return nested.stored(spark, read(spark, sf_dir, "index_trees"), read(spark, sf_dir, "taxonomies"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _tagged(spark, sf_dir).filter((F.col("tag") == "node") & F.col("parent_key").isNotNull())
+    rows = tagged(spark, sf_dir).filter((F.col("tag") == "node") & F.col("parent_key").isNotNull())
     return rows.select("record_kind", "record_id", F.col("key").alias("node_path"), F.col("parent_key").alias("parent_path"))
 
 
 def _p7(tag: str):
-    return lambda spark, sf_dir: nested.typed(_tagged(spark, sf_dir), tag)
+    return lambda spark, sf_dir: nested.typed(tagged(spark, sf_dir), tag)
 
 
-QUERIES = {"p1_found": p1_found, "p1_orphans_by_month": p1_orphans_by_month, "p2_found": p2_found, "p2_values": p2_values, "p7_found": p7_found, "p7_nodes": _p7("node"), "p7_assets": _p7("asset"), "p7_tables": _p7("table"), "p7_table_rows": _p7("table_row"), "p7_entries": _p7("entry")}
+QUERIES = {"p1_found": p1_found, "p1_orphans_by_month": p1_orphans_by_month, "p2_found": p2_found, "p2_values": p2_values, "p7_found": p7_found, "p7_nodes": _p7("node"), "p7_assets": _p7("asset"), "p7_tables": _p7("table"), "p7_table_rows": _p7("table_row"), "p7_entries": _p7("entry"), "p7_caught": _p7("caught")}
 
 _ORPHANS_SQL = r"""
 WITH norm AS (

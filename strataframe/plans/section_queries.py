@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import text as X
 from strataframe.operators import invariants, nested, sections, topics
+from strataframe.plans.problems import tagged
 from strataframe.plans.text_queries import BODIES, DOCS, slug_sql, tokens_sql
 from strataframe.plans.text_queries import _bodies as bodies
 from strataframe.plans.text_queries import _docs as docs
-from strataframe.tables import read
+from strataframe.tables import deliveries, read
 
 CHUNK = 1500
 
@@ -33,8 +34,8 @@ def content_sections(s: SparkSession, d: str) -> DataFrame:
     return sections.content_sections(docs(s, d)).select("doc_id", "anchor", "title", "level", "category", X.sha(F.col("body")).alias("body_sha256"))
 
 
-def section_bodies(s: SparkSession, d: str) -> DataFrame:
-    """The excerpt of every section of every text; ``section_body`` has those of one fixed anchor."""
+def section_body(s: SparkSession, d: str) -> DataFrame:
+    """The excerpt of every section of every text."""
     b = X.excerpt(F.col("segment"))
     return sections.segments(docs(s, d)).select("doc_id", "pos", "anchor", F.length(b).alias("n_chars"), X.sha(b).alias("body_sha256"))
 
@@ -55,7 +56,8 @@ def section_end_page(s: SparkSession, d: str) -> DataFrame:
 
 
 def _pages(s: SparkSession, d: str) -> DataFrame:
-    return read(s, d, "documents").filter("text is not null and source is not null").groupBy("doc_id").agg(F.first("source").alias("source"), F.first("text").alias("text")).select("source", F.col("doc_id").alias("page"), "text")
+    once = deliveries(s, d, "documents", ["doc_id"], ["source", "text"])
+    return once.filter("text is not null and source is not null").select("source", F.col("doc_id").alias("page"), "text")
 
 
 def running_lines(s: SparkSession, d: str) -> DataFrame:
@@ -74,14 +76,7 @@ def toc_parse(s: SparkSession, d: str) -> DataFrame:
 
 
 def toc_rollup(s: SparkSession, d: str) -> DataFrame:
-    """Entries two levels down of contents pages, led to the entries of one level or to the root."""
-    toc = sections.toc_lines(docs(s, d))
-    deep = toc.select("doc_id", F.concat("number", F.lit(".1")).alias("number"))
-    return sections.toc_rollup(deep, toc.filter("page % 2 = 0"))
-
-
-def toc_rollup_all(s: SparkSession, d: str) -> DataFrame:
-    """The same numbers against all contents entries; ``toc_rollup`` knows those of even pages."""
+    """Numbers one level below those of contents pages, led to the entry of their longest prefix."""
     toc = sections.toc_lines(docs(s, d))
     return sections.toc_rollup(toc.select("doc_id", F.concat("number", F.lit(".1")).alias("number")), toc)
 
@@ -130,9 +125,9 @@ def h4_missing_anchors(s: SparkSession, d: str) -> DataFrame:
 
 def h5_asset_closure(s: SparkSession, d: str) -> DataFrame:
     refs = bodies(s, d).withColumn("body", F.replace(F.col("body"), F.lit("![](img"), F.lit("![](assets/img")))
-    tagged = nested.flatten(nested.documents_of(read(s, d, "index_trees"), read(s, d, "taxonomies").limit(0)))
+    trees = tagged(s, d).filter("record_kind = 'index_trees'")
     owner = read(s, d, "index_trees").select("record_id", "doc_id").distinct()
-    have = nested.typed(tagged, "asset").join(owner, "record_id").select("doc_id", "rel_path")
+    have = nested.typed(trees, "asset").join(owner, "record_id").select("doc_id", "rel_path")
     return invariants.asset_closure(refs, have)
 
 
@@ -164,13 +159,13 @@ def dead_wikilinks(s: SparkSession, d: str) -> DataFrame:
 
 
 def h21_validate(s: SparkSession, d: str) -> DataFrame:
-    tagged = nested.flatten(nested.documents_of(read(s, d, "index_trees").limit(0), read(s, d, "taxonomies")))
-    return invariants.tree_violations(nested.typed(tagged, "node"))
+    trees = tagged(s, d).filter("record_kind = 'taxonomies'")
+    return invariants.tree_violations(nested.typed(trees, "node"))
 
 
 def flatten_tree(s: SparkSession, d: str) -> DataFrame:
-    tagged = nested.flatten(nested.documents_of(read(s, d, "index_trees"), read(s, d, "taxonomies").limit(0)))
-    n = nested.typed(tagged, "node")
+    trees = tagged(s, d).filter("record_kind = 'index_trees'")
+    n = nested.typed(trees, "node")
     return n.select("record_id", "node_path", "parent_path", "node_id", "title", "level", F.size(F.split("node_path", r"\.")).alias("depth"))
 
 
@@ -182,7 +177,7 @@ def content_hash(s: SparkSession, d: str) -> DataFrame:
     return h.select("doc_id", "n_sections", X.sha(F.array_join(F.transform("x", lambda v: v["h"]), "\n")).alias("content_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, section_bodies, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, toc_rollup_all, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
+QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, section_body, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
 
 NODES = "(SELECT DISTINCT doc_id, node_id, parent_node_id, ord, depth, level, title, anchor, page_start, page_end, is_leaf FROM sections)"
 LEAVES = f"(SELECT doc_id, node_id, anchor, title FROM {NODES} WHERE is_leaf AND trim(anchor) <> '')"
@@ -218,7 +213,7 @@ ORACLE = {
 h AS (SELECT doc_id, pos, anchor, trim(regexp_extract(segment, '{_HEADING}', 2), {_WS}) AS title, length(regexp_extract(segment, '{_HEADING}', 1)) AS level, trim(substr(segment, strpos(segment, regexp_extract(segment, '{_HEADING}', 0)) + length(regexp_extract(segment, '{_HEADING}', 0))), {_WS}) AS body FROM seg WHERE regexp_matches(segment, '{_HEADING}')),
 c AS (SELECT *, coalesce(nullif(last_value(CASE WHEN level = 1 THEN title END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING), ''), title) AS category FROM h)
 SELECT doc_id, anchor, title, level, category, sha256(body) AS body_sha256 FROM c WHERE body <> ''""",
-    "section_bodies": rf"""WITH seg AS (SELECT doc_id, i - 1 AS pos, a[i] AS anchor, p[i + 1] AS segment FROM (SELECT *, unnest(generate_series(1, len(a))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{X.SECTION_ANCHOR}', 1) AS a, regexp_split_to_array(text, '{X.SECTION_ANCHOR}') AS p FROM {DOCS} WHERE contains(text, '<a id="sec-')))),
+    "section_body": rf"""WITH seg AS (SELECT doc_id, i - 1 AS pos, a[i] AS anchor, p[i + 1] AS segment FROM (SELECT *, unnest(generate_series(1, len(a))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{X.SECTION_ANCHOR}', 1) AS a, regexp_split_to_array(text, '{X.SECTION_ANCHOR}') AS p FROM {DOCS} WHERE contains(text, '<a id="sec-')))),
 b AS (SELECT doc_id, pos, anchor, rtrim(regexp_replace(segment, '^\n', ''), {_SPACE}) AS body FROM seg),
 c AS (SELECT doc_id, pos, anchor, CASE WHEN length(body) > 1500 THEN rtrim(substr(body, 1, 1499), {_SPACE}) || '…' ELSE body END AS body FROM b)
 SELECT doc_id, pos, anchor, length(body) AS n_chars, sha256(body) AS body_sha256 FROM c""",
@@ -229,8 +224,7 @@ SELECT n.doc_id, n.node_id, n.page_start, greatest(coalesce(nxt - 1, n_pages), n
     "running_lines": rf"WITH p AS (SELECT * FROM {PAGES}), l AS (SELECT DISTINCT source, page, trim(unnest(regexp_split_to_array(text, '\r\n|\r|\n')), {_WS}) AS line FROM p), c AS (SELECT source, line, count(*) AS n FROM l WHERE line <> '' GROUP BY 1, 2), t AS (SELECT source, count(*) AS pages FROM p GROUP BY 1) SELECT source, line, n FROM c JOIN t USING (source) WHERE pages >= 2 AND n >= greatest(2, floor(pages * 0.05 + 0.999))",
     "heading_inference": "WITH s AS (SELECT p_brand AS doc_id, p_partkey % 50 AS page, p_partkey AS pos, round_even(p_size / 3.0 * 2, 0) / 2 AS size, p_partkey % 7 = 0 AS bold, trim(p_name) AS title FROM part WHERE trim(p_name) <> ''), w AS (SELECT doc_id, size, sum(length(title)) AS w, min((page, pos)) AS f FROM s GROUP BY 1, 2), b AS (SELECT doc_id, size AS body FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, f) = 1), c AS (SELECT DISTINCT s.doc_id, page, size, title FROM s JOIN b USING (doc_id) WHERE size > body * 1.1 OR (bold AND size >= body + 1)), z AS (SELECT doc_id, size, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC) AS level FROM (SELECT DISTINCT doc_id, size FROM c)) SELECT c.doc_id, page, level, title FROM c JOIN z ON c.doc_id = z.doc_id AND c.size = z.size WHERE level <= 4",
     "toc_parse": f"SELECT * FROM {TOC}",
-    "toc_rollup": f"WITH t AS (SELECT * FROM {TOC}), q AS (SELECT DISTINCT doc_id, number || '.1' AS number FROM t), k AS (SELECT DISTINCT doc_id, number AS entry FROM t WHERE page % 2 = 0), m AS (SELECT q.doc_id, q.number, arg_max(entry, length(entry)) AS entry FROM q JOIN k ON q.doc_id = k.doc_id AND (q.number = entry OR starts_with(q.number, entry || '.')) GROUP BY 1, 2) SELECT q.doc_id, q.number, coalesce(entry, 'root') AS entry FROM q LEFT JOIN m ON q.doc_id = m.doc_id AND q.number = m.number",
-    "toc_rollup_all": f"WITH t AS (SELECT * FROM {TOC}), q AS (SELECT DISTINCT doc_id, number || '.1' AS number FROM t), k AS (SELECT DISTINCT doc_id, number AS entry FROM t), m AS (SELECT q.doc_id, q.number, arg_max(entry, length(entry)) AS entry FROM q JOIN k ON q.doc_id = k.doc_id AND (q.number = entry OR starts_with(q.number, entry || '.')) GROUP BY 1, 2) SELECT q.doc_id, q.number, coalesce(entry, 'root') AS entry FROM q LEFT JOIN m ON q.doc_id = m.doc_id AND q.number = m.number",
+    "toc_rollup": f"WITH t AS (SELECT * FROM {TOC}), q AS (SELECT DISTINCT doc_id, number || '.1' AS number FROM t), k AS (SELECT DISTINCT doc_id, number AS entry FROM t), m AS (SELECT q.doc_id, q.number, arg_max(entry, length(entry)) AS entry FROM q JOIN k ON q.doc_id = k.doc_id AND (q.number = entry OR starts_with(q.number, entry || '.')) GROUP BY 1, 2) SELECT q.doc_id, q.number, coalesce(entry, 'root') AS entry FROM q LEFT JOIN m ON q.doc_id = m.doc_id AND q.number = m.number",
     "jaccard_pairs": f"WITH {PAIRS} SELECT a, b, round(distance, 6) AS distance FROM pairs WHERE distance <= 0.85",
     "topic_components": _COMPONENTS + "SELECT node, component FROM comp",
     "discover_topics": _TOPICS,

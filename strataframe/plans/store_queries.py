@@ -199,14 +199,6 @@ def taxonomy_v1(s: SparkSession, d: str) -> DataFrame:
     return heads.join(words, "top", "left").select("ord", X.slug(F.col("category"), "unknown", False).alias("slug"), "category", F.coalesce("keywords", F.lit("")).alias("keywords"))
 
 
-def taxonomy_v2(s: SparkSession, d: str) -> DataFrame:
-    """Systems and subsystems of each document from its headings of the first two depths."""
-    n = nodes(s, d)
-    one = n.filter("depth = 1").select("doc_id", F.col("node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("system"))
-    two = n.filter("depth = 2").select("doc_id", F.col("parent_node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("subsystem"))
-    return one.join(two, ["doc_id", "top"], "left").groupBy("doc_id", "system").agg(F.count("subsystem").alias("n_subsystems"), F.min("subsystem").alias("first_subsystem"))
-
-
 SUBSYSTEMS = [("thermal", "pads", "Thermal pad", "*thermal*"), ("audio", "bracket", "Speaker bracket", None), ("audio", "boot", "Microphone boot", None), ("power", "tray", "Battery tray", "*battery*")]
 SYSTEMS = [("audio", "*speaker*"), ("power", "*charger*")]
 
@@ -216,17 +208,8 @@ def spec_owners(s: SparkSession, d: str) -> DataFrame:
 
 
 def spec_section_map(s: SparkSession, d: str) -> DataFrame:
-    """Sections of owned documents; the parts and functions are the headings of the documents' owners."""
-    n, o = nodes(s, d), spec_owners(s, d)
-    one = n.filter("depth = 1").select("doc_id", F.col("node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("part"))
-    two = n.filter("depth = 2 and ord % 2 = 0").select("doc_id", F.col("parent_node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("function"))
-    parts = one.join(two, ["doc_id", "top"], "left").join(o, "doc_id").select("system", "subsystem", "part", "function").distinct()
-    return routing.spec_sections(n, o, parts)
-
-
-def spec_section_paths(s: SparkSession, d: str) -> DataFrame:
     """Sections of owned documents by all parts and functions of their owners; headings without a title
-    are neither. ``spec_section_map`` knows the functions of even positions."""
+    are neither."""
     n, o = nodes(s, d).filter(squeezed(F.col("title")) != ""), spec_owners(s, d)
     one = n.filter("depth = 1").select("doc_id", F.col("node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("part"))
     two = n.filter("depth = 2").select("doc_id", F.col("parent_node_id").alias("top"), X.slug(F.col("title"), "unknown", False).alias("function"))
@@ -234,8 +217,8 @@ def spec_section_paths(s: SparkSession, d: str) -> DataFrame:
     return routing.spec_sections(n, o, parts)
 
 
-def taxonomy_nodes(s: SparkSession, d: str) -> DataFrame:
-    """All nodes of the category trees of all documents; ``taxonomy_v2`` counts the subsystems."""
+def taxonomy_v2(s: SparkSession, d: str) -> DataFrame:
+    """All nodes of the category trees of all documents, in four layers."""
     return routing.taxonomy_nodes(nodes(s, d), spec_owners(s, d), _values(s, SUBSYSTEMS, "system string, subsystem string, title string, glob string"), OWN_DOC)
 
 
@@ -248,7 +231,7 @@ def fact_pages(s: SparkSession, d: str) -> DataFrame:
 
 
 
-QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, spec_section_paths, taxonomy_nodes, fact_pages)}
+QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, fact_pages)}
 
 _STEM = r"regexp_replace(regexp_extract(source_path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1')"
 _DOMAIN = "regexp_extract(source_path, '^in/([^/]*)/', 1)"
@@ -327,11 +310,9 @@ ORACLE = {
     "route_evidence_v2": _route_sql(True),
     "route_counts": f"SELECT slug, count(*) AS n_evidence, count(DISTINCT doc_id) AS n_docs FROM ({_route_sql(True)}) GROUP BY 1",
     "taxonomy_v1": f"WITH n AS (SELECT * FROM {NODES} WHERE doc_id = '{OWN_DOC}'), t AS (SELECT node_id, title, (SELECT arg_max(b.node_id, b.ord) FROM n b WHERE b.depth = 1 AND b.ord <= a.ord) AS top FROM n a WHERE depth >= 1), w AS (SELECT top, string_agg(DISTINCT word, ' ' ORDER BY word) AS keywords FROM (SELECT top, unnest({tokens_sql('title')}) AS word FROM t WHERE node_id <> top) GROUP BY 1) SELECT ord, {_SLUG2} AS slug, title AS category, coalesce(keywords, '') AS keywords FROM n LEFT JOIN w ON n.node_id = w.top WHERE depth = 1",
-    "taxonomy_v2": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES}) SELECT a.doc_id, a.slug AS system, count(b.slug) AS n_subsystems, min(b.slug) AS first_subsystem FROM n a LEFT JOIN n b ON a.doc_id = b.doc_id AND b.depth = 2 AND b.parent_node_id = a.node_id WHERE a.depth = 1 GROUP BY 1, 2",
     "spec_owners": f"SELECT doc_id, system, subsystem FROM {_OWNERS}",
-    "spec_section_map": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES}), o AS (SELECT * FROM {_OWNERS}), t AS (SELECT n.doc_id, n.node_id, o.system || '/' || o.subsystem || '/' || n.slug AS base FROM n JOIN o ON n.doc_id = o.doc_id WHERE depth = 1), f AS (SELECT DISTINCT t.base, n.slug AS function FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id WHERE n.depth = 2 AND n.ord % 2 = 0), x AS (SELECT doc_id, node_id, base, base AS path FROM t UNION ALL SELECT t.doc_id, n.node_id, t.base, CASE WHEN f.function IS NULL THEN t.base ELSE t.base || '/' || f.function END FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id AND n.depth = 2 LEFT JOIN f ON f.base = t.base AND f.function = n.slug) SELECT doc_id, node_id, arg_max(path, (base, path)) AS path FROM x GROUP BY 1, 2",
-    "spec_section_paths": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES} WHERE trim(title, {_WS}) <> ''), o AS (SELECT * FROM {_OWNERS}), t AS (SELECT n.doc_id, n.node_id, o.system || '/' || o.subsystem || '/' || n.slug AS base FROM n JOIN o ON n.doc_id = o.doc_id WHERE depth = 1), f AS (SELECT DISTINCT t.base, n.slug AS function FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id WHERE n.depth = 2), x AS (SELECT doc_id, node_id, base, base AS path FROM t UNION ALL SELECT t.doc_id, n.node_id, t.base, CASE WHEN f.function IS NULL THEN t.base ELSE t.base || '/' || f.function END FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id AND n.depth = 2 LEFT JOIN f ON f.base = t.base AND f.function = n.slug) SELECT doc_id, node_id, arg_max(path, (base, path)) AS path FROM x GROUP BY 1, 2",
-    "taxonomy_nodes": f"""WITH n AS (SELECT doc_id, node_id, parent_node_id, ord, depth, trim(title, {_WS}) AS title, {_SLUG2} AS slug FROM {NODES} WHERE trim(title, {_WS}) <> ''),
+    "spec_section_map": f"WITH n AS (SELECT *, {_SLUG2} AS slug FROM {NODES} WHERE trim(title, {_WS}) <> ''), o AS (SELECT * FROM {_OWNERS}), t AS (SELECT n.doc_id, n.node_id, o.system || '/' || o.subsystem || '/' || n.slug AS base FROM n JOIN o ON n.doc_id = o.doc_id WHERE depth = 1), f AS (SELECT DISTINCT t.base, n.slug AS function FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id WHERE n.depth = 2), x AS (SELECT doc_id, node_id, base, base AS path FROM t UNION ALL SELECT t.doc_id, n.node_id, t.base, CASE WHEN f.function IS NULL THEN t.base ELSE t.base || '/' || f.function END FROM t JOIN n ON t.doc_id = n.doc_id AND n.parent_node_id = t.node_id AND n.depth = 2 LEFT JOIN f ON f.base = t.base AND f.function = n.slug) SELECT doc_id, node_id, arg_max(path, (base, path)) AS path FROM x GROUP BY 1, 2",
+    "taxonomy_v2": f"""WITH n AS (SELECT doc_id, node_id, parent_node_id, ord, depth, trim(title, {_WS}) AS title, {_SLUG2} AS slug FROM {NODES} WHERE trim(title, {_WS}) <> ''),
 a AS (SELECT doc_id, node_id AS top, ord AS top_ord, slug AS s1, title AS t1 FROM n WHERE depth = 1),
 b AS (SELECT a.*, n.ord, n.node_id, n.slug AS s2, n.title AS t2 FROM a JOIN n ON n.doc_id = a.doc_id AND n.parent_node_id = a.top AND n.depth = 2),
 o AS (SELECT * FROM {_OWNERS} WHERE doc_id <> '{OWN_DOC}'),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.functions import text as X
-from strataframe.tables import read
+from strataframe.tables import deliveries, read
 
 REDACTION = [(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[email]", "@"), (r"[MH][0-9]{7}", "[doc]"), (r"CONFIDENTIAL", "[mark]", "CONFIDENTIAL")]
 
@@ -16,12 +16,13 @@ def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without deliveries; equal rows only are merged, in a hash aggregation on the key."""
-    return read(spark, sf_dir, "documents").groupBy("doc_id").agg(F.first("text").alias("text"))
+    """Documents, each counted once."""
+    return deliveries(spark, sf_dir, "documents", ["doc_id"], ["text"])
 
 
 def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "content_sections").groupBy("doc_id", "anchor").agg(F.first("title").alias("title"), F.first("body").alias("body"))
+    """Content sections, each counted once."""
+    return deliveries(spark, sf_dir, "content_sections", ["doc_id", "anchor"], ["title", "category", "body"])
 
 
 def tokenize(s: SparkSession, d: str) -> DataFrame:
@@ -56,11 +57,6 @@ def ref_doc_numbers(s: SparkSession, d: str) -> DataFrame:
     return _bodies(s, d).select("doc_id", "anchor", F.explode(F.array_distinct(X.reference_docs(F.col("body")))).alias("doc_number"))
 
 
-def section_body(s: SparkSession, d: str) -> DataFrame:
-    b = X.section_body(F.col("text"), "sec-0001")
-    return _docs(s, d).filter("text is not null").select("doc_id", F.length(b).alias("n_chars"), X.sha(b).alias("body_sha256"))
-
-
 def inject_block_refs(s: SparkSession, d: str) -> DataFrame:
     t = X.with_block_refs(F.col("text"))
     return _docs(s, d).filter("text is not null").select("doc_id", X.sha(t).alias("text_sha256"))
@@ -125,12 +121,12 @@ def format_value(s: SparkSession, d: str) -> DataFrame:
 def parse_llm_json(s: SparkSession, d: str) -> DataFrame:
     """Answers in fences or between other words, as lists; those without a list are null."""
     raw = F.concat(F.lit("Here it is:\n```json\n"), F.col("taxonomy_json"), F.lit("\n```"))
-    t = read(s, d, "taxonomies").groupBy("record_id").agg(F.first("taxonomy_json").alias("taxonomy_json"))
+    t = deliveries(s, d, "taxonomies", ["record_id"], ["taxonomy_json"])
     found = X.json_list(raw)
     return t.select("record_id", F.length(found).alias("n_chars"), F.json_array_length(found).alias("n_items"))
 
 
-QUERIES = {f.__name__: f for f in (tokenize, slugify, normalize_markdown, strip_images, extract_anchors, extract_wikilinks, ref_doc_numbers, section_body, inject_block_refs, redact_text, file_names, atom_id, prompt_hash, natural_sort, cells_to_html, pipe_table, format_value, parse_llm_json)}
+QUERIES = {f.__name__: f for f in (tokenize, slugify, normalize_markdown, strip_images, extract_anchors, extract_wikilinks, ref_doc_numbers, inject_block_refs, redact_text, file_names, atom_id, prompt_hash, natural_sort, cells_to_html, pipe_table, format_value, parse_llm_json)}
 
 _STOP = ", ".join(f"'{w}'" for w in X.STOPWORDS)
 DOCS = "(SELECT doc_id, any_value(text) AS text FROM documents GROUP BY doc_id)"
@@ -157,9 +153,6 @@ def _redact(column: str) -> tuple[str, str]:
 
 _IMG1, _IMG2 = r"!\[[^\]]*\]\([^)]*\)", r"(?i)<img\b[^>]*>"
 _NORMAL = r"regexp_replace(regexp_replace(regexp_replace(text, '^\x{FEFF}', ''), '\r\n|\r', chr(10), 'g'), '\n+\z', '') || chr(10)"
-_REST = "regexp_replace(substr(text, instr(text, '<a id=\"sec-0001\"></a>') + 21), '^\\n', '')"
-_BODY = f"regexp_replace(string_split_regex({_REST}, '<a id=\"sec-\\d+\"></a>')[1], '[\\s\\x{{00A0}}\\x{{3000}}\\x{{2000}}-\\x{{200A}}\\x{{0085}}\\x{{2028}}\\x{{2029}}\\x0b\\x1c-\\x1f]+\\z', '')"
-_SECTION = f"CASE WHEN instr(text, '<a id=\"sec-0001\"></a>') = 0 THEN '' WHEN length({_BODY}) > 1500 THEN regexp_replace(substr({_BODY}, 1, 1499), '[\\s\\x{{00A0}}\\x{{3000}}]+\\z', '') || '…' ELSE {_BODY} END"
 PROMPT_SQL = "sha256('[{\"content\": \"Summarise.\", \"role\": \"system\"}, {\"content\": ' || to_json(coalesce(title, ''))::VARCHAR || ', \"role\": \"user\"}]')"
 ORACLE = {
     "tokenize": f"SELECT doc_id, node_id, coalesce(array_to_string({tokens_sql('title')}, ' '), CASE WHEN title IS NULL THEN NULL ELSE '' END) AS tokens FROM {TITLES}",
@@ -169,7 +162,6 @@ ORACLE = {
     "extract_anchors": f"SELECT doc_id, array_to_string(a, ',') AS anchors, len(a) AS n_anchors FROM (SELECT doc_id, regexp_extract_all(text, '{X.ANCHOR}', 1) AS a FROM {DOCS} WHERE text IS NOT NULL)",
     "extract_wikilinks": rf"SELECT doc_id, anchor, pos - 1 AS pos, trim(a[pos]) AS target FROM (SELECT doc_id, anchor, a, unnest(generate_series(1, len(a))) AS pos FROM (SELECT doc_id, anchor, regexp_extract_all(body, '{X.WIKILINK}', 1) AS a FROM {BODIES}))",
     "ref_doc_numbers": rf"SELECT DISTINCT doc_id, anchor, unnest(regexp_extract_all(body, '{X.REFERENCE_DOC}')) AS doc_number FROM {BODIES}",
-    "section_body": f"SELECT doc_id, length({_SECTION}) AS n_chars, sha256({_SECTION}) AS body_sha256 FROM {DOCS} WHERE text IS NOT NULL",
     "inject_block_refs": r'''SELECT doc_id, sha256(regexp_replace(text, '<a id="(sec-\d+)"></a>\n(#{1,6} [^\n]*)', '<a id="\1"></a>' || chr(10) || '\2' || chr(10) || '^\1', 'g')) AS text_sha256 FROM ''' + DOCS + " WHERE text IS NOT NULL",
     "redact_text": f"SELECT doc_id, anchor, {_redact('body')[1]} AS n_redacted, sha256({_redact('body')[0]}) AS body_sha256 FROM {BODIES} WHERE body IS NOT NULL",
     "file_names": r"SELECT key, regexp_replace(regexp_extract(source_path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1') AS doc_id, lower(regexp_extract(source_path, '[^/.](\.[^./]*)$', 1)) AS suffix, replace(replace(source_path, '/', '-'), ' ', '_') || '.md' AS flat_name FROM (SELECT DISTINCT key, source_path FROM manifest)",

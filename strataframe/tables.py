@@ -39,14 +39,35 @@ def first_deliveries(df: DataFrame, keys: Sequence[str], time: str = "loaded_at"
     bit by chance, go through ``one_delivery``. The choice is one of the key, so each key
     goes one way as a whole, and the result doesn't depend on ``slots``.
     """
-    slot = F.pmod(F.xxhash64(*keys), F.lit(slots))
-    again = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(slot.alias("_slot"))
-    bits = again.groupBy(F.shiftright("_slot", 6).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_slot", F.lit(64)).cast("int"))).alias("_bits"))
-    marked = spread(df).join(F.broadcast(bits), F.shiftright(slot, 6) == F.col("_word"), "left")
-    repeated = F.coalesce(F.getbit("_bits", F.pmod(slot, F.lit(64)).cast("int")), F.lit(0)) == 1
+    again = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(slot_of(keys, slots).alias("slot"))
+    marked = with_bit(spread(df), keys, again, "_again", slots)
     rest = [c for c in df.columns if c not in (*keys, time)]
-    alone = marked.filter(~repeated).select(*keys, time, *rest)
-    return alone.unionByName(one_delivery(marked.filter(repeated).select(*df.columns), keys, time).select(*keys, time, *rest))
+    alone = marked.filter("not _again").select(*keys, time, *rest)
+    return alone.unionByName(one_delivery(marked.filter("_again").select(*df.columns), keys, time).select(*keys, time, *rest))
+
+
+def deliveries(spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str], columns: Sequence[str], time: str = "loaded_at") -> DataFrame:
+    """Keys and columns of a table, each record counted once. A column that the table lacks is null."""
+    df = read(spark, sf_dir, name)
+    have = df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("timestamp" if c == time else "string").alias(c) for c in (*keys, *columns, time)))
+    return first_deliveries(have, keys, time).select(*keys, *columns)
+
+
+def slot_of(keys: Sequence[str], slots: int = SLOTS) -> Column:
+    """The bit of a key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(slots))
+
+
+def with_bit(df: DataFrame, keys: Sequence[str], set_: DataFrame, name: str, slots: int = SLOTS) -> DataFrame:
+    """``df`` with a column ``name``: whether the bit of its key is among those of ``set_`` (slot).
+
+    The bits are broadcast, 64 in a row, so the size is bounded by ``slots``. A key whose bit is not set is surely
+    none of those that set one; a few others share theirs by chance.
+    """
+    slot = slot_of(keys, slots)
+    bits = set_.groupBy(F.shiftright("slot", 6).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(64)).cast("int"))).alias("_bits"))
+    both = df.join(F.broadcast(bits), F.shiftright(slot, 6) == F.col("_word"), "left")
+    return both.select(*df.columns, (F.coalesce(F.getbit("_bits", F.pmod(slot, F.lit(64)).cast("int")), F.lit(0)) == 1).alias(name))
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 LARGE = 9_007_199_254_740_993  # no double has this value
 KEYS = {"documents": "doc_id", "atoms": "atom_no", "edges": "edge_no", "index_trees": "record_id", "taxonomies": "record_id"}
+TREES = {"index_trees": "index_json", "taxonomies": "taxonomy_json"}
+HOSTILE = ['{"node_id":"root","children":[{"title":"\\ud800"}]}', '{"categories":[{"slug":"\\udfff a","children":[{"x":' + "[" * 20_000 + "]" * 20_000 + "}]}]}"]
 TEXTS = {"documents": "text", "content_sections": "body"}
 DOMAIN = {*KEYS, *TEXTS, "manifest", "sections"}
 
@@ -25,6 +27,9 @@ def odd(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     if name in TEXTS:
         for text in ("", " \n\t", "x" * 200_000, "a b. " * 40_000, "\\" * 5000, "<" * 5000, "\x00﻿\U0001f642"):
             df = df.unionByName(one.withColumn(TEXTS[name], F.lit(text)))
+    if name in TREES:
+        for text in HOSTILE:
+            df = df.unionByName(one.withColumns({TREES[name]: F.lit(text), "record_id": F.lit(LARGE - 100 + len(text) % 50)}))
     return df.withColumns({"n": F.lit(1), "start": F.lit("clash"), "kind": F.lit("clash"), "word": F.lit("clash")})
 
 

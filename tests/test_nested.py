@@ -71,5 +71,49 @@ def test_tables(spark, tmp_path):
     assert N.typed(back, "entry").count() == 2
 
 
+HOSTILE = [
+    '{"node_id":"root","children":[{"title":"\\ud800 half"},{"title":"\\ud83d\\ude42"}]}',
+    '{"node_id":"root","deep":' + "[" * 20_000 + "]" * 20_000 + ',"children":[{"title":"a"}]}',
+    '{"node_id":"root","assets":[{"x":' + '{"y":' * 20_000 + "1" + "}" * 20_000 + '}],"children":[{"title":"b"}]}',
+    '{"node_id":"root","tables":[{"rows":[[' + "[" * 20_000 + "]" * 20_000 + ']]}],"keywords":[' + "[" * 20_000 + "]" * 20_000 + '],"children":[{"title":"c"}]}',
+    '{"node_id":"root","level":' + "9" * 6000 + ',"size":1e999,"children":[{"title":"d"}]}',
+]
+
+
+def test_no_record_ends_the_query(spark):
+    rows = [("index_trees", i, t) for i, t in enumerate(HOSTILE)] + [("index_trees", 9, json.dumps(tree({"title": "e"})))]
+    trees = N.flatten(spark.createDataFrame(rows, "record_kind string, record_id long, text string"))
+    titles = {r.record_id: r.title for r in N.typed(trees, "node").filter("node_path = '1.1'").collect()}
+    assert titles == {0: "\ufffd half", 1: "a", 2: "b", 3: "c", 4: "d", 9: "e"}
+    assert N.typed(trees, "node").filter("title = '\U0001f642'").count() == 1
+    assert N.typed(trees, "caught").count() == 0 and N.typed(trees, "table_row").count() == 1
+
+
+def test_what_fails_is_caught(spark, monkeypatch):
+    def broken(kind, number, value):
+        yield ("node", kind, number, "1", None, 1, "{}")
+        raise MemoryError("too much")
+
+    monkeypatch.setattr(N, "visit", broken)
+    got = list(N._emit(iter([__import__("pandas").DataFrame({"record_kind": ["k"], "record_id": [1], "text": ["{}"]})])))[0]
+    assert list(got.tag) == ["node", "caught"] and "MemoryError" in got.payload[1]
+
+
+def test_dumps_of_any_depth():
+    value = {"a": [1, "x\n", None, {"b": []}, {}], "c": 2.5, "d": [[], [[1]], True]}
+    assert json.loads(N.dumps(value)) == value
+    for _ in range(20_000):
+        value = {"n": [value, 1], "m": "é"}
+    assert N._deep_loads(N.dumps(value))["n"][1] == 1
+
+
+def test_records_are_parsed_once(spark, sf, monkeypatch):
+    from strataframe.plans import problems
+
+    problems.tagged(spark, sf)
+    monkeypatch.setattr(N, "write_tables", lambda *_: pytest.fail("written again"))
+    assert problems.tagged(spark, sf).count() > 0
+
+
 def test_empty(spark):
     assert N.flatten(spark.createDataFrame([], "record_kind string, record_id long, text string")).count() == 0

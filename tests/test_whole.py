@@ -41,7 +41,7 @@ def test_every_section_has_its_body(spark, tmp_path):
     text = f'before<a id="sec-0003"></a>\n\na <a id="tbl-0001"></a> b \x1f\n<a id="sec-0004"></a>{long}<a id="sec-0007"></a>\n{edge}\n<a id="sec-0009"></a>'
     rows = [(1, text), (2, None), (3, "none"), (4, '<a id="sec-0001"></a>\nfirst　\n<a id="sec-0002"></a> last')]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {(r.doc_id, r.anchor): (r.n_chars, r.body_sha256) for r in all_queries()["section_bodies"](spark, str(tmp_path)).collect()}
+    got = {(r.doc_id, r.anchor): (r.n_chars, r.body_sha256) for r in all_queries()["section_body"](spark, str(tmp_path)).collect()}
     want = {(k, a): excerpt_of(t, a) for k, t in rows if t for a in re.findall(r'<a id="(sec-\d+)"></a>', t)}
     assert got == {k: (len(b), hashlib.sha256(b.encode()).hexdigest()) for k, b in want.items()}
     assert len(got) == 6
@@ -50,7 +50,7 @@ def test_every_section_has_its_body(spark, tmp_path):
 def test_contents_of_odd_pages_count(spark, tmp_path):
     text = "1 One ..... 2\n1.1 Sub ..... 3\n3 Three ..... 5\n"
     spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {(r.number, r.entry) for r in all_queries()["toc_rollup_all"](spark, str(tmp_path)).collect()}
+    got = {(r.number, r.entry) for r in all_queries()["toc_rollup"](spark, str(tmp_path)).collect()}
     assert got == {("1.1", "1.1"), ("1.1.1", "1.1"), ("3.1", "3")}
 
 
@@ -63,7 +63,7 @@ def test_numbers_without_entry_go_to_the_root(spark):
 
 def test_functions_of_odd_positions_have_their_path(spark, tmp_path):
     thermal = [node("M1 Thermal PES", 1, 1, "Part"), *(node("M1 Thermal PES", k, 2, t, "n001") for k, t in ((2, "Even"), (3, "Odd"), (4, " ")))]
-    got = {r.node_id: r.path for r in all_queries()["spec_section_paths"](spark, written(spark, tmp_path, thermal + [node("other", 1, 1, "Part")])).collect()}
+    got = {r.node_id: r.path for r in all_queries()["spec_section_map"](spark, written(spark, tmp_path, thermal + [node("other", 1, 1, "Part")])).collect()}
     assert got == {"n001": "thermal/pads/part", "n002": "thermal/pads/part/even", "n003": "thermal/pads/part/odd"}
 
 
@@ -79,7 +79,7 @@ def test_trees_have_all_nodes_of_four_layers(spark, tmp_path):
     own, spec, more = "M0900001 Platform PES", "M1 Thermal PES", "M2 Thermal PES"
     rows = [node(own, 1, 1, "Thermal"), node(own, 2, 2, "Zinc", "n001"), node(own, 3, 2, "Air", "n001"), node(own, 4, 2, " ", "n001"), node(own, 5, 1, "THERMAL"), node(own, 6, 2, "Last", "n005")]
     rows += [node(spec, 1, 1, "Fan"), node(spec, 2, 2, "Speed", "n001"), node(spec, 3, 2, "Noise", "n001"), node(more, 1, 1, "FAN"), node(more, 2, 2, "SPEED", "n001"), node(more, 3, 2, "speed", "n001")]
-    got = all_queries()["taxonomy_nodes"](spark, written(spark, tmp_path, rows)).collect()
+    got = all_queries()["taxonomy_v2"](spark, written(spark, tmp_path, rows)).collect()
     tree = {(r.layer, r.path): (r.slug, r.title) for r in got if r.tree == own}
     assert len(got) == len({(r.tree, r.path) for r in got})
     assert {p: t for (k, p), (_, t) in tree.items() if k == "subsystem" and p.startswith("thermal/")} == {"thermal/zinc": "Zinc", "thermal/air": "Air", "thermal/last": "Last", "thermal/pads": "Thermal pad"}
