@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.llm.texts import CJK
-from strataframe.tables import checkpointed
+from strataframe.tables import checkpointed, slot_of, with_bit
 
 KINDS = ("hyphen", "glyph", "header", "page_no")
 CONFUSED = 0.25  # cost of a confused pair; other edits cost 1
@@ -296,33 +296,37 @@ def lines_of(body: str, doc: str) -> tuple[list[str], set[str]]:
     return (lines, kinds) if kinds or breaks(lines) else ([body], set())
 
 
-def _plain(body: str, doc: str) -> str:
-    lines, _ = lines_of(body, doc)
-    return unmarked(joined(lines)[0] if len(lines) > 1 else body)
-
-
 _COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of words, of windows, of pairs (before, word) and of hyphen compounds, summed by batch."""
+    """Counts of words, of windows, of pairs (before, word), of hyphen compounds, and of the slots of
+    bodies whose layout isn't plain, summed by batch."""
     for b in batches:
         words: Counter[str] = Counter()
         pairs: Counter[tuple[str, str]] = Counter()
-        for doc, body in zip(b.doc_id, b.body):
-            text = _plain(body, doc or "")
+        for doc, body, slot in zip(b.doc_id, b.body, b.slot):
+            lines, _ = lines_of(body, doc or "")
+            if len(lines) > 1:
+                words[f"{SLOT}{slot}"] += 1
+            text = unmarked(joined(lines)[0] if len(lines) > 1 else body)
             found = words_of(text)
-            words.update(found)
             pairs.update(zip(["", *found], found))
             words.update(w for _, w in windows(text))
             if "-" in text:
                 words.update(x.lower() for x in _COMPOUND.findall(text))
+        for (_, w), n in pairs.items():
+            words[w] += n
         yield pd.DataFrame({"before": [None] * len(words) + [a for a, _ in pairs], "word": [*words, *(w for _, w in pairs)], "n": [*words.values(), *pairs.values()]}, columns=["before", "word", "n"])
 
 
+SLOT = "\x03"  # begins the word of a body's slot
+
+
 def frequencies(sections: DataFrame) -> DataFrame:
     """word, before (null: the word alone), n: counts over all bodies."""
-    counted = sections.filter("body is not null").select("doc_id", "body").mapInPandas(_count, "before string, word string, n long")
+    slot = slot_of(["doc_id", "anchor"]) if "anchor" in sections.columns else F.lit(0)
+    counted = sections.filter("body is not null").select("doc_id", "body", slot.alias("slot")).mapInPandas(_count, "before string, word string, n long")
     return counted.groupBy("before", "word").agg(F.sum("n").alias("n"))
 
 
@@ -438,7 +442,7 @@ def decisions(counted: DataFrame) -> DataFrame:
     the very place that asks. Words that stay have no row. Compounds whose hyphen is their
     own have a row without a repair.
     """
-    words = counted.filter("before is null").select("word", "n")
+    words = counted.filter(F.col("before").isNull() & ~F.col("word").startswith(SLOT)).select("word", "n")
     pairs = counted.filter("before is not null").select("before", F.col("word").alias("candidate"), F.col("n").alias("together"))
     near = candidates(words)
     window = F.col("word").startswith("\x01")
@@ -481,15 +485,13 @@ class Book:
 
     def found(self, words: list[str]) -> dict[tuple[str, str], str]:
         """The repairs of the words of a text, by the word before and the word."""
-        if self.known.isdisjoint(words):
-            return {}
         return {k: self.repairs[k] for k in zip(["", *words], words) if k in self.repairs}
 
 
 def _repair_by(book):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(doc, anchor, *repair(body, doc, book=book.value)) for doc, anchor, body in zip(b.doc_id, b.anchor, b.body)]
+            out = [(doc, anchor, *repair(body, doc, book.value, laid)) for doc, anchor, body, laid in zip(b.doc_id, b.anchor, b.body, b.laid)]
             yield pd.DataFrame(out, columns=["doc_id", "anchor", "text", "noise"])
 
     return of
@@ -498,9 +500,9 @@ def _repair_by(book):
 def _repair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
-        for doc, anchor, body, found in zip(b.doc_id, b.anchor, b.body, b.found):
+        for doc, anchor, body, laid, found in zip(b.doc_id, b.anchor, b.body, b.laid, b.found):
             book = Book([(r["before"], r["word"], r["repair"]) for r in found] if found is not None else [])
-            out.append((doc, anchor, *repair(body, doc, book=book)))
+            out.append((doc, anchor, *repair(body, doc, book, laid)))
         yield pd.DataFrame(out, columns=["doc_id", "anchor", "text", "noise"])
 
 
@@ -535,18 +537,19 @@ _EOL = re.compile(r"\r\n|\r|\n")
 _NONE = Book([])
 
 
-def repair(body: str | None, doc: str | None, book: Book = _NONE) -> tuple[str | None, list[str]]:
-    """Repaired text and kinds of noise of one body, by the decisions of a book."""
+def repair(body: str | None, doc: str | None, book: Book = _NONE, laid: bool = True) -> tuple[str | None, list[str]]:
+    """Repaired text and kinds of noise of one body, by the decisions of a book. ``laid`` is false for a
+    body that is known to be one piece."""
     if not isinstance(body, str) or not body.strip():
         return body, []
-    lines, kinds = lines_of(body, doc or "")
+    lines, kinds = lines_of(body, doc or "") if laid else ([body], set())
     kinds = set(kinds)
     text = body
     if len(lines) > 1:
         text, hyphen = joined(lines, book.compounds)
         if hyphen:
             kinds.add("hyphen")
-    found = book.found(words_of(unmarked(text)))
+    found = {} if book.known.isdisjoint(map(_known_word, _PARTS.findall(text.lower()))) else book.found(words_of(unmarked(text)))
     whole = len(lines) > 1
     for _ in range(2):  # repaired as it stands, and again as paragraphs if there was anything to repair
         fixed = marks_repaired(characters_repaired(_replaced(text, found), book.repairs))
@@ -593,6 +596,9 @@ def repair_scans(sections: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
     counted = checkpointed(frequencies(sections))  # small beside the texts, and read several times
     decided = checkpointed(decisions(counted))
     few = decided.limit(most_sent + 1).collect()
+    # bodies that were one piece when they were counted are not laid out again
+    slots = counted.filter(F.col("word").startswith(SLOT)).select(F.substring("word", 2, 20).cast("long").alias("slot"))
+    sections = with_bit(sections, ["doc_id", "anchor"], slots, "laid")
     if len(few) <= most_sent:
         book = Book([tuple(r) for r in few])
         return sections.mapInPandas(_repair_by(sections.sparkSession.sparkContext.broadcast(book)), REPAIRED)
@@ -600,4 +606,4 @@ def repair_scans(sections: DataFrame, most_sent: int = MOST_SENT) -> DataFrame:
     found = asked.join(decided, ["before", "word"]).groupBy("doc_id", "anchor").agg(F.collect_list(F.struct("before", "word", "repair")).alias("found"))
     a, f = sections.alias("a"), found.alias("f")
     both = a.join(f, F.col("a.doc_id").eqNullSafe(F.col("f.doc_id")) & F.col("a.anchor").eqNullSafe(F.col("f.anchor")), "left")
-    return both.select("a.doc_id", "a.anchor", "a.body", "f.found").mapInPandas(_repair, REPAIRED)
+    return both.select("a.doc_id", "a.anchor", "a.body", "a.laid", "f.found").mapInPandas(_repair, REPAIRED)
