@@ -23,10 +23,40 @@ def missing_anchors(leaves: DataFrame, bodies: DataFrame) -> DataFrame:
     return leaves.select("doc_id", "anchor").filter("anchor != ''").distinct().join(bodies.select("doc_id", "anchor").distinct(), ["doc_id", "anchor"], "left_anti")
 
 
-def asset_closure(bodies: DataFrame, assets: DataFrame) -> DataFrame:
-    """Asset paths that texts refer to and no record has: doc_id, rel_path."""
-    refs = bodies.select("doc_id", F.explode(X.asset_refs(F.col("body"))).alias("rel_path")).distinct()
-    return refs.join(assets.select("doc_id", "rel_path").distinct(), ["doc_id", "rel_path"], "left_anti")
+def asset_closure(refs: DataFrame, records: DataFrame, files: DataFrame) -> DataFrame:
+    """doc_id, rel_path, rule of assets (doc_id, rel_path each) that texts refer to without a record, or without
+    a file, and of files that neither texts nor records name."""
+    key = ["doc_id", "rel_path"]
+    refs, records, files = (df.select(*key).filter("rel_path is not null").distinct() for df in (refs, records, files))
+    rules = (("not recorded", refs.join(records, key, "left_anti")), ("no file", refs.join(files, key, "left_anti")), ("orphan file", files.join(refs, key, "left_anti").join(records, key, "left_anti")))
+    return rules[0][1].withColumn("rule", F.lit(rules[0][0])).unionByName(rules[1][1].withColumn("rule", F.lit(rules[1][0]))).unionByName(rules[2][1].withColumn("rule", F.lit(rules[2][0])))
+
+
+def hash_truth(records: DataFrame, files: DataFrame) -> DataFrame:
+    """path, recorded, actual of records (path, sha256) whose file (path, content) is missing or has
+    another hash: of assets (H6) as of sources (H7)."""
+    actual = files.select("path", F.sha2("content", 256).alias("actual"))
+    both = records.select("path", F.col("sha256").alias("recorded")).join(actual, "path", "left")
+    return both.filter(~F.col("recorded").eqNullSafe(F.col("actual")))
+
+
+def missing_origins(declared: DataFrame, expected: DataFrame) -> DataFrame:
+    """slug, source_sha256 of the sources behind a topic's evidence that it doesn't declare (H18)."""
+    key = ["slug", "source_sha256"]
+    return expected.select(*key).filter("source_sha256 is not null").distinct().join(declared.select(*key).distinct(), key, "left_anti")
+
+
+def violations(**found: DataFrame) -> DataFrame:
+    """invariant, doc_id, detail of the rows of several checks, by name; the detail is a row's other
+    columns as text, in their order, nulls as nothing."""
+    out = None
+    for name, df in sorted(found.items()):
+        rest = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns if c != "doc_id"]
+        rows = df.select(F.lit(name).alias("invariant"), "doc_id", (F.concat_ws(" ", *rest) if rest else F.lit("")).alias("detail"))
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise ValueError("no checks")
+    return out
 
 
 def page_gaps(nodes: DataFrame, pages: DataFrame) -> DataFrame:

@@ -151,3 +151,28 @@ def toc_rollup(numbers: DataFrame, toc: DataFrame, root: str = "root") -> DataFr
     wide = asked.select("doc_id", "number", F.explode(prefixes(F.col("number"))).alias("entry")).join(known, ["doc_id", "entry"])
     best = wide.groupBy("doc_id", "number").agg(F.max_by("entry", F.length("entry")).alias("entry"))
     return asked.join(best, ["doc_id", "number"], "left").select("doc_id", "number", F.coalesce("entry", F.lit(root)).alias("entry"))
+
+
+def without_running_lines(pages: DataFrame, running: DataFrame) -> DataFrame:
+    """source, page, text of pages (source, page, text) without their document's running lines (source,
+    line). Lines are compared without white space at their ends; pages of documents without running lines stay as
+    they are. What is gathered is the running lines of one document, each of which stands on many pages."""
+    drop = running.groupBy("source").agg(F.collect_set("line").alias("drop"))
+    kept = F.filter(F.split("text", "\r\n|\r|\n"), lambda x: ~F.array_contains("drop", squeezed(x)))
+    text = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.regexp_replace(F.array_join(kept, "\n"), r"^\n+|\n+$", ""))
+    return pages.join(drop, "source", "left").select("source", "page", text.alias("text"))
+
+
+def with_front_matter(entries: DataFrame, title: str = "Front matter") -> DataFrame:
+    """Outline entries (doc_id, ord, level, title, page_start), and one of level 1 for the pages before the first
+    where that begins later than page 1. Entries without a page or before page 1 are left out."""
+    e = entries.filter("page_start >= 1").select("doc_id", "ord", "level", "title", "page_start")
+    first = e.groupBy("doc_id").agg(F.min(F.struct("ord", "page_start")).alias("x")).filter("x.page_start > 1")
+    return e.unionByName(first.select("doc_id", (F.col("x.ord") - 1).alias("ord"), F.lit(1).alias("level"), F.lit(title).alias("title"), F.lit(1).alias("page_start")))
+
+
+def one_heading_per_page(headings: DataFrame) -> DataFrame:
+    """The first heading of each page (doc_id, page, level, title) by level and title, so that ranges of pages
+    don't overlap."""
+    best = headings.groupBy("doc_id", "page").agg(F.min(F.struct("level", "title")).alias("x"))
+    return best.select("doc_id", "page", F.col("x.level").alias("level"), F.col("x.title").alias("title"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.functions import text as X
-from strataframe.operators import invariants, nested, sections, topics
+from strataframe.operators import contents, invariants, nested, sections, topics
 from strataframe.plans.problems import tagged
 from strataframe.plans.text_queries import BODIES, DOCS, slug_sql, tokens_sql
 from strataframe.plans.text_queries import _bodies as bodies
@@ -81,6 +81,61 @@ def toc_rollup(s: SparkSession, d: str) -> DataFrame:
     return sections.toc_rollup(toc.select("doc_id", F.concat("number", F.lit(".1")).alias("number")), toc)
 
 
+def _contents(s: SparkSession, d: str) -> DataFrame:
+    """Contents pages with numbers and titles on lines of their own, as some readers give them: lines
+    that hold both are parted, under a heading and nine chapters."""
+    chapters = "".join(f"{k}\nCHAPTER {k} ...... {k}\n" for k in range(1, 10))
+    text = F.concat(F.lit("# Contents\n" + chapters), F.regexp_replace("text", r"(?m)^[ \t]*(\d+(?:\.\d+)*)[ \t]+(\S)", "$1\n$2"))
+    return docs(s, d).filter(F.col("text").contains("....")).select("doc_id", text.alias("text"))
+
+
+def toc_pairs(s: SparkSession, d: str) -> DataFrame:
+    return contents.number_title_pairs(_contents(s, d))
+
+
+def toc_tree(s: SparkSession, d: str) -> DataFrame:
+    return contents.contents_tree(contents.number_title_pairs(_contents(s, d))).select("doc_id", "number", "layer", "title", "path")
+
+
+def toc_section_map(s: SparkSession, d: str) -> DataFrame:
+    """Numbers one level below the entries of contents pages, and the path that they belong to; the root's is empty."""
+    pairs = contents.number_title_pairs(_contents(s, d))
+    paths = contents.contents_paths(contents.contents_tree(pairs))
+    asked = pairs.select("doc_id", F.concat("number", F.lit(".1")).alias("number")).distinct()
+    led = sections.toc_rollup(asked, paths)
+    hit = led.join(paths.select("doc_id", F.col("number").alias("entry"), "path"), ["doc_id", "entry"], "left")
+    return hit.select("doc_id", "number", F.coalesce("path", F.lit("")).alias("path"))
+
+
+def page_bodies(s: SparkSession, d: str) -> DataFrame:
+    """Pages without the running lines of their document."""
+    pages = _pages(s, d)
+    found = sections.without_running_lines(pages, sections.running_lines(pages, 0.05))
+    return found.select("source", "page", F.length("text").alias("n_chars"), X.sha(F.col("text")).alias("text_sha256"))
+
+
+def outline_padding(s: SparkSession, d: str) -> DataFrame:
+    return sections.with_front_matter(nodes(s, d).filter("level > 0"))
+
+
+def page_headings(s: SparkSession, d: str) -> DataFrame:
+    """One inferred heading a page."""
+    return sections.one_heading_per_page(heading_inference(s, d))
+
+
+def h18_missing_origins(s: SparkSession, d: str) -> DataFrame:
+    """Sources behind each title's evidence that a page would not declare if it knew well extracted ones only."""
+    m = read(s, d, "manifest").select(X.file_stem(F.col("source_path")).alias("doc_id"), "source_sha256", "status").distinct()
+    e = leaves(s, d).join(m, "doc_id").select(X.slug(F.col("title"), "topic").alias("slug"), "source_sha256", "status")
+    return invariants.missing_origins(e.filter("status = 'ok'"), e)
+
+
+def all_violations(s: SparkSession, d: str) -> DataFrame:
+    """All violations of the structural checks in one table, each once."""
+    found = {"H3": h3_duplicate_anchors(s, d), "H4": h4_missing_anchors(s, d), "H9": h9_page_gaps(s, d), "H10": h10_untitled(s, d), "H14": wiki_verify(s, d)}
+    return invariants.violations(**found).groupBy("invariant", "doc_id", "detail").agg(F.count("*").alias("n"))
+
+
 def jaccard_pairs(s: SparkSession, d: str) -> DataFrame:
     return topics.jaccard_pairs(topics.token_sets(leaves(s, d))).select("a", "b", F.round("distance", 6).alias("distance"))
 
@@ -124,11 +179,11 @@ def h4_missing_anchors(s: SparkSession, d: str) -> DataFrame:
 
 
 def h5_asset_closure(s: SparkSession, d: str) -> DataFrame:
-    refs = bodies(s, d).withColumn("body", F.replace(F.col("body"), F.lit("![](img"), F.lit("![](assets/img")))
-    trees = tagged(s, d).filter("record_kind = 'index_trees'")
+    """Images that texts name against the records of section trees; the images of all texts are the files."""
+    refs = bodies(s, d).select("doc_id", F.explode(F.regexp_extract_all("body", F.lit(r"!\[[^\]]*\]\(([^)\s]+)\)"), F.lit(1))).alias("rel_path"))
     owner = read(s, d, "index_trees").select("record_id", "doc_id").distinct()
-    have = nested.typed(trees, "asset").join(owner, "record_id").select("doc_id", "rel_path")
-    return invariants.asset_closure(refs, have)
+    have = nested.typed(tagged(s, d).filter("record_kind = 'index_trees'"), "asset").join(owner, "record_id").select("doc_id", "rel_path")
+    return invariants.asset_closure(refs, have, refs)
 
 
 def _n_pages(s: SparkSession, d: str) -> DataFrame:
@@ -177,14 +232,32 @@ def content_hash(s: SparkSession, d: str) -> DataFrame:
     return h.select("doc_id", "n_sections", X.sha(F.array_join(F.transform("x", lambda v: v["h"]), "\n")).alias("content_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, section_body, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
+QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, section_body, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, toc_pairs, toc_tree, toc_section_map, page_bodies, outline_padding, page_headings, h18_missing_origins, all_violations, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
 
+WHITE = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '||chr(133)||chr(160)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)||chr(65279)"
 NODES = "(SELECT DISTINCT doc_id, node_id, parent_node_id, ord, depth, level, title, anchor, page_start, page_end, is_leaf FROM sections)"
 LEAVES = f"(SELECT doc_id, node_id, anchor, title FROM {NODES} WHERE is_leaf AND trim(anchor) <> '')"
 PAGES = "(SELECT source, doc_id AS page, text FROM (SELECT doc_id, any_value(source) AS source, any_value(text) AS text FROM documents GROUP BY doc_id) WHERE text IS NOT NULL AND source IS NOT NULL)"
 _LINES = r"(SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS line FROM (SELECT doc_id, regexp_split_to_array(text, '\r\n|\r|\n') AS l FROM " + DOCS + "))"
 _TOC = r"^\s*(\d+(?:\.\d+)*)\s+(\S.*?)\s*\.{2,}\s*(\d+)\s*$"
 TOC = f"(SELECT doc_id, pos, regexp_extract(line, '{_TOC}', 1) AS number, regexp_extract(line, '{_TOC}', 2) AS title, len(regexp_extract_all(regexp_extract(line, '{_TOC}', 1), '[.]')) + 1 AS depth, regexp_extract(line, '{_TOC}', 3)::INT AS page FROM {_LINES} WHERE regexp_matches(line, '{_TOC}'))"
+_NUMBER, _SPLIT = r"^\d+(\.\d+)*$", r"(?m)^[ \t]*(\d+(?:\.\d+)*)[ \t]+(\S)"
+_CHAPTERS = " || ".join(f"'{k}' || chr(10) || 'CHAPTER {k} ...... {k}' || chr(10)" for k in range(1, 10))
+_NOISE = r"(?i)^(!\[|page\s+\d+\s+of\b|\w+\s+confidential\b|\d+/\d+/\d+$|m\d+\s+rev\b|product\s+requirement\s+document$|contents$)"
+_PAIRED = rf"""(WITH l AS (SELECT doc_id, pos, trim(line, {WHITE}) AS line FROM (SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS line FROM (SELECT doc_id, regexp_split_to_array('# Contents' || chr(10) || {_CHAPTERS} || regexp_replace(text, '{_SPLIT}', '\1' || chr(10) || '\2', 'g'), '\r\n|\r|\n') AS l FROM {DOCS} WHERE contains(text, '....')))),
+i AS (SELECT l.* FROM l JOIN (SELECT l.doc_id, s.pos AS a, min(l.pos) FILTER (WHERE l.pos > s.pos AND l.line LIKE '#%') AS b FROM l JOIN (SELECT doc_id, min(pos) AS pos FROM l WHERE line LIKE '#%' AND lower(trim(ltrim(line, '#'))) = 'contents' GROUP BY 1) s ON l.doc_id = s.doc_id GROUP BY 1, 2) r ON l.doc_id = r.doc_id AND l.pos > r.a AND (r.b IS NULL OR l.pos < r.b)),
+t AS (SELECT doc_id, pos, line FROM i WHERE line <> '' AND NOT regexp_matches(line, '{_NUMBER}') AND NOT regexp_matches(line, '{_NOISE}')),
+p AS (SELECT n.doc_id, t.pos AS t, min(n.pos) AS pos, arg_min(n.line, n.pos) AS number, any_value(t.line) AS line FROM i n JOIN t ON t.doc_id = n.doc_id AND t.pos > n.pos AND regexp_matches(n.line, '{_NUMBER}') AND NOT EXISTS (SELECT 1 FROM t u WHERE u.doc_id = n.doc_id AND u.pos > n.pos AND u.pos < t.pos) GROUP BY 1, 2),
+c AS (SELECT doc_id, pos, number, trim(regexp_replace(trim(regexp_replace(line, '\s*\.{{2,}}.*$', ''), {WHITE}), '\s+\d+$', ''), {WHITE}) AS title FROM p)
+SELECT doc_id, pos, number, title, len(string_split(number, '.')) AS depth FROM c WHERE title <> '')"""
+_TREE = f"""WITH e AS (SELECT *, {slug_sql('title', 'unknown', False)} AS base, string_split(number, '.') AS w FROM {_PAIRED}),
+one AS (SELECT *, row_number() OVER (PARTITION BY doc_id, base ORDER BY pos) AS k FROM e WHERE depth = 1),
+o AS (SELECT doc_id, pos, number, title, CASE WHEN k = 1 THEN base ELSE base || '-' || k END AS path FROM one),
+up AS (SELECT e.doc_id, e.pos, max(o.pos) AS top FROM e JOIN o ON o.doc_id = e.doc_id AND o.number = e.w[1] AND o.pos < e.pos AND e.depth IN (2, 3) GROUP BY 1, 2),
+m AS (SELECT a.doc_id, a.pos, max(b.pos) AS mid FROM e a JOIN e b ON b.doc_id = a.doc_id AND b.depth = 2 AND a.depth = 3 AND b.number = a.w[1] || '.' || a.w[2] AND b.pos < a.pos JOIN up ON up.doc_id = b.doc_id AND up.pos = b.pos GROUP BY 1, 2),
+low AS (SELECT e.*, up.top, m.mid, row_number() OVER (PARTITION BY e.doc_id, up.top, m.mid, base ORDER BY e.pos) AS k FROM e JOIN up ON up.doc_id = e.doc_id AND up.pos = e.pos LEFT JOIN m ON m.doc_id = e.doc_id AND m.pos = e.pos),
+s AS (SELECT low.doc_id, low.pos, low.number, low.title, low.depth, low.mid, o.path AS above, CASE WHEN k = 1 THEN base ELSE base || '-' || k END AS slug FROM low JOIN o ON o.doc_id = low.doc_id AND o.pos = low.top),
+tree AS (SELECT doc_id, pos, number, 'subsystem' AS layer, title, path FROM o UNION ALL SELECT s.doc_id, s.pos, s.number, CASE WHEN s.depth = 2 THEN 'part' ELSE 'function' END, s.title, CASE WHEN s.mid IS NULL THEN s.above ELSE p.above || '/' || p.slug END || '/' || s.slug FROM s LEFT JOIN s p ON p.doc_id = s.doc_id AND p.pos = s.mid)"""
 SETS = f"(SELECT DISTINCT array_to_string({tokens_sql('title')}, ' ') AS tokens FROM {LEAVES} WHERE len({tokens_sql('title')}) > 0)"
 PAIRS = f"""sets AS (SELECT tokens, string_split(tokens, ' ') AS w FROM {SETS}),
 words AS (SELECT tokens, len(w) AS n, unnest(w) AS word FROM sets),
@@ -207,6 +280,7 @@ SELECT CASE WHEN k = 1 THEN base ELSE base || '-' || k END AS slug, title, n_evi
 _HEADING = r"(?m)^(#{1,6})[ \t]+(.*?)[ \t]*$"
 _WS = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '||chr(133)||chr(160)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)||chr(65279)"
 _SPACE = "||".join(f"chr({k})" for k in (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
+_RUNNING = rf"WITH p AS (SELECT * FROM {PAGES}), l AS (SELECT DISTINCT source, page, trim(unnest(regexp_split_to_array(text, '\r\n|\r|\n')), {WHITE}) AS line FROM p), c AS (SELECT source, line, count(*) AS n FROM l WHERE line <> '' GROUP BY 1, 2), t AS (SELECT source, count(*) AS pages FROM p GROUP BY 1), r AS (SELECT source, line, n FROM c JOIN t USING (source) WHERE pages >= 2 AND n >= greatest(2, floor(pages * 0.05 + 0.999)))"
 ORACLE = {
     "evidence_leaves": f"SELECT * FROM {LEAVES}",
     "content_sections": rf"""WITH seg AS (SELECT doc_id, i AS pos, a[i] AS anchor, p[i + 1] AS segment FROM (SELECT *, unnest(generate_series(1, len(a))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{X.SECTION_ANCHOR}', 1) AS a, regexp_split_to_array(text, '{X.SECTION_ANCHOR}') AS p FROM {DOCS} WHERE contains(text, '<a id="sec-')))),
@@ -225,6 +299,11 @@ SELECT n.doc_id, n.node_id, n.page_start, greatest(coalesce(nxt - 1, n_pages), n
     "heading_inference": "WITH s AS (SELECT p_brand AS doc_id, p_partkey % 50 AS page, p_partkey AS pos, round_even(p_size / 3.0 * 2, 0) / 2 AS size, p_partkey % 7 = 0 AS bold, trim(p_name) AS title FROM part WHERE trim(p_name) <> ''), w AS (SELECT doc_id, size, sum(length(title)) AS w, min((page, pos)) AS f FROM s GROUP BY 1, 2), b AS (SELECT doc_id, size AS body FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, f) = 1), c AS (SELECT DISTINCT s.doc_id, page, size, title FROM s JOIN b USING (doc_id) WHERE size > body * 1.1 OR (bold AND size >= body + 1)), z AS (SELECT doc_id, size, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC) AS level FROM (SELECT DISTINCT doc_id, size FROM c)) SELECT c.doc_id, page, level, title FROM c JOIN z ON c.doc_id = z.doc_id AND c.size = z.size WHERE level <= 4",
     "toc_parse": f"SELECT * FROM {TOC}",
     "toc_rollup": f"WITH t AS (SELECT * FROM {TOC}), q AS (SELECT DISTINCT doc_id, number || '.1' AS number FROM t), k AS (SELECT DISTINCT doc_id, number AS entry FROM t), m AS (SELECT q.doc_id, q.number, arg_max(entry, length(entry)) AS entry FROM q JOIN k ON q.doc_id = k.doc_id AND (q.number = entry OR starts_with(q.number, entry || '.')) GROUP BY 1, 2) SELECT q.doc_id, q.number, coalesce(entry, 'root') AS entry FROM q LEFT JOIN m ON q.doc_id = m.doc_id AND q.number = m.number",
+    "toc_pairs": f"SELECT * FROM {_PAIRED}",
+    "toc_tree": f"{_TREE} SELECT doc_id, number, layer, title, path FROM tree",
+    "toc_section_map": f"{_TREE}, q AS (SELECT DISTINCT doc_id, number || '.1' AS number FROM {_PAIRED}), k AS (SELECT doc_id, number, arg_max(path, pos) AS path FROM tree GROUP BY 1, 2) SELECT q.doc_id, q.number, coalesce(arg_max(k.path, length(k.number)), '') AS path FROM q LEFT JOIN k ON q.doc_id = k.doc_id AND (q.number = k.number OR starts_with(q.number, k.number || '.')) GROUP BY 1, 2",
+    "outline_padding": f"WITH e AS (SELECT doc_id, ord, level, title, page_start FROM {NODES} WHERE level > 0 AND page_start >= 1) SELECT * FROM e UNION ALL SELECT doc_id, ord - 1, 1, 'Front matter', 1 FROM e QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY ord) = 1 AND page_start > 1",
+    "h18_missing_origins": rf"WITH m AS (SELECT DISTINCT regexp_replace(regexp_extract(source_path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1') AS doc_id, source_sha256, status FROM manifest), e AS (SELECT {slug_sql('title', 'topic')} AS slug, source_sha256, status FROM {LEAVES} JOIN m USING (doc_id)) SELECT DISTINCT slug, source_sha256 FROM e WHERE source_sha256 IS NOT NULL EXCEPT SELECT slug, source_sha256 FROM e WHERE status = 'ok'",
     "jaccard_pairs": f"WITH {PAIRS} SELECT a, b, round(distance, 6) AS distance FROM pairs WHERE distance <= 0.85",
     "topic_components": _COMPONENTS + "SELECT node, component FROM comp",
     "discover_topics": _TOPICS,
@@ -240,3 +319,8 @@ SELECT n.doc_id, n.node_id, n.page_start, greatest(coalesce(nxt - 1, n_pages), n
     "dead_wikilinks": rf"WITH l AS (SELECT DISTINCT doc_id, anchor, trim(unnest(regexp_extract_all(body, '{X.WIKILINK}', 1)), {_WS}) AS target FROM {BODIES}), n AS (SELECT DISTINCT title AS name FROM sections WHERE title IS NOT NULL) SELECT doc_id, anchor, target FROM l WHERE target NOT IN (SELECT name FROM n) AND regexp_extract(target, '([^/]*)$', 1) NOT IN (SELECT regexp_extract(name, '([^/]*)$', 1) FROM n)",
     "content_hash": f"SELECT doc_id, count(*) AS n_sections, sha256(string_agg(sha256(coalesce(body, '')), chr(10) ORDER BY anchor)) AS content_sha256 FROM {BODIES} GROUP BY 1",
 }
+
+_DROPPED = rf"CASE WHEN g IS NULL THEN text ELSE trim(array_to_string(list_filter(regexp_split_to_array(text, '\r\n|\r|\n'), lambda x: NOT list_contains(g, trim(x, {WHITE}))), chr(10)), chr(10)) END"
+ORACLE["page_bodies"] = f"{_RUNNING}, g AS (SELECT source, list(line) AS g FROM r GROUP BY 1) SELECT source, page, length({_DROPPED}) AS n_chars, sha256({_DROPPED}) AS text_sha256 FROM p LEFT JOIN g USING (source)"
+ORACLE["page_headings"] = f"SELECT doc_id, page, level, title FROM ({ORACLE['heading_inference']}) QUALIFY row_number() OVER (PARTITION BY doc_id, page ORDER BY level, title) = 1"
+ORACLE["all_violations"] = "SELECT invariant, doc_id, detail, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS invariant, doc_id, {detail} AS detail FROM ({ORACLE[q]})" for k, q, detail in (("H3", "h3_duplicate_anchors", "anchor || ' ' || n"), ("H4", "h4_missing_anchors", "anchor"), ("H9", "h9_page_gaps", "page::VARCHAR"), ("H10", "h10_untitled", "''"), ("H14", "wiki_verify", "anchor || ' ' || rule"))) + ") GROUP BY ALL"

@@ -48,3 +48,18 @@ def test_normal_references(spark):
 def test_report_counts_by_month(spark, tables):
     found = R.orphans(*tables)
     assert {(r.table_name, r.field, r.month, r.n_orphans) for r in R.orphan_report(found).collect()} == {("e", "a", "2024-01", 4)}
+
+
+def test_a_heavy_key_beyond_the_production_bound(spark):
+    """More references to one key than ``HEAVY_ROWS``, with the production parameters."""
+    n = R.HEAVY_ROWS + 5_000
+    refs = spark.range(n).select(F.lit("edges.source_id").alias("ref_field"), F.col("id").alias("record_no"), F.lit("atoms").alias("kind"), F.when(F.col("id") % 20 == 0, F.concat(F.lit("k"), F.col("id") % 200)).otherwise("hot").alias("key"), F.timestamp_seconds(F.col("id") * 60).alias("at"))
+    refs = refs.unionByName(refs.withColumn("record_no", F.col("record_no") + n))
+    targets = spark.createDataFrame([("atoms", "hot", 0, 60 * 30_000), ("atoms", "k20", 0, None)], "kind string, key string, s long, e long").select("kind", "key", F.timestamp_seconds("s").alias("start"), F.timestamp_seconds("e").alias("end"))
+    want = {i + k * n for k in (0, 1) for i in range(n) if (i % 20 and i >= 30_000) or (i % 20 == 0 and i % 200 != 20)}
+    got = R.orphans(refs, targets)
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.record_no for r in got.select("record_no").collect()} == want
+    month = {(r.month, r.n_orphans) for r in R.orphan_report(got).collect()}
+    counted = R.orphans(R.counted(refs), targets)
+    assert {(r.month, r.n_orphans) for r in R.orphan_report(counted).collect()} == month
