@@ -70,7 +70,35 @@ WITH norm AS (
   SELECT * FROM keyed k WHERE NOT EXISTS (SELECT 1 FROM targets t WHERE t.kind = k.kind AND t.key = k.key AND t.s <= k.t0 AND (t.e IS NULL OR t.e > k.t0))
 )
 """
+
+
+def _unquoted(v: str) -> str:
+    return f"CASE WHEN json_type({v}) = 'VARCHAR' AND json_valid({v}->>'$') THEN ({v}->>'$')::JSON ELSE {v} END"
+
+
+def _listed(v: str) -> str:
+    """The list that a JSON value stands for."""
+    keys = f"json_keys({v})"
+    by_number = f"list_transform(list_sort(list_transform({keys}, lambda k: (lpad(k, 20, '0'), k))), lambda p: json_extract({v}, '$.\"' || p[2] || '\"'))"
+    return f"CASE json_type({v}) WHEN 'ARRAY' THEN json_extract({v}, '$[*]') WHEN 'OBJECT' THEN CASE WHEN len({keys}) > 0 AND len(list_filter({keys}, lambda k: NOT regexp_full_match(k, '\\d+'))) = 0 THEN {by_number} ELSE [{v}] END ELSE [] END"
+
+
+_VALUES = "CASE json_type(v) WHEN 'ARRAY' THEN json_extract(v, '$[*]') WHEN 'OBJECT' THEN list_transform(json_keys(v), lambda k: json_extract(v, '$.\"' || k || '\"')) ELSE [] END"
+#: kind, record_id, path, parent, i, v: all nodes of both tables; envelopes are opened six levels deep.
+TREES = rf"""RECURSIVE once AS (SELECT record_id, any_value(index_json) AS j FROM index_trees WHERE record_id IS NOT NULL GROUP BY 1),
+seen AS (SELECT record_id, 0 AS step, [0] AS place, j::JSON AS v FROM once WHERE json_valid(j)
+  UNION ALL SELECT record_id, step + 1, list_append(place, i), CASE WHEN json_type(x) = 'VARCHAR' AND regexp_matches(x->>'$', '^\s*[\[{{]') AND json_valid(x->>'$') THEN (x->>'$')::JSON ELSE x END
+  FROM (SELECT record_id, step, place, unnest({_VALUES}) AS x, generate_subscripts({_VALUES}, 1) AS i FROM seen WHERE json_type(v) IN ('ARRAY', 'OBJECT') AND coalesce(v->>'node_id', '') <> 'root' AND step < 6)),
+roots AS (SELECT 'index_trees' AS kind, record_id, '1' AS path, 1 AS i, v FROM seen WHERE json_type(v) = 'OBJECT' AND v->>'node_id' = 'root' QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY step, place) = 1),
+cats AS (SELECT record_id, any_value(taxonomy_json) AS j FROM taxonomies WHERE record_id IS NOT NULL GROUP BY 1),
+lists AS (SELECT record_id, {_listed('w')} AS l FROM (SELECT record_id, {_unquoted("json_extract(j, '$.categories')")} AS w FROM (SELECT record_id, j::JSON AS j FROM cats WHERE json_valid(j)) WHERE json_type(j) = 'OBJECT')),
+tops AS (SELECT 'taxonomies' AS kind, record_id, i::VARCHAR AS path, i, v FROM (SELECT record_id, unnest(l) AS v, generate_subscripts(l, 1) AS i FROM (SELECT record_id, list_filter(l, lambda x: json_type(x) = 'OBJECT') AS l FROM lists))),
+tree AS (SELECT kind, record_id, path, NULL::VARCHAR AS parent, i, v FROM roots UNION ALL SELECT kind, record_id, path, NULL, i, v FROM tops
+  UNION ALL SELECT kind, record_id, path || '.' || i, path, i, x FROM (SELECT kind, record_id, path, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM (SELECT kind, record_id, path, {_listed('w')} AS l FROM (SELECT kind, record_id, path, {_unquoted("json_extract(v, '$.children')")} AS w FROM tree))) WHERE json_type(x) = 'OBJECT')"""
+_INT = lambda c: f"CASE WHEN json_type(v, '$.{c}') IN ('UBIGINT', 'BIGINT') THEN (v->>'{c}')::INT END AS {c}"
 ORACLE = {
+    "p7_found": f"WITH {TREES} SELECT kind AS record_kind, record_id, path AS node_path, parent AS parent_path FROM tree WHERE parent IS NOT NULL",
+    "p7_nodes": f"WITH {TREES} SELECT kind AS record_kind, record_id, path AS node_path, parent AS parent_path, i AS ord, v->>'node_id' AS node_id, v->>'slug' AS slug, v->>'title' AS title, v->>'anchor' AS anchor, {_INT('level')}, v->>'layer' AS layer, {_INT('page_start')}, {_INT('page_end')}, v->>'language' AS language FROM tree",
     "p1_found": _ORPHANS_SQL + "SELECT ref_field, record_no FROM found",
     "p1_orphans_by_month": _ORPHANS_SQL + "SELECT split_part(ref_field, '.', 1) AS table_name, split_part(ref_field, '.', 2) AS field, strftime(t0, '%Y-%m') AS month, count(*) AS n_orphans FROM found GROUP BY 1, 2, 3",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import text as X
 from strataframe.operators import contents, invariants, nested, sections, topics
-from strataframe.plans.problems import tagged
+from strataframe.plans.problems import TREES, tagged
 from strataframe.plans.text_queries import BODIES, DOCS, slug_sql, tokens_sql
 from strataframe.plans.text_queries import _bodies as bodies
 from strataframe.plans.text_queries import _docs as docs
@@ -324,3 +324,17 @@ _DROPPED = rf"CASE WHEN g IS NULL THEN text ELSE trim(array_to_string(list_filte
 ORACLE["page_bodies"] = f"{_RUNNING}, g AS (SELECT source, list(line) AS g FROM r GROUP BY 1) SELECT source, page, length({_DROPPED}) AS n_chars, sha256({_DROPPED}) AS text_sha256 FROM p LEFT JOIN g USING (source)"
 ORACLE["page_headings"] = f"SELECT doc_id, page, level, title FROM ({ORACLE['heading_inference']}) QUALIFY row_number() OVER (PARTITION BY doc_id, page ORDER BY level, title) = 1"
 ORACLE["all_violations"] = "SELECT invariant, doc_id, detail, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS invariant, doc_id, {detail} AS detail FROM ({ORACLE[q]})" for k, q, detail in (("H3", "h3_duplicate_anchors", "anchor || ' ' || n"), ("H4", "h4_missing_anchors", "anchor"), ("H9", "h9_page_gaps", "page::VARCHAR"), ("H10", "h10_untitled", "''"), ("H14", "wiki_verify", "anchor || ' ' || rule"))) + ") GROUP BY ALL"
+ORACLE["flatten_tree"] = f"WITH {TREES} SELECT record_id, path AS node_path, parent AS parent_path, v->>'node_id' AS node_id, v->>'title' AS title, CASE WHEN json_type(v, '$.level') IN ('UBIGINT', 'BIGINT') THEN (v->>'level')::INT END AS level, len(string_split(path, '.')) AS depth FROM tree WHERE kind = 'index_trees'"
+ORACLE["h21_validate"] = f"""WITH {TREES}, n AS (SELECT record_id, path, parent, coalesce(v->>'slug', '') AS slug, coalesce(list_position(['system', 'subsystem', 'part', 'function'], v->>'layer'), 0) AS place, len(string_split(path, '.')) AS depth FROM tree WHERE kind = 'taxonomies'),
+a AS (SELECT n.*, coalesce(p.place, 0) AS above, count(*) OVER (PARTITION BY n.record_id, n.parent, n.slug) AS twins FROM n LEFT JOIN n p ON p.record_id = n.record_id AND p.path = n.parent)
+SELECT record_id, path AS node_path, unnest(list_filter([CASE WHEN trim(slug, {WHITE}) = '' THEN 'empty slug' END, CASE WHEN twins > 1 THEN 'duplicate slug' END, CASE WHEN place = 0 THEN 'unknown layer' WHEN place <> above + 1 THEN 'wrong layer' END, CASE WHEN depth > 4 THEN 'too deep' END], lambda x: x IS NOT NULL)) AS rule FROM a"""
+ORACLE["h5_asset_closure"] = rf"""WITH {TREES}, r AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(body, '!\[[^\]]*\]\(([^)\s]+)\)', 1)) AS rel_path FROM {BODIES}),
+o AS (SELECT DISTINCT record_id, doc_id FROM index_trees),
+l AS (SELECT record_id, CASE json_type(w) WHEN 'ARRAY' THEN json_extract(w, '$[*]') WHEN 'OBJECT' THEN CASE WHEN regexp_full_match(json_keys(w)[1], '\d+') THEN list_transform(json_keys(w), lambda k: json_extract(w, '$."' || k || '"')) ELSE [w] END ELSE [] END AS l FROM (SELECT record_id, CASE WHEN json_type(v, '$.assets') = 'VARCHAR' AND json_valid(v->>'assets') THEN (v->>'assets')::JSON ELSE json_extract(v, '$.assets') END AS w FROM tree WHERE kind = 'index_trees')),
+h AS (SELECT DISTINCT doc_id, x->>'rel_path' AS rel_path FROM (SELECT record_id, unnest(l) AS x FROM l) JOIN o USING (record_id) WHERE json_type(x) = 'OBJECT' AND x->>'rel_path' IS NOT NULL)
+SELECT doc_id, rel_path, 'not recorded' AS rule FROM r EXCEPT SELECT doc_id, rel_path, 'not recorded' FROM h"""
+_UNITS = "flatten(list_transform(string_split(body, chr(10) || chr(10)), lambda p: CASE WHEN length(p) <= 1500 THEN [p] ELSE flatten(list_transform(string_split(p, chr(10)), lambda l: CASE WHEN length(l) <= 1500 THEN [l] ELSE list_transform(generate_series(0, (ceil(length(l) / 1500.0) - 1)::INT), lambda k: substr(l, (k * 1500 + 1)::INT, 1500)) END)) END))"
+_ADD = "CASE WHEN a[-1] = '' THEN list_append(a[:-2], u[1]) WHEN length(a[-1]) + 2 + length(u[1]) <= 1500 THEN list_append(a[:-2], a[-1] || chr(10) || chr(10) || u[1]) ELSE list_append(a, u[1]) END"
+ORACLE["chunk_body"] = f"""WITH c AS (SELECT doc_id, anchor, CASE WHEN length(body) <= 1500 THEN [body] ELSE list_reduce(list_transform({_UNITS}, lambda u: [u]), lambda a, u: {_ADD}, ['']) END AS c, length(body) <= 1500 AS whole FROM {BODIES} WHERE body IS NOT NULL),
+d AS (SELECT doc_id, anchor, CASE WHEN NOT whole AND c[-1] = '' THEN c[:-2] ELSE c END AS c FROM c)
+SELECT doc_id, anchor, i - 1 AS chunk_no, length(c[i]) AS n_chars, sha256(c[i]) AS chunk_sha256 FROM (SELECT *, unnest(generate_series(1, len(c))) AS i FROM d)"""
