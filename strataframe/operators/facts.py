@@ -35,7 +35,8 @@ FALLBACK = "Subsystems"
 
 def coerced_atoms(raw: DataFrame) -> DataFrame:
     """Atoms as they may be stored: ids, section and reference are set from the context, a blank
-    value becomes null and, like an unknown type, marks the atom as pending."""
+    value becomes null and, like an unknown type, marks the atom as pending. A confidence may be a text;
+    it is rounded to two places, half to even, and 0 where it is no number."""
     c = F.col
     text = lambda n: squeezed(F.coalesce(c(n), F.lit("")))
     value = F.nullif(text("value"), F.lit(""))
@@ -44,28 +45,34 @@ def coerced_atoms(raw: DataFrame) -> DataFrame:
     return raw.select(
         "atom_no", "doc_id", X.atom_id(c("entity"), c("parameter"), c("condition"), c("doc_id"), c("section")).alias("id"), text("entity").alias("entity"), text("parameter").alias("parameter"), value.alias("value"), text("unit").alias("unit"),
         F.when(known, kind).otherwise("spec").alias("type"), F.concat(F.lit("kb/"), c("doc_id"), F.lit("/main.md#"), F.coalesce("section", F.lit(""))).alias("evidence_ref"),
-        F.coalesce(c("confidence"), F.lit(0.0)).alias("confidence"), F.when(value.isNull() | ~known, PENDING).otherwise("").alias("flag"),
+        confidence(c("confidence")).alias("confidence"), F.when(value.isNull() | ~known, PENDING).otherwise("").alias("flag"),
     )
 
 
-def module_of(entity: Column, parameter: Column, category: Column) -> tuple[Column, Column]:
-    """Module of an atom and whether it is pending: the first category rule, else the first keyword
-    rule, else the fallback. The rules are ordered expressions, so there is no join at all."""
+def confidence(c: Column) -> Column:
+    """A confidence, number or text, as a number of two places."""
+    return F.bround(F.coalesce(F.nanvl(c.cast("string").try_cast("double"), F.lit(0.0)), F.lit(0.0)), 2)
+
+
+def module_of(entity: Column, parameter: Column, category: Column, by_category: list = CATEGORY_TO_MODULE, by_keyword: list = KEYWORD_TO_MODULE, fallback: str = FALLBACK) -> tuple[Column, Column]:
+    """Module of an atom and whether it is pending: the first category rule (words, module), else the first
+    keyword rule (module, words), else the fallback. The rules are ordered expressions, so there is no join
+    at all; they are data, and others may be given."""
     cat = F.lower(squeezed(F.coalesce(category, F.lit(""))))
     hay = F.lower(F.concat_ws(" ", F.coalesce(entity, F.lit("")), F.coalesce(parameter, F.lit(""))))
-    rules = [(cat.contains(key), module) for key, module in CATEGORY_TO_MODULE]
-    rules += [(hay.rlike("|".join(words)), module) for module, words in KEYWORD_TO_MODULE]
-    found = F.when(*rules[0])
+    rules = [(cat.contains(key), module) for key, module in by_category]
+    rules += [(hay.rlike("|".join(words)), module) for module, words in by_keyword]
+    found = F.when(*rules[0]) if rules else F.lit(None).cast("string")
     for hit, module in rules[1:]:
         found = found.when(hit, module)
-    return F.coalesce(found, F.lit(FALLBACK)), found.isNull()
+    return F.coalesce(found, F.lit(fallback)), found.isNull()
 
 
-def classified(atoms: DataFrame, sections: DataFrame) -> DataFrame:
+def classified(atoms: DataFrame, sections: DataFrame, **rules) -> DataFrame:
     """atom_no, module, pending of atoms (atom_no, doc_id, section, entity, parameter) by the category
     of their section (doc_id, anchor, category)."""
     s = sections.select("doc_id", F.col("anchor").alias("section"), "category").groupBy("doc_id", "section").agg(F.min("category").alias("category"))
-    module, pending = module_of(F.col("entity"), F.col("parameter"), F.col("category"))
+    module, pending = module_of(F.col("entity"), F.col("parameter"), F.col("category"), **rules)
     return atoms.join(s, ["doc_id", "section"], "left").select("atom_no", "doc_id", "entity", module.alias("module"), pending.alias("pending"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 import os
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -57,6 +58,53 @@ def offline_answer(messages: Column, seed: int = 0) -> Column:
     return F.concat(*pick[:4], pins(0), F.lit("\n\n"), *pick[4:], pins(1))
 
 
+EVIDENCE_CHARS = 1200  # of each numbered body in a page's prompt
+
+
+def evidence_block(anchor: Column, title: Column, body: Column) -> Column:
+    """One section as the JSON list of a prompt's evidence, indented by two."""
+    items = (("id", anchor), ("type", F.lit("text")), ("section", title), ("content", body))
+    lines = [F.concat(F.lit(f'    "{k}": '), X.json_string(v)) for k, v in items]
+    return F.concat(F.lit("[\n  {\n"), F.concat_ws(",\n", *lines), F.lit("\n  }\n]"))
+
+
+def section_messages(system: str, template: str, anchor: Column, title: Column, body: Column) -> Column:
+    """Messages that ask for the items of a section; ``{evidence_content}`` in the template becomes its evidence."""
+    user = F.replace(F.lit(template), F.lit("{evidence_content}"), evidence_block(anchor, title, body))
+    return F.array(F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")), F.struct(F.lit("user").alias("role"), user.alias("content")))
+
+
+def numbered_evidence(evidence: DataFrame, most: int = EVIDENCE_CHARS) -> DataFrame:
+    """slug, user: all evidence of a page (slug, ev_no, doc_id, section_title, body), numbered, each with the
+    begin of its body. What is gathered is what one prompt holds."""
+    body = squeezed(F.coalesce("body", F.lit("")))
+    text = F.concat(F.lit("["), F.col("ev_no").cast("string"), F.lit("] "), F.coalesce("doc_id", F.lit("")), F.lit(" / "), F.coalesce("section_title", F.lit("")), F.lit("\n"), F.substring(body, 1, most))
+    x = evidence.select("slug", F.struct("ev_no", text.alias("text")).alias("x")).groupBy("slug").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    return x.select("slug", F.array_join(F.transform("x", lambda v: v["text"]), "\n\n").alias("user"))
+
+
+def candidates(cited: DataFrame, least: int = 2) -> DataFrame:
+    """key, domains, links of documents that pages of several domains cite (key, domain, category_path,
+    slug); both lists are sorted. A page holds all its links, so what is gathered is one page."""
+    rows = cited.select("key", "domain", F.concat_ws("/", "category_path", "slug").alias("link")).distinct()
+    found = rows.groupBy("key").agg(F.array_sort(F.collect_set("domain")).alias("domains"), F.array_sort(F.collect_set("link")).alias("links"))
+    return found.filter(F.size("domains") >= least)
+
+
+def candidate_messages(found: DataFrame, system: str) -> Column:
+    """Messages that ask what a shared source is about."""
+    user = F.concat(F.lit("Shared source: "), "key", F.lit("\nConnected domains: "), F.array_join("domains", ", "), F.lit("\nReferenced by topics: "), F.array_join("links", ", "))
+    return F.array(F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")), F.struct(F.lit("user").alias("role"), user.alias("content")))
+
+
+def entity_pages(found: DataFrame, kind: str = "entity") -> DataFrame:
+    """key, markdown of candidates (key, domains, links, summary): header, summary, links back."""
+    head = frontmatter(F.col("key"), F.array(F.lit(kind)), F.col("key"), F.array("key"), kind, F.transform("domains", lambda d: F.concat(F.lit("domain/"), d)))
+    links = F.transform("links", lambda x: F.concat(F.lit("- [["), x, F.lit("|"), F.substring_index(x, "/", -1), F.lit("]]")))
+    text = F.concat(head, F.lit("\n\n# "), F.col("key"), F.lit("\n\n"), squeezed(F.col("summary")), F.lit("\n\n## Appears in\n\n"), F.array_join(links, "\n"), F.lit("\n"))
+    return found.select("key", text.alias("markdown"))
+
+
 def answers(prompts: DataFrame, recorded: DataFrame) -> DataFrame:
     """Prompts (prompt_hash, ...) with the recorded response of their hash, null where there is none."""
     return prompts.join(recorded.select("prompt_hash", "response").dropDuplicates(["prompt_hash"]), "prompt_hash", "left")
@@ -67,15 +115,19 @@ def missing(prompts: DataFrame, recorded: DataFrame) -> DataFrame:
     return prompts.join(recorded.select("prompt_hash").distinct(), "prompt_hash", "left_anti").dropDuplicates(["prompt_hash"])
 
 
-def asked(prompts: DataFrame, client: Callable[[list[dict]], str], tries: int = 5) -> DataFrame:
+def asked(prompts: DataFrame, client: Callable[[list[dict]], str], tries: int = 5, wait: float = 0.5) -> DataFrame:
     """Answers of a client (messages to text) for prompts (prompt_hash, messages); a prompt that fails
-    ``tries`` times has no response and its error. The client decides on waiting and addresses."""
+    ``tries`` times has no response and its error. Tries wait twice as long each time, from ``wait`` seconds
+    on up to a minute; the client decides on addresses. Prompts of one task are asked one by one, so the number of
+    tasks is that of calls at once."""
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for h, messages in zip(b.prompt_hash, b.messages):
                 error = None
-                for _ in range(tries):
+                for k in range(tries):
+                    if k and wait:
+                        time.sleep(min(60.0, wait * 2 ** (k - 1)))
                     try:
                         out.append((h, client([dict(m) if not hasattr(m, "asDict") else m.asDict() for m in messages]), None))
                         break
@@ -123,10 +175,11 @@ def yaml_scalar(value: Column) -> Column:
     return F.when((value == "") | value.rlike(QUOTED) | (value != squeezed(value)), F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(value)
 
 
-def frontmatter(title: Column, path: Column, slug: Column, sources: Column, kind: str = "topic") -> Column:
-    """The header of a page: fixed order of keys, sorted lists. path: array of slugs, sources: array."""
+def frontmatter(title: Column, path: Column, slug: Column, sources: Column, kind: str = "topic", more: Column | None = None) -> Column:
+    """The header of a page: fixed order of keys, sorted lists. path: array of slugs, sources: array,
+    more: array of further tags."""
     domain = F.coalesce(F.get(path, F.lit(0)), F.lit(UNCATEGORIZED))
-    tags = F.array_sort(F.array_distinct(F.concat(F.array(F.concat(F.lit("domain/"), domain)), F.transform(path, lambda s: F.concat(F.lit("path/"), s)))))
+    tags = F.array_sort(F.array_distinct(F.concat(F.array(F.concat(F.lit("domain/"), domain)), F.transform(path, lambda s: F.concat(F.lit("path/"), s)), *([] if more is None else [more]))))
     items = lambda a: F.concat(F.lit("\n"), F.array_join(F.transform(a, lambda x: F.concat(F.lit("  - "), yaml_scalar(x))), "\n"))
     where = F.coalesce(F.nullif(F.array_join(path, "/"), F.lit("")), domain)
     lines = [("title", yaml_scalar(title)), ("type", F.lit(kind)), ("domain", yaml_scalar(domain)), ("category_path", yaml_scalar(where)), ("slug", yaml_scalar(slug)), ("evidence_sources", items(F.array_sort(F.array_distinct(sources)))), ("tags", items(tags))]

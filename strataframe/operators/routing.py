@@ -127,8 +127,10 @@ def taxonomy_nodes(sections: DataFrame, owners: DataFrame, subsystems: DataFrame
     return above.unionByName(below.drop("heading"))
 
 
-def route(evidence: DataFrame, specs: DataFrame, keywords: DataFrame, headings: DataFrame, sections: DataFrame, own_doc: str, doc_words: bool = False) -> DataFrame:
-    """doc_id, anchor, title, slug of evidence (doc_id, node_id, anchor, title).
+def route(evidence: DataFrame, specs: DataFrame, keywords: DataFrame, headings: DataFrame, sections: DataFrame, own_doc: str, doc_words: bool = False, paths: DataFrame | None = None) -> DataFrame:
+    """doc_id, anchor, title, slug of evidence (doc_id, node_id, anchor, title). With paths in place of slugs
+    in all rule tables, and rules of equal overlap ordered from the top of the tree down, it gives the path.
+    ``paths`` (doc_id, node_id, path): of sections of other documents, before their specs.
 
     The own document's sections go by their headings, other documents by their specs; what is left by
     the words of the title (and then of the document, if ``doc_words``), else it stays uncategorised.
@@ -142,4 +144,7 @@ def route(evidence: DataFrame, specs: DataFrame, keywords: DataFrame, headings:
     if doc_words:
         named = by_keywords(evidence.select(F.col("doc_id").alias("title")), keywords).select(F.col("title").alias("doc_id"), F.col("slug").alias("by_doc"))
         out, ways = out.join(named, "doc_id", "left"), [*ways, "by_doc"]
+    if paths is not None:
+        placed = paths.select("doc_id", "node_id", F.col("path").alias("by_section")).filter(~own)
+        out, ways = out.join(placed, ["doc_id", "node_id"], "left"), [ways[0], "by_section", *ways[1:]]
     return out.select("doc_id", "anchor", "title", F.coalesce(*ways, F.lit(UNCATEGORIZED)).alias("slug"))

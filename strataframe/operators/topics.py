@@ -88,3 +88,18 @@ def discover_topics(evidence: DataFrame, most: float = DISTANCE, min_evidence: i
     topics = topics.withColumn("k", k).select(F.when(F.col("k") == 1, F.col("base")).otherwise(F.concat("base", F.lit("-"), "k")).alias("slug"), "title", "n_evidence", "n_docs")
     topics = topics.filter(F.col("n_evidence") >= min_evidence)
     return topics.filter(~X.is_numeric_title(F.col("title"))) if skip_numeric else topics
+
+
+def topics_by_path(evidence: DataFrame, most: float = DISTANCE, min_evidence: int = 1) -> DataFrame:
+    """path, title, n_evidence, n_docs of the topics inside each path of evidence (doc_id, anchor, title,
+    path). Words count for their path only, so titles are linked within it and all paths are done at once.
+    Titles without words belong to no topic."""
+    words = F.transform(X.tokens(F.col("title")), lambda w: F.concat("path", F.lit("\x01"), F.replace(w, F.lit(" "), F.lit(""))))
+    joined = F.array_join(F.transform(words, lambda w: F.replace(w, F.lit(" "), F.lit("\x02"))), " ")
+    rows = evidence.filter("path is not null").select("doc_id", "anchor", "path", joined.alias("tokens")).filter("tokens != ''")
+    sets = rows.select("tokens").distinct()
+    named = rows.join(components(sets.select(F.col("tokens").alias("node")), jaccard_pairs(sets, most)), F.col("tokens") == F.col("node"))
+    counts = named.select("path", "component", F.explode(F.split("tokens", " ")).alias("word")).groupBy("path", "component", "word").agg(F.count("*").alias("n"))
+    best = counts.groupBy("path", "component").agg(F.min(F.struct((-F.col("n")).alias("n"), "word")).alias("x"))
+    size = named.groupBy("path", "component").agg(F.count("*").alias("n_evidence"), F.count_distinct("doc_id").alias("n_docs")).filter(F.col("n_evidence") >= min_evidence)
+    return best.join(size, ["path", "component"]).select("path", F.substring_index("x.word", "\x01", -1).alias("title"), "n_evidence", "n_docs")

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.functions import text as X
-from strataframe.operators import facts, routing, store
+from strataframe.operators import facts, pages, routing, store, topics
 from strataframe.plans.section_queries import _WS, LEAVES, NODES, leaves, nodes
-from strataframe.plans.text_queries import BODIES, PROMPT_SQL, _prompts, tokens_sql
+from strataframe.plans.text_queries import BODIES, PROMPT_SQL, _prompts, slug_sql, tokens_sql
 from strataframe.plans.text_queries import _bodies as bodies
 from strataframe.tables import read, squeezed
 
@@ -118,14 +118,14 @@ def cross_domain_entities(s: SparkSession, d: str) -> DataFrame:
 
 
 def cached_lookup(s: SparkSession, d: str) -> DataFrame:
-    """Prompts with the recorded answer of their hash; answers are recorded for every third title."""
+    """Prompts with the recorded answer of their hash; answers are recorded for the titles of the own document."""
     p = _prompts(s, d)
     r = _responses(s, d)
     return p.join(r, "prompt_hash", "left").select("doc_id", "anchor", "prompt_hash", F.coalesce("response", F.lit("MISSING")).alias("response"))
 
 
 def _responses(s: SparkSession, d: str) -> DataFrame:
-    return _prompts(s, d).filter("length(title) % 3 = 0").groupBy("prompt_hash").agg(F.min("title").alias("response"))
+    return _prompts(s, d).join(nodes(s, d).filter(F.col("doc_id") == OWN_DOC).select("title").distinct(), "title", "left_semi").groupBy("prompt_hash").agg(F.min("title").alias("response"))
 
 
 def cached_missing(s: SparkSession, d: str) -> DataFrame:
@@ -186,6 +186,38 @@ def route_evidence_v2(s: SparkSession, d: str) -> DataFrame:
     return _route(s, d, True)
 
 
+def route_paths(s: SparkSession, d: str) -> DataFrame:
+    """Evidence led to paths; sections of owned specifications to their own."""
+    return _routed_paths(s, d).select("doc_id", "anchor", "title", F.col("slug").alias("path"))
+
+
+def _routed_paths(s: SparkSession, d: str) -> DataFrame:
+    head = _values(s, HEADINGS, "ord int, slug string, heading string")
+    return routing.route(leaves(s, d), _specs(s), _words(s), head, nodes(s, d), OWN_DOC, True, spec_section_map(s, d))
+
+
+def topics_by_path(s: SparkSession, d: str) -> DataFrame:
+    """Topics of the evidence of each category."""
+    return topics.topics_by_path(_route(s, d, True).withColumnRenamed("slug", "path"), 0.5)
+
+
+def entity_pages(s: SparkSession, d: str) -> DataFrame:
+    """Pages of the documents that topics of several categories cite: their links back, and the page's text."""
+    cited = _route(s, d, True).select(F.col("doc_id").alias("key"), F.col("slug").alias("domain"), F.col("slug").alias("category_path"), X.slug(F.col("title"), "topic").alias("slug"))
+    found = pages.candidates(cited)
+    told = found.withColumn("summary", F.concat(F.lit("Shared by "), F.array_join("domains", " and ")))
+    texts = pages.entity_pages(told)
+    links = F.array_join(F.transform("links", lambda x: F.concat(F.lit("- [["), x, F.lit("|"), F.substring_index(x, "/", -1), F.lit("]]"))), "\n")
+    end = texts.select("key", F.substring_index("markdown", "\n## Appears in\n\n", -1).alias("tail"))
+    return found.join(end, "key").select("key", F.array_join("domains", ",").alias("domains"), F.size("links").alias("n_links"), X.sha(F.col("tail")).alias("links_sha256"), (F.col("tail") == F.concat(links, F.lit("\n"))).alias("whole"))
+
+
+def section_prompts(s: SparkSession, d: str) -> DataFrame:
+    """The prompt of every content section, by its hash."""
+    m = pages.section_messages("Extract the test items.", "Evidence:\n{evidence_content}\nAnswer as a JSON list.", F.col("anchor"), F.col("title"), F.col("body"))
+    return bodies(s, d).select("doc_id", "anchor", X.sha(F.get(m, F.lit(1))["content"]).alias("user_sha256"), F.length(F.get(m, F.lit(1))["content"]).alias("n_chars"))
+
+
 def route_counts(s: SparkSession, d: str) -> DataFrame:
     return _route(s, d, True).groupBy("slug").agg(F.count("*").alias("n_evidence"), F.count_distinct("doc_id").alias("n_docs"))
 
@@ -231,7 +263,7 @@ def fact_pages(s: SparkSession, d: str) -> DataFrame:
 
 
 
-QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, fact_pages)}
+QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_paths, topics_by_path, entity_pages, section_prompts, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, fact_pages)}
 
 _STEM = r"regexp_replace(regexp_extract(source_path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1')"
 _DOMAIN = "regexp_extract(source_path, '^in/([^/]*)/', 1)"
@@ -270,14 +302,14 @@ def _head(where: str) -> str:
 _OWN = f"lower(trim(doc_id)) = '{OWN_DOC.lower()}'"
 
 
-def _route_sql(doc_words: bool) -> str:
+def _route_sql(doc_words: bool, node: bool = False) -> str:
     docs = "(SELECT DISTINCT doc_id AS title FROM sections)"
     more = f" LEFT JOIN (SELECT title AS doc_id, slug AS s4 FROM {_kw(docs)}) w4 ON e.doc_id = w4.doc_id" if doc_words else ""
-    return f"SELECT e.doc_id, e.anchor, e.title, coalesce(s1, s2, s3, {'s4, ' if doc_words else ''}'_uncategorized') AS slug FROM {LEAVES} e LEFT JOIN (SELECT doc_id, node_id, slug AS s1 FROM {_head(_OWN)}) h ON e.doc_id = h.doc_id AND e.node_id = h.node_id LEFT JOIN (SELECT doc_id, slug AS s2 FROM {_SPEC} WHERE NOT {_OWN}) p ON e.doc_id = p.doc_id LEFT JOIN (SELECT title, slug AS s3 FROM {_kw(_TITLES)}) k ON e.title = k.title{more}"
+    return f"SELECT e.doc_id, {'e.node_id, ' if node else ''}e.anchor, e.title, coalesce(s1, s2, s3, {'s4, ' if doc_words else ''}'_uncategorized') AS slug FROM {LEAVES} e LEFT JOIN (SELECT doc_id, node_id, slug AS s1 FROM {_head(_OWN)}) h ON e.doc_id = h.doc_id AND e.node_id = h.node_id LEFT JOIN (SELECT doc_id, slug AS s2 FROM {_SPEC} WHERE NOT {_OWN}) p ON e.doc_id = p.doc_id LEFT JOIN (SELECT title, slug AS s3 FROM {_kw(_TITLES)}) k ON e.title = k.title{more}"
 
 
 _PROMPTS = f"(SELECT doc_id, anchor, title, {PROMPT_SQL} AS prompt_hash FROM {BODIES})"
-_RESPONSES = f"(SELECT prompt_hash, min(title) AS response FROM {_PROMPTS} WHERE length(title) % 3 = 0 GROUP BY 1)"
+_RESPONSES = f"(SELECT prompt_hash, min(title) AS response FROM {_PROMPTS} WHERE title IN (SELECT title FROM sections WHERE doc_id = '{OWN_DOC}') GROUP BY 1)"
 _SLUG2 = r"coalesce(nullif(trim(regexp_replace(lower(trim(title, {w})), '[^a-z0-9\x{{4e00}}-\x{{9fff}}]+', '-', 'g'), '-'), ''), 'unknown')".format(w=_WSP)
 _OWNERS = f"(WITH d AS (SELECT DISTINCT doc_id FROM sections), u AS (SELECT * FROM ({_rows([tuple(chr(0) if x is None else x for x in r) for r in SUBSYSTEMS])}) t(system, subsystem, title, pattern)), a AS (SELECT DISTINCT doc_id, system, subsystem FROM d JOIN u ON lower(doc_id) GLOB lower(pattern)), r AS (SELECT doc_id, unnest({tokens_sql('doc_id')}) AS word FROM d WHERE doc_id NOT IN (SELECT doc_id FROM a)), y AS (SELECT system, pattern FROM ({_rows(SYSTEMS)}) t(system, pattern)), w AS (SELECT system, subsystem, unnest({tokens_sql('title')}) AS word FROM u) SELECT * FROM a UNION SELECT r.doc_id, w.system, w.subsystem FROM r JOIN y ON lower(r.doc_id) GLOB lower(y.pattern) JOIN w ON w.system = y.system AND w.word = r.word)".replace(chr(0), "-")
 _LINE = "'- ' || coalesce(entity, '') || ' / ' || coalesce(parameter, '') || ': ' || coalesce(value, '—')"
@@ -291,7 +323,7 @@ ORACLE = {
     "preference_latest": "SELECT user_id, event_id, event_type FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) WHERE value IS NOT NULL",
     "source_discovery": r"SELECT key, lower(regexp_extract(source_path, '[^/.](\.[^./]*)$', 1)) AS suffix FROM (SELECT DISTINCT key, source_path FROM manifest) WHERE NOT list_has_any(string_split(source_path, '/'), ['kb', '.git', '__pycache__', '.venv', 'venv', 'node_modules', 'qa']) AND NOT source_path LIKE '%.tmp'",
     "manifest_listing": f"SELECT source_path, status, adapter_name, substr(output_sha256, 1, 12) AS output FROM {_LATEST} WHERE status = 'ok'",
-    "coerce_atoms": f"SELECT atom_no, {_AID} AS id, trim(coalesce(entity, ''), {_WSP}) AS entity, trim(coalesce(parameter, ''), {_WSP}) AS parameter, nullif(trim(value, {_WSP}), '') AS value, CASE WHEN lower(trim(type)) IN ('requirement', 'behavior', 'constraint', 'spec') THEN lower(trim(type)) ELSE 'spec' END AS type, coalesce(confidence, 0.0) AS confidence, CASE WHEN nullif(trim(value, {_WSP}), '') IS NULL OR coalesce(lower(trim(type)) NOT IN ('requirement', 'behavior', 'constraint', 'spec'), true) THEN '待验证' ELSE '' END AS flag FROM {_ATOMS}",
+    "coerce_atoms": f"SELECT atom_no, {_AID} AS id, trim(coalesce(entity, ''), {_WSP}) AS entity, trim(coalesce(parameter, ''), {_WSP}) AS parameter, nullif(trim(value, {_WSP}), '') AS value, CASE WHEN lower(trim(type)) IN ('requirement', 'behavior', 'constraint', 'spec') THEN lower(trim(type)) ELSE 'spec' END AS type, round_even(coalesce(CASE WHEN isnan(confidence) THEN 0.0 ELSE confidence END, 0.0), 2) AS confidence, CASE WHEN nullif(trim(value, {_WSP}), '') IS NULL OR coalesce(lower(trim(type)) NOT IN ('requirement', 'behavior', 'constraint', 'spec'), true) THEN '待验证' ELSE '' END AS flag FROM {_ATOMS}",
     "module_classify": f"SELECT atom_no, module, pending FROM {_CLASSIFIED}",
     "module_summary": f"SELECT module, count(*) AS n_atoms, sum(pending::INT) AS n_pending FROM {_CLASSIFIED} GROUP BY 1",
     "entity_see_also": f"WITH m AS (SELECT DISTINCT lower(trim(entity, {_WSP})) AS entity, module FROM {_CLASSIFIED} WHERE trim(coalesce(entity, ''), {_WSP}) <> '') SELECT a.entity, a.module, string_agg(b.module, ', ' ORDER BY b.module) AS others FROM m a JOIN m b ON a.entity = b.entity AND a.module <> b.module GROUP BY 1, 2",
@@ -308,6 +340,9 @@ ORACLE = {
     "prd_section_map": f"SELECT * FROM {_head('true')}",
     "route_evidence_v1": _route_sql(False),
     "route_evidence_v2": _route_sql(True),
+    "route_paths": f"SELECT r.doc_id, r.anchor, r.title, CASE WHEN r.k = 1 AND NOT {_OWN.replace('doc_id', 'r.doc_id')} THEN r.path ELSE r.slug END AS path FROM (SELECT e.doc_id, e.anchor, e.title, e.slug, p.path, CASE WHEN p.path IS NOT NULL THEN 1 ELSE 0 END AS k FROM ({_route_sql(True, True)}) e LEFT JOIN ({{SPEC_MAP}}) p ON e.doc_id = p.doc_id AND e.node_id = p.node_id) r",
+    "entity_pages": f"WITH c AS (SELECT DISTINCT doc_id AS key, slug AS domain, slug || '/' || {slug_sql('title', 'topic')} AS link FROM ({_route_sql(True)})), p AS (SELECT key, list_sort(list(DISTINCT domain)) AS d, list_sort(list(DISTINCT link)) AS l FROM c GROUP BY 1 HAVING count(DISTINCT domain) >= 2), t AS (SELECT *, array_to_string(list_transform(l, lambda x: '- [[' || x || '|' || regexp_extract(x, '([^/]*)$', 1) || ']]'), chr(10)) || chr(10) AS tail FROM p) SELECT key, array_to_string(d, ',') AS domains, len(l) AS n_links, sha256(tail) AS links_sha256, true AS whole FROM t",
+    "section_prompts": f"SELECT doc_id, anchor, sha256(u) AS user_sha256, length(u) AS n_chars FROM (SELECT doc_id, anchor, 'Evidence:' || chr(10) || '[' || chr(10) || '  {{' || chr(10) || '    \"id\": ' || to_json(coalesce(anchor, ''))::VARCHAR || ',' || chr(10) || '    \"type\": \"text\",' || chr(10) || '    \"section\": ' || to_json(coalesce(title, ''))::VARCHAR || ',' || chr(10) || '    \"content\": ' || to_json(coalesce(body, ''))::VARCHAR || chr(10) || '  }}' || chr(10) || ']' || chr(10) || 'Answer as a JSON list.' AS u FROM {BODIES})",
     "route_counts": f"SELECT slug, count(*) AS n_evidence, count(DISTINCT doc_id) AS n_docs FROM ({_route_sql(True)}) GROUP BY 1",
     "taxonomy_v1": f"WITH n AS (SELECT * FROM {NODES} WHERE doc_id = '{OWN_DOC}'), t AS (SELECT node_id, title, (SELECT arg_max(b.node_id, b.ord) FROM n b WHERE b.depth = 1 AND b.ord <= a.ord) AS top FROM n a WHERE depth >= 1), w AS (SELECT top, string_agg(DISTINCT word, ' ' ORDER BY word) AS keywords FROM (SELECT top, unnest({tokens_sql('title')}) AS word FROM t WHERE node_id <> top) GROUP BY 1) SELECT ord, {_SLUG2} AS slug, title AS category, coalesce(keywords, '') AS keywords FROM n LEFT JOIN w ON n.node_id = w.top WHERE depth = 1",
     "spec_owners": f"SELECT doc_id, system, subsystem FROM {_OWNERS}",
@@ -326,3 +361,4 @@ x AS (SELECT doc_id AS tree, 'system' AS layer, s1 AS path, s1 AS slug, t1 AS ti
 SELECT tree, layer, path, slug, title FROM x WHERE k = 1""",
     "fact_pages": f"SELECT a.doc_id, module, count(*) AS n_lines, sum(length({_LINE})) AS n_chars, min({_LINE}) AS first_line FROM {_ATOMS} a JOIN (SELECT atom_no, module FROM {_CLASSIFIED}) c USING (atom_no) GROUP BY 1, 2",
 }
+ORACLE["route_paths"] = ORACLE["route_paths"].replace("{SPEC_MAP}", ORACLE["spec_section_map"])
