@@ -24,6 +24,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
 
+import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -299,22 +301,61 @@ def lines_of(body: str, doc: str) -> tuple[list[str], set[str]]:
 _COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 
 
+class _Numbers(dict):
+    """Runs of a word's characters to the numbers of their words; 0 is no word before, -1 no word."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.words, self.number = [""], {"": 0}
+
+    def __missing__(self, run: str) -> int:
+        w = _known_word(run)
+        if w and w not in self.number:
+            self.number[w] = len(self.words)
+            self.words.append(w)
+        self[run] = n = self.number[w] if w else -1
+        return n
+
+
+MOST_TOKENS = 4_000_000  # words that wait as numbers until they are counted
+
+
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts of words, of windows, of pairs (before, word), of hyphen compounds, and of the slots of
-    bodies whose layout isn't plain, summed by batch."""
+    bodies whose layout isn't plain, summed by batch. Words are counted as numbers."""
     for b in batches:
+        numbers, waiting, size = _Numbers(), [], 0
         words: Counter[str] = Counter()
+        around: Counter[str] = Counter()
         pairs: Counter[tuple[str, str]] = Counter()
+
+        def flush() -> None:
+            n = len(numbers.words)
+            x = np.concatenate([*waiting, np.zeros(1, np.int64)])
+            codes, counts = np.unique(x[:-1][x[1:] > 0] * n + x[1:][x[1:] > 0], return_counts=True)
+            for code, k in zip(codes.tolist(), counts.tolist()):
+                pairs[numbers.words[code // n], numbers.words[code % n]] += k
+            waiting.clear()
+
         for doc, body, slot in zip(b.doc_id, b.body, b.slot):
             lines, _ = lines_of(body, doc or "")
             if len(lines) > 1:
                 words[f"{SLOT}{slot}"] += 1
             text = unmarked(joined(lines)[0] if len(lines) > 1 else body)
-            found = words_of(text)
-            pairs.update(zip(["", *found], found))
-            words.update(w for _, w in windows(text))
+            found = np.fromiter(map(numbers.__getitem__, _PARTS.findall(text.lower())), np.int64)
+            waiting += [np.zeros(1, np.int64), found[found > 0]]
+            size += len(found)
+            if size > MOST_TOKENS:
+                flush()
+                size = 0
+            if not text.isascii():
+                wide = f"\n{text}\n"
+                around.update([wide[i : i + 3] for i in map(re.Match.start, _EITHER.finditer(text))])
             if "-" in text:
                 words.update(x.lower() for x in _COMPOUND.findall(text))
+        flush()
+        for w, n in around.items():
+            words[f"\x01{_BESIDE[w[0]]}{w[1]}{_BESIDE[w[2]]}"] += n
         for (_, w), n in pairs.items():
             words[w] += n
         yield pd.DataFrame({"before": [None] * len(words) + [a for a, _ in pairs], "word": [*words, *(w for _, w in pairs)], "n": [*words.values(), *pairs.values()]}, columns=["before", "word", "n"])
@@ -480,14 +521,46 @@ class Book:
 
     def __init__(self, rows: list[tuple[str, str, str | None]]) -> None:
         self.repairs = {(before, word): to for before, word, to in rows if to is not None}
-        self.known = frozenset(word for _, word in self.repairs)
+        self.known = frozenset(word for _, word in self.repairs if word[:1] != "\x01")
         self.compounds = frozenset(word for _, word, to in rows if to is None)
+        self.search: ahocorasick.Automaton | None = None  # built where it is used
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"search": None}
+
+    def may_repair(self, text: str) -> bool:
+        """Whether a text in lower case holds a word that has a repair, or what looks like one."""
+        if self.search is None:
+            self.search = ahocorasick.Automaton()
+            for w in self.known:
+                self.search.add_word(w, len(w))
+            self.search.make_automaton()
+        if not self.known:
+            return False
+        for end, n in self.search.iter(text):
+            if text[end + 1 : end + 2] not in _PART_OF_WORD and (end < n or text[end - n] not in _PART_OF_WORD):
+                return True
+        return False
 
     def found(self, words: list[str]) -> dict[tuple[str, str], str]:
         """The repairs of the words of a text, by the word before and the word."""
         return {k: self.repairs[k] for k in zip(["", *words], words) if k in self.repairs}
 
 
+class _Parts(dict):
+    """Whether a character is part of a word."""
+
+    def __missing__(self, c: str) -> bool:
+        self[c] = v = c != "" and re.match(f"[{_IN}]", c) is not None
+        return v
+
+    def __contains__(self, c: object) -> bool:
+        return self[c]
+
+
+_PART_OF_WORD = _Parts()
+
+
 def _repair_by(book):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -510,17 +583,18 @@ _CJK_STOPS = re.compile(rf"(?<=[{CJK}])(?:([.,])(?=\s*[{CJK}]|\s*\d|\s*$)|(`)(?=
 _CJK_UNIT = re.compile(rf"(?<=[{CJK}])([\d.,\s]{{1,12}}[A-Za-zµμ°·%]{{1,4}})\.(?=[{CJK}])")
 _CJK_MARKS = {".": "。", ",": "，", "`": "、"}
 
+_MISREAD_MARK = re.compile(rf"[.,`丨](?<=[{CJK}].)|\.(?=[{CJK}])")  # what the marks' patterns begin or end with
 _STROKE = re.compile(rf"(?<=[{CJK}])丨(?=[{CJK}，。、]|\s|$)", re.M)  # a stroke that no word has
 
 
 def marks_repaired(text: str) -> str:
     """Marks of Chinese and Japanese texts that are read as those of other scripts, line by line."""
-    if text.isascii() or not any(map(text.__contains__, ".,`丨")) or not _CHARACTER.search(text):
+    if text.isascii() or not _MISREAD_MARK.search(text):
         return text
     japanese = len(re.findall(r"[぀-ヿ]", text)) > len(text) // 50
     lines = text.split("\n")
     for i, x in enumerate(lines):
-        n = len(_CHARACTER.findall(x))
+        n = 0 if x.isascii() or not _MISREAD_MARK.search(x) else len(_CHARACTER.findall(x))
         if n > 1 and n * 2 >= sum(map(str.isalpha, x)):
             x = _CJK_STOPS.sub(lambda m: "、" if japanese and m[1] == "," else _CJK_MARKS[m[1] or m[2]], x)
             lines[i] = _STROKE.sub("", _CJK_UNIT.sub(r"\1。", x))
@@ -529,6 +603,8 @@ def marks_repaired(text: str) -> str:
 
 def characters_repaired(text: str, repairs: dict[tuple[str, str], str]) -> str:
     """Misread characters of Chinese and Japanese texts replaced, by the windows that have a repair."""
+    if text.isascii() or not repairs:
+        return text
     at = {i: to[2] for i, w in windows(text, _READ) if (to := repairs.get(("", w)))}
     return "".join(at.get(i, c) for i, c in enumerate(text)) if at else text
 
@@ -549,7 +625,7 @@ def repair(body: str | None, doc: str | None, book: Book = _NONE, laid: bool = T
         text, hyphen = joined(lines, book.compounds)
         if hyphen:
             kinds.add("hyphen")
-    found = {} if book.known.isdisjoint(map(_known_word, _PARTS.findall(text.lower()))) else book.found(words_of(unmarked(text)))
+    found = book.found(words_of(unmarked(text))) if book.may_repair(text.lower()) else {}
     whole = len(lines) > 1
     for _ in range(2):  # repaired as it stands, and again as paragraphs if there was anything to repair
         fixed = marks_repaired(characters_repaired(_replaced(text, found), book.repairs))
