@@ -10,6 +10,7 @@ batches of sentences are scored at once in numpy.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +25,9 @@ LANGUAGES = ("en", "zh", "de", "fr", "es", "ja", "pt", "nl")
 # English names of the languages.
 NAMES = {"english": "en", "chinese": "zh", "german": "de", "french": "fr", "spanish": "es", "japanese": "ja", "portuguese": "pt", "dutch": "nl"}
 BUCKETS, ORDER = 1 << 16, 3  # n-grams of two and three characters
-SAMPLE_TEXTS = 400  # of labelled texts for each language; the fit's only bound
-SAMPLE_CHARS = 20_000  # of each of them, for the fit only
-SAMPLE_SENTENCES = 32  # of each of them
+SAMPLE_TEXTS, SAMPLE_SENTENCES = 400, 32  # labelled texts for each language, sentences of each; the fit's only bounds
+UNKNOWN = "und"  # a text that is like none of the languages
+FLOOR, FLOOR_GRAMS = 10.0, 40  # deviations below a language's usual likelihood; n-grams from which it is judged
 CONFIDENT = 0.9
 CHUNK = 2000  # sentences that are in memory as n-grams at once
 
@@ -101,19 +102,40 @@ def scores(model: np.ndarray, texts: list[str]) -> np.ndarray:
 
     As n-grams overlap, a text has the weight of about the square root of their number only.
     """
+    return likelihoods(model, texts)[0]
+
+
+def likelihoods(model: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Posteriors as of ``scores``, the mean log probability of a text's n-grams in its likeliest language,
+    and their number."""
     if len(texts) > CHUNK:
-        return np.concatenate([scores(model, texts[at : at + CHUNK]) for at in range(0, len(texts), CHUNK)])
+        return tuple(map(np.concatenate, zip(*(likelihoods(model, texts[at : at + CHUNK]) for at in range(0, len(texts), CHUNK)))))
     out, size = np.zeros((len(texts), model.shape[1])), np.ones(len(texts))
     if not texts:
-        return out
+        return out, size, size
     for b, begin in hashed(texts):
         some = np.diff(np.append(begin, len(b))) > 0
         if some.any():
             out[some] += np.add.reduceat(model[b], begin[some], axis=0)
             size += np.diff(np.append(begin, len(b)))
-    out = (out - out.max(1, keepdims=True)) / np.sqrt(size)[:, None]
-    p = np.exp(out)
-    return p / p.sum(1, keepdims=True)
+    best = out.max(1)
+    p = np.exp((out - best[:, None]) / np.sqrt(size)[:, None])
+    return p / p.sum(1, keepdims=True), best / size, size
+
+
+def floors(model: np.ndarray, texts: list[str], labels: list[int]) -> np.ndarray:
+    """For each language the mean log probability below which a text is taken for none of them: ``FLOOR``
+    deviations below the mean. On the project's texts held-out sentences stay within 8, Italian ones are 12 and those of
+    less related languages 30 or more below."""
+    p, mean, size = likelihoods(model, texts)
+    best, y, out = p.argmax(1), np.asarray(labels, np.int64), np.full(model.shape[1], -np.inf, np.float32)
+    for k in range(model.shape[1]):
+        x = mean[(best == k) & (y == k) & (size >= FLOOR_GRAMS)]
+        if len(x) >= 30:
+            out[k] = x.mean() - FLOOR * x.std()
+        elif not (y == k).any():  # a language that was never seen is likeliest for what is like no other
+            out[k] = np.inf
+    return out
 
 
 def plain(body: str | None, doc: str | None = "") -> str:
@@ -141,9 +163,10 @@ def _code(label: Column) -> Column:
 def train(labels: DataFrame, sections: DataFrame, per_language: int = SAMPLE_TEXTS) -> np.ndarray:
     """A model from bodies (doc_id, anchor, body) with labels (doc_id, anchor, label).
 
-    About ``per_language`` bodies of each label are taken by the hash of their key, so the sample is
+    About ``per_language`` bodies of each label are taken by the hash of their key, and of each body
+    up to ``SAMPLE_SENTENCES`` by the hash of the sentence, so the sample is
     bounded and the same in any order. The keys are chosen without reading bodies, and sent to the
-    scan of the bodies, which then moves the sample only.
+    scan of the bodies; sentences are cut where the bodies are read. The last row holds the languages' floors.
     """
     keys = labels.select("doc_id", "anchor", _code(F.col("label")).alias("code")).filter("code is not null")
     rate = {r.code: min(1.0, per_language / r.n) for r in keys.groupBy("code").agg(F.count("*").alias("n")).collect()}
@@ -152,18 +175,24 @@ def train(labels: DataFrame, sections: DataFrame, per_language: int = SAMPLE_TEX
     cut = F.create_map(*(F.lit(x) for kv in rate.items() for x in kv))
     unit = F.pmod(F.xxhash64("doc_id", "anchor"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     chosen = keys.filter(unit < cut[F.col("code")]).limit(2 * per_language * len(LANGUAGES))
-    sample = sections.filter(F.length("body") >= 60).join(F.broadcast(chosen), ["doc_id", "anchor"]).groupBy("doc_id", "anchor", "code").agg(F.first(F.substring("body", 1, SAMPLE_CHARS)).alias("body")).collect()
-    texts, y = [], []
-    for r in sorted(sample, key=lambda r: (r.code, r.doc_id, r.anchor)):
-        t = plain(r.body, r.doc_id)
-        for a, b in sentences(t)[:SAMPLE_SENTENCES]:
-            texts.append(t[a:b])
-            y.append(LANGUAGES.index(r.code))
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for doc, anchor, code, body in zip(b.doc_id, b.anchor, b.code, b.body):
+                t = plain(body, doc)
+                found = sorted({t[x:y] for x, y in sentences(t)}, key=lambda x: (zlib.crc32(x.encode("utf-8", "replace")), x))
+                out += [(code, doc, anchor, x) for x in found[:SAMPLE_SENTENCES]]
+            yield pd.DataFrame(out, columns=["code", "doc_id", "anchor", "sentence"])
+
+    sample = sections.filter(F.length("body") >= 60).select("doc_id", "anchor", "body").join(F.broadcast(chosen), ["doc_id", "anchor"]).select("doc_id", "anchor", "code", "body")
+    rows = sorted({tuple(r) for r in sample.mapInPandas(of, "code string, doc_id string, anchor string, sentence string").collect()})
+    texts, y = [r[3] for r in rows], [LANGUAGES.index(r[0]) for r in rows]
     model = fit(texts, y, len(LANGUAGES))
     for _ in range(2):  # wrong labels and foreign sentences are few; the fit itself corrects them
         y = scores(model, texts).argmax(1).tolist()
         model = fit(texts, y, len(LANGUAGES))
-    return model
+    return np.vstack([model, floors(model, texts, y)])
 
 
 SEGMENTS = "doc_id string, anchor string, start int, end int, language string, confidence double, n_sentences int, n_chars int"
@@ -172,7 +201,7 @@ SEGMENTS = "doc_id string, anchor string, start int, end int, language string, c
 def stretches(text: str, spans: list[tuple[int, int]], p: np.ndarray) -> list[tuple[int, int, int, float, int]]:
     """Stretches of sentences in one language: start, end, language, confidence and number of
     sentences. A sentence that is unsure goes with the surest of its neighbours."""
-    best, sure = p.argmax(1), p.max(1)
+    best, sure = p.argmax(1), p.max(1)  # the last column, if there is one more, is that of no language
     for i in np.flatnonzero(sure < CONFIDENT):
         near = [j for j in (i - 1, i + 1) if 0 <= j < len(spans) and sure[j] >= CONFIDENT]
         if near:
@@ -193,7 +222,8 @@ def stretches(text: str, spans: list[tuple[int, int]], p: np.ndarray) -> list[tu
 def segments(sections: DataFrame, model: np.ndarray) -> DataFrame:
     """Stretches of each body (doc_id, anchor, body) in one language, offsets in its running text.
 
-    A body without whole sentences (null, blank, figures, lists, headings, code) gives no rows.
+    A body without whole sentences (null, blank, figures, lists, headings, code) gives no rows. A sentence
+    far less likely than its likeliest language usually is, is ``und``.
     """
     shared = sections.sparkSession.sparkContext.broadcast(model)
 
@@ -203,11 +233,14 @@ def segments(sections: DataFrame, model: np.ndarray) -> DataFrame:
             spans = [sentences(t) for t in texts]
             out = []
             flat = [t[x:y] for t, s in zip(texts, spans) for x, y in s]
-            p = scores(shared.value, flat)
+            p, mean, size = likelihoods(shared.value, flat)
+            if len(shared.value) > BUCKETS and flat:
+                strange = (size >= FLOOR_GRAMS) & (mean < shared.value[BUCKETS][p.argmax(1)])
+                p = np.column_stack([np.where(strange[:, None], 0, p), np.where(strange, CONFIDENT, 0)])
             at = 0
             for doc, anchor, t, s in zip(b.doc_id, b.anchor, texts, spans):
                 for x, y, lang, sure, n in stretches(t, s, p[at : at + len(s)]):
-                    out.append((doc, anchor, x, y, LANGUAGES[lang], sure, n, y - x))
+                    out.append((doc, anchor, x, y, (*LANGUAGES, UNKNOWN)[lang], sure, n, y - x))
                 at += len(s)
             yield pd.DataFrame(out, columns=[c.split()[0] for c in SEGMENTS.split(", ")])
 
@@ -221,8 +254,9 @@ def documents(found: DataFrame) -> DataFrame:
 
 
 def mislabelled(found: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, anchor, language of the bodies whose label (doc_id, anchor, label) isn't their one language."""
-    langs = found.groupBy("doc_id", "anchor").agg(F.collect_set("language").alias("languages"))
+    """doc_id, anchor, language of the bodies whose label (doc_id, anchor, label) isn't their one language.
+    Stretches in no known language say nothing of the label."""
+    langs = found.filter(F.col("language") != UNKNOWN).groupBy("doc_id", "anchor").agg(F.collect_set("language").alias("languages"))
     both = langs.join(labels.select("doc_id", "anchor", _code(F.col("label")).alias("code")), ["doc_id", "anchor"], "left")
     wrong = both.filter((F.size("languages") > 1) | F.col("code").isNull() | (F.col("languages")[0] != F.col("code")))
     return wrong.select("doc_id", "anchor", F.explode("languages").alias("language"))

@@ -41,6 +41,31 @@ def test_scores_of_odd_texts():
     assert L.scores(model, many).shape == (L.CHUNK + 3, 8)
 
 
+def test_confidence_is_earned():
+    """On held-out sentences, the sure ones are right as often as they say."""
+    langs = list(PARTS)
+    x = [t for i, k in enumerate(langs) for t in texts(k, 200, i)]
+    y = [L.LANGUAGES.index(k) for k in langs for _ in range(200)]
+    model = L.fit(x, y, len(L.LANGUAGES))
+    held = [(k, t) for k in langs for t in texts(k, 100, 501)]
+    short = [(k, " ".join(t.split()[:3])) for k, t in held]  # hard ones, too
+    p = L.scores(model, [t for _, t in held + short])
+    sure = p.max(1) >= L.CONFIDENT
+    right = np.array([L.LANGUAGES[i] == k for i, (k, _) in zip(p.argmax(1), held + short)])
+    assert right[sure].mean() >= L.CONFIDENT and sure.mean() > 0.5
+
+
+def test_other_languages_are_unknown(spark):
+    rows = [(f"d{k}", f"a{j}", " ".join(texts(k, 8, 100 * i + j))) for i, k in enumerate(PARTS) for j in range(30)]
+    strange = " ".join("Přístroj zůstává vypnutý, dokud teplota skříně neklesne pod nejnižší hodnotu uvedenou výrobcem čerpadla." for _ in range(3))
+    b = spark.createDataFrame([*rows, ("x", "cs", strange)], "doc_id string, anchor string, body string")
+    lab = spark.createDataFrame([(d, a, d[1:]) for d, a, _ in rows] + [("x", "cs", "en")], "doc_id string, anchor string, label string")
+    found = L.segments(b, L.train(lab.filter("doc_id != 'x'"), b))
+    got = {(r.doc_id, r.anchor): r.language for r in found.collect()}
+    assert got["x", "cs"] == "und" and all(got[d, a] == d[1:] for d, a, _ in rows)
+    assert L.mislabelled(found, lab).count() == 0
+
+
 @pytest.mark.parametrize(("text", "lang"), [("en-US", "en"), ("ZH", "zh"), ("zh-cn", "zh"), ("pt_PT", "pt"), ("German", "de"), ("dutch", "nl"), ("und", None), ("", None), (None, None), ("unknown", None), ("xx", None)])
 def test_labels(text, lang):
     assert L.label(text) == lang
