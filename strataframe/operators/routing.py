@@ -12,21 +12,22 @@ from pyspark.sql import functions as F
 from strataframe.functions import text as X
 from strataframe.tables import squeezed
 
-MAX_RULES = 20_000
+MAX_RULES = 20_000  # of words, which are joined by equality
+MAX_PATTERNS = 1_000  # of globs and headings, each of which is tried on each document or heading
 UNCATEGORIZED = "_uncategorized"
 
 
-def rule_table(rules: DataFrame) -> DataFrame:
-    """Rules ready to be broadcast; raises beyond ``MAX_RULES`` rows."""
-    if rules.limit(MAX_RULES + 1).count() > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
+def rule_table(rules: DataFrame, most: int = MAX_RULES) -> DataFrame:
+    """Rules ready to be broadcast; raises beyond ``most`` rows."""
+    if rules.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rules")
     return F.broadcast(rules)
 
 
 def by_spec(docs: DataFrame, specs: DataFrame) -> DataFrame:
     """doc_id, slug: the first category whose glob matches the document (specs: ord, slug, glob).
     Documents are matched once each, not once per section."""
-    rules = rule_table(specs.select("ord", "slug", X.glob_pattern(F.col("glob")).alias("pattern")))
+    rules = rule_table(specs.select("ord", "slug", X.glob_pattern(F.col("glob")).alias("pattern")), MAX_PATTERNS)
     hit = docs.select("doc_id").distinct().join(rules, F.expr("lower(doc_id) rlike pattern"))
     return hit.groupBy("doc_id").agg(F.min(F.struct("ord", "slug")).alias("x")).select("doc_id", F.col("x.slug").alias("slug"))
 
@@ -46,7 +47,7 @@ def by_heading(sections: DataFrame, headings: DataFrame, levels: int = 1) -> Dat
     heading); nodes below a matched node of depth ``levels`` inherit it.
 
     Inheritance is a join on the ancestor at that depth, which ``ancestors`` gives."""
-    rules = rule_table(headings.select("ord", "slug", F.lower("heading").alias("heading")).filter("heading != ''"))
+    rules = rule_table(headings.select("ord", "slug", F.lower("heading").alias("heading")).filter("heading != ''"), MAX_PATTERNS)
     top = sections.filter(F.col("depth") == levels).select("doc_id", F.col("node_id").alias("top"), F.lower(F.coalesce("title", F.lit(""))).alias("t"))
     hit = top.join(rules, F.expr("contains(t, heading)")).groupBy("doc_id", "top").agg(F.min(F.struct("ord", "slug")).alias("x"))
     hit = hit.select("doc_id", "top", F.col("x.slug").alias("slug"))
@@ -70,10 +71,10 @@ def spec_owners(docs: DataFrame, subsystems: DataFrame, systems: DataFrame) -> D
     (subsystems: system, subsystem, title, glob); where there is none, by a spec of their system
     (systems: system, glob) and a word that the document's name and the subsystem's title share."""
     d = docs.select("doc_id").distinct()
-    own = rule_table(subsystems.filter("glob is not null").select("system", "subsystem", X.glob_pattern(F.col("glob")).alias("pattern")))
+    own = rule_table(subsystems.filter("glob is not null").select("system", "subsystem", X.glob_pattern(F.col("glob")).alias("pattern")), MAX_PATTERNS)
     direct = d.join(own, F.expr("lower(doc_id) rlike pattern")).select("doc_id", "system", "subsystem").distinct()
     rest = d.join(direct.select("doc_id").distinct(), "doc_id", "left_anti")
-    above = rule_table(systems.select("system", X.glob_pattern(F.col("glob")).alias("pattern")))
+    above = rule_table(systems.select("system", X.glob_pattern(F.col("glob")).alias("pattern")), MAX_PATTERNS)
     under = rest.join(above, F.expr("lower(doc_id) rlike pattern")).select("doc_id", "system").distinct().withColumn("word", F.explode(X.tokens(F.col("doc_id"))))
     titles = rule_table(subsystems.select("system", "subsystem", F.explode(X.tokens(F.col("title"))).alias("word")).distinct())
     return direct.unionByName(under.join(titles, ["system", "word"]).select("doc_id", "system", "subsystem").distinct())

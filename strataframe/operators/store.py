@@ -79,6 +79,13 @@ def skip_rule(path: Column, ignored: Sequence[str] = ()) -> Column:
     return F.arrays_overlap(parts, F.array(*map(F.lit, names))) | path.endswith(".tmp")
 
 
+def content_hash(markdown: Column, asset_shas: Column, index: Column) -> Column:
+    """The hash of an output: its normal text, the sorted hashes of its assets (array), and its index as JSON, parted
+    by marks between NUL characters."""
+    assets = F.array_join(F.transform(F.array_sort(asset_shas), lambda a: F.concat(a, F.lit("\x00"))), "")
+    return X.sha(F.concat(X.normal_markdown(markdown), F.lit("\x00ASSETS\x00"), assets, F.lit("\x00INDEX\x00"), index))
+
+
 def first_of(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in the given order."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.functions import text as X
-from strataframe.operators import contents, invariants, nested, sections, topics
+from strataframe.operators import contents, invariants, nested, sections, store, topics
 from strataframe.plans.problems import TREES, tagged
 from strataframe.plans.text_queries import BODIES, DOCS, slug_sql, tokens_sql
 from strataframe.plans.text_queries import _bodies as bodies
@@ -225,11 +225,11 @@ def flatten_tree(s: SparkSession, d: str) -> DataFrame:
 
 
 def content_hash(s: SparkSession, d: str) -> DataFrame:
-    """One hash of each document over the hashes of its sections in order; what is gathered is one
-    hash for each section of one document."""
-    b = bodies(s, d).select("doc_id", F.struct("anchor", X.sha(F.coalesce("body", F.lit(""))).alias("h")).alias("x"))
-    h = b.groupBy("doc_id").agg(F.array_sort(F.collect_list("x")).alias("x"), F.count("*").alias("n_sections"))
-    return h.select("doc_id", "n_sections", X.sha(F.array_join(F.transform("x", lambda v: v["h"]), "\n")).alias("content_sha256"))
+    """The hash of each section's text, of the names of its images and of its place."""
+    b = bodies(s, d).withColumn("body", F.coalesce("body", F.lit("")))
+    images = F.transform(F.regexp_extract_all("body", F.lit(r"!\[[^\]]*\]\(([^)\s]+)\)"), F.lit(1)), X.sha)
+    index = F.concat(F.lit('{"anchor": '), X.json_string(F.col("anchor")), F.lit(', "title": '), X.json_string(F.col("title")), F.lit("}"))
+    return b.select("doc_id", "anchor", F.size(images).alias("n_images"), store.content_hash(F.col("body"), images, index).alias("content_sha256"))
 
 
 QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, section_body, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, toc_pairs, toc_tree, toc_section_map, page_bodies, outline_padding, page_headings, h18_missing_origins, all_violations, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
@@ -317,7 +317,6 @@ SELECT n.doc_id, n.node_id, n.page_start, greatest(coalesce(nxt - 1, n_pages), n
     "h10_untitled": f"SELECT doc_id FROM {NODES} WHERE level <= 1 GROUP BY doc_id HAVING sum(CASE WHEN level >= 1 AND trim(coalesce(title, '')) <> '' THEN 1 ELSE 0 END) = 0",
     "wiki_verify": f"WITH a AS (SELECT source AS doc_id, unnest(regexp_extract_all(text, '{X.ANCHOR}', 1)) AS anchor FROM {PAGES}), n AS (SELECT doc_id, anchor, count(*) AS n FROM a GROUP BY 1, 2) SELECT doc_id, anchor, CASE WHEN n IS NULL THEN 'H14' ELSE 'H17' END AS rule FROM (SELECT DISTINCT doc_id, anchor FROM {LEAVES}) LEFT JOIN n USING (doc_id, anchor) WHERE n IS NULL OR n > 1",
     "dead_wikilinks": rf"WITH l AS (SELECT DISTINCT doc_id, anchor, trim(unnest(regexp_extract_all(body, '{X.WIKILINK}', 1)), {_WS}) AS target FROM {BODIES}), n AS (SELECT DISTINCT title AS name FROM sections WHERE title IS NOT NULL) SELECT doc_id, anchor, target FROM l WHERE target NOT IN (SELECT name FROM n) AND regexp_extract(target, '([^/]*)$', 1) NOT IN (SELECT regexp_extract(name, '([^/]*)$', 1) FROM n)",
-    "content_hash": f"SELECT doc_id, count(*) AS n_sections, sha256(string_agg(sha256(coalesce(body, '')), chr(10) ORDER BY anchor)) AS content_sha256 FROM {BODIES} GROUP BY 1",
 }
 
 _DROPPED = rf"CASE WHEN g IS NULL THEN text ELSE trim(array_to_string(list_filter(regexp_split_to_array(text, '\r\n|\r|\n'), lambda x: NOT list_contains(g, trim(x, {WHITE}))), chr(10)), chr(10)) END"
@@ -338,3 +337,5 @@ _ADD = "CASE WHEN a[-1] = '' THEN list_append(a[:-2], u[1]) WHEN length(a[-1]) +
 ORACLE["chunk_body"] = f"""WITH c AS (SELECT doc_id, anchor, CASE WHEN length(body) <= 1500 THEN [body] ELSE list_reduce(list_transform({_UNITS}, lambda u: [u]), lambda a, u: {_ADD}, ['']) END AS c, length(body) <= 1500 AS whole FROM {BODIES} WHERE body IS NOT NULL),
 d AS (SELECT doc_id, anchor, CASE WHEN NOT whole AND c[-1] = '' THEN c[:-2] ELSE c END AS c FROM c)
 SELECT doc_id, anchor, i - 1 AS chunk_no, length(c[i]) AS n_chars, sha256(c[i]) AS chunk_sha256 FROM (SELECT *, unnest(generate_series(1, len(c))) AS i FROM d)"""
+ORACLE["content_hash"] = rf"""WITH b AS (SELECT doc_id, anchor, title, coalesce(body, '') AS body FROM {BODIES}), i AS (SELECT *, list_sort(list_transform(regexp_extract_all(body, '!\[[^\]]*\]\(([^)\s]+)\)', 1), lambda x: sha256(x))) AS images FROM b)
+SELECT doc_id, anchor, len(images) AS n_images, sha256(regexp_replace(regexp_replace(regexp_replace(body, '^\x{{FEFF}}', ''), '\r\n|\r', chr(10), 'g'), '\n+\z', '') || chr(10) || chr(0) || 'ASSETS' || chr(0) || array_to_string(list_transform(images, lambda x: x || chr(0)), '') || chr(0) || 'INDEX' || chr(0) || '{{"anchor": ' || to_json(coalesce(anchor, ''))::VARCHAR || ', "title": ' || to_json(coalesce(title, ''))::VARCHAR || '}}') AS content_sha256 FROM i"""

@@ -146,11 +146,11 @@ def resolve_pins(s: SparkSession, d: str) -> DataFrame:
 
 
 def wiki_catalog(s: SparkSession, d: str) -> DataFrame:
-    """For each domain the links of its documents with their titles, as lines."""
+    """The links of each domain's documents with their titles, a row a line; no domain is gathered."""
     m = read(s, d, "manifest").select("source_path").distinct()
     stem = X.file_stem(F.col("source_path"))
     rows = m.select(F.regexp_extract("source_path", "^in/([^/]*)/", 1).alias("domain"), F.concat(F.lit("- "), X.wikilink(F.concat(F.regexp_extract("source_path", "^in/([^/]*)/", 1), F.lit("/"), stem), stem)).alias("line"))
-    return rows.distinct().groupBy("domain").agg(F.count("*").alias("n_pages"), X.sha(F.array_join(F.array_sort(F.collect_list("line")), "\n")).alias("lines_sha256"))
+    return rows.distinct()
 
 
 def _specs(s: SparkSession) -> DataFrame:
@@ -334,7 +334,7 @@ ORACLE = {
     "cached_missing": f"SELECT DISTINCT prompt_hash FROM {_PROMPTS} p WHERE prompt_hash NOT IN (SELECT prompt_hash FROM {_RESPONSES})",
     "verify_quote": rf"SELECT doc_id, anchor, trim(regexp_replace(coalesce(title, ''), '[\s\x{{00A0}}\x{{3000}}\x{{2009}}\x{{202F}}]+', ' ', 'g')) <> '' AND contains(regexp_replace(coalesce(body, ''), '[\s\x{{00A0}}\x{{3000}}\x{{2009}}\x{{202F}}]+', ' ', 'g'), trim(regexp_replace(coalesce(title, ''), '[\s\x{{00A0}}\x{{3000}}\x{{2009}}\x{{202F}}]+', ' ', 'g'))) AS found FROM {BODIES}",
     "resolve_pins": rf"WITH n AS (SELECT doc_id, count(*) AS n FROM {LEAVES} GROUP BY 1), p AS (SELECT DISTINCT doc_id, anchor, unnest(regexp_extract_all(body, '\[(\d{{1,6}})\]', 1)) AS pin FROM {BODIES}) SELECT p.doc_id, anchor, pin::INT AS pin, pin::INT BETWEEN 1 AND coalesce(n, 0) AS resolved FROM p LEFT JOIN n USING (doc_id)",
-    "wiki_catalog": f"SELECT domain, count(*) AS n_pages, sha256(string_agg(line, chr(10) ORDER BY line)) AS lines_sha256 FROM (SELECT DISTINCT {_DOMAIN} AS domain, '- [[' || {_DOMAIN} || '/' || {_STEM} || '|' || {_STEM} || ']]' AS line FROM manifest) GROUP BY 1",
+    "wiki_catalog": f"SELECT DISTINCT {_DOMAIN} AS domain, '- [[' || {_DOMAIN} || '/' || {_STEM} || '|' || {_STEM} || ']]' AS line FROM manifest",
     "route_linked_spec": f"SELECT * FROM {_SPEC}",
     "route_keyword": f"SELECT * FROM {_kw(_TITLES)}",
     "prd_section_map": f"SELECT * FROM {_head('true')}",

@@ -47,12 +47,18 @@ def index_json(topics: DataFrame, evidence: DataFrame) -> DataFrame:
     return topics.join(e, "slug").select("slug", F.to_json(F.struct("slug", "title", "evidence")).alias("json"))
 
 
-def catalog(pages: DataFrame) -> DataFrame:
-    """domain, text: the links of each domain's pages (domain, title, path, sources) under a heading.
-    Each domain is a text of its own; all of them in order are the catalog."""
+def catalog_lines(pages: DataFrame) -> DataFrame:
+    """domain, title, path, line: the links of pages (domain, title, path, sources). Sorted by domain and
+    title, under a heading for each domain, they are the catalog."""
     source = F.array_join(F.array_sort(F.array_distinct("sources")), ", ")
     line = F.concat(F.lit("- "), X.wikilink(F.col("path"), F.col("title")), F.when(source == "", "").otherwise(F.concat(F.lit(" - sources: "), source)))
-    lines = pages.groupBy("domain").agg(F.array_sort(F.collect_list(F.struct("title", "path", line.alias("line")))).alias("x"))
+    return pages.select("domain", "title", "path", line.alias("line"))
+
+
+def catalog(pages: DataFrame) -> DataFrame:
+    """domain, text: the lines of each domain under a heading, for domains whose catalog is one file.
+    What is gathered is that file; ``catalog_lines`` gathers nothing."""
+    lines = catalog_lines(pages).groupBy("domain").agg(F.array_sort(F.collect_list(F.struct("title", "path", "line"))).alias("x"))
     return lines.select("domain", F.concat(F.lit("## "), "domain", F.lit("\n\n"), F.array_join(F.transform("x", lambda v: v["line"]), "\n"), F.lit("\n")).alias("text"))
 
 
