@@ -107,3 +107,12 @@ ORACLE = {
     "frontmatter_pages": f"SELECT doc_id, anchor, sha256('---' || chr(10) || 'title: ' || {_SCALAR('title')} || chr(10) || 'type: topic' || chr(10) || 'domain: ' || {_SCALAR('c')} || chr(10) || 'category_path: ' || {_SCALAR('c')} || chr(10) || 'slug: ' || {_SCALAR('s')} || chr(10) || 'evidence_sources:' || chr(10) || '  - ' || {_SCALAR('doc_id')} || chr(10) || 'tags:' || chr(10) || '  - ' || {_SCALAR(chr(40) + chr(39) + 'domain/' + chr(39) + ' || c)')} || chr(10) || '  - ' || {_SCALAR(chr(40) + chr(39) + 'path/' + chr(39) + ' || c)')} || chr(10) || '---') AS header_sha256 FROM (SELECT *, {_CATEGORY} AS c, {_SLUG} AS s FROM {_SECTIONS} WHERE title IS NOT NULL AND category IS NOT NULL)",
     "scanned_pages": rf"SELECT source, page FROM {PAGES} WHERE length(regexp_replace(text, '[\s\x{{00A0}}\x{{3000}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{2028}}\x{{2029}}\x{{0085}}\x{{205F}}\x0b\x1c-\x1f]', '', 'g')) < 50",
 }
+
+_PAGE_JSON = "'[{\"content\": ' || to_json(u)::VARCHAR || ', \"role\": \"user\"}]'"
+ORACLE["wiki_pages"] = f"""WITH e AS (SELECT l.doc_id AS slug, l.anchor, l.title, p.page_start, row_number() OVER (PARTITION BY l.doc_id ORDER BY l.anchor, l.node_id) AS k FROM {LEAVES} l JOIN (SELECT DISTINCT doc_id, node_id, page_start FROM sections) p ON p.doc_id = l.doc_id AND p.node_id = l.node_id),
+u AS (SELECT slug, count(*) AS n, string_agg('[' || k || '] ' || coalesce(title, ''), chr(10) ORDER BY k) AS u FROM e GROUP BY 1),
+a AS (SELECT slug, n, {_answer(_PAGE_JSON, 'n')} AS body FROM u),
+q AS (SELECT DISTINCT slug, unnest(regexp_extract_all(body, '\\[\\^ev-(\\d+)\\]', 1))::INT AS pin FROM a),
+f AS (SELECT q.slug, count(*) AS n_pins, string_agg('[^ev-' || pin || ']: [' || coalesce(title, '') || CASE WHEN page_start IS NULL THEN '' ELSE ' (p.' || page_start || ')' END || '](../kb/' || q.slug || '/main.md#' || anchor || ')', chr(10) ORDER BY pin) AS notes FROM q JOIN e ON e.slug = q.slug AND e.k = q.pin GROUP BY 1),
+m AS (SELECT slug, n_pins, '# ' || slug || chr(10) || chr(10) || '> Slug: `' || slug || '` · Evidence sources: ' || n || chr(10) || chr(10) || trim(body, {_WS}) || chr(10) || chr(10) || notes || chr(10) AS m FROM a JOIN f USING (slug))
+SELECT slug, n_pins, 0 AS n_unresolved, length(m) AS n_chars, sha256(m) AS markdown_sha256 FROM m"""

@@ -102,3 +102,22 @@ ORACLE = {
     "p1_found": _ORPHANS_SQL + "SELECT ref_field, record_no FROM found",
     "p1_orphans_by_month": _ORPHANS_SQL + "SELECT split_part(ref_field, '.', 1) AS table_name, split_part(ref_field, '.', 2) AS field, strftime(t0, '%Y-%m') AS month, count(*) AS n_orphans FROM found GROUP BY 1, 2, 3",
 }
+
+
+def _items(source: str, field: str, mark: str, columns: str) -> str:
+    """Items of a list inside each row of ``source`` (kind, record_id, path, v), objects only."""
+    w = _unquoted(f"json_extract(v, '$.{field}')")
+    return f"(SELECT kind, record_id, path || '/{mark}' || i AS item, path AS above, i, x {columns} FROM (SELECT kind, record_id, path, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM (SELECT kind, record_id, path, {_listed('w')} AS l FROM (SELECT kind, record_id, path, {w} AS w FROM {source}))))"
+
+
+_HEAD = "kind AS record_kind, record_id, item AS item_path, above AS parent_path, i AS ord"
+_X_INT = "CASE WHEN json_type(x, '$.page') IN ('UBIGINT', 'BIGINT') THEN (x->>'page')::INT END AS page"
+_TABLES = _items("tree", "tables", "t", "")
+_FIELDS = ("prd_headings", "pes_headings", "linked_specs", "keywords")
+ORACLE |= {
+    "p7_assets": f"WITH {TREES} SELECT {_HEAD}, x->>'kind' AS kind, x->>'rel_path' AS rel_path, {_X_INT}, x->>'alt' AS alt FROM {_items('tree', 'assets', 'a', '')} WHERE json_type(x) = 'OBJECT'",
+    "p7_tables": f"WITH {TREES} SELECT {_HEAD}, x->>'anchor' AS anchor, {_X_INT} FROM {_TABLES} WHERE json_type(x) = 'OBJECT'",
+    "p7_table_rows": f"WITH {TREES}, t AS (SELECT kind, record_id, item AS path, x AS v FROM {_TABLES} WHERE json_type(x) = 'OBJECT'), r AS (SELECT kind, record_id, item, above, i, {_unquoted('x')} AS w FROM {_items('t', 'rows', 'r', '')}) SELECT {_HEAD}, list_transform({_listed('w')}, lambda c: CASE WHEN json_type(c) = 'NULL' THEN NULL ELSE c->>'$' END) AS cells FROM r",
+    "p7_entries": f"WITH {TREES}, e AS (" + " UNION ALL ".join(f"SELECT *, '{f}' AS field FROM {_items('tree', f, f, '')}" for f in _FIELDS) + f") SELECT {_HEAD}, field, x->>'$' AS value FROM e WHERE json_type(x) <> 'NULL'",
+    "p7_caught": "SELECT 'k' AS record_kind, 0::BIGINT AS record_id, '' AS item_path, '' AS parent_path, 0 AS ord, '' AS error WHERE false",
+}
