@@ -120,12 +120,45 @@ def _lines(x: E.Element) -> Iterator[str]:
             yield t
 
 
+# Fixed value: where a presentation keeps its named sections.
+_SECTIONS = "{http://schemas.microsoft.com/office/powerpoint/2010/main}"
+
+
+def _outline(z: zipfile.ZipFile) -> tuple[list[str], list[tuple[str, list[int]]]]:
+    """The slides of a presentation in its order, and its named sections with the places of their slides,
+    from 1; slides of unknown numbers and sections without slides are left out."""
+    names = z.namelist()
+    slides = sorted((n for n in names if re.fullmatch(r"ppt/slides/slide\d+\.xml", n)), key=lambda n: int(re.search(r"\d+", n)[0]))
+    if "ppt/presentation.xml" not in names:
+        return slides, []
+    root, links = E.fromstring(z.read("ppt/presentation.xml")), _links(z, "ppt/presentation.xml")
+    listed = [(x.get("id"), links.get(x.get(R + "id", ""))) for x in root.iter(P + "sldId")]
+    listed = [(k, part) for k, part in listed if part in names]
+    if not listed:
+        return slides, []
+    place = {k: i for i, (k, _) in enumerate(listed, 1)}
+    found = []
+    for section in root.iter(_SECTIONS + "section"):
+        at = sorted({place[x.get("id")] for x in section.iter(_SECTIONS + "sldId") if x.get("id") in place})
+        if at:
+            found.append((section.get("name") or "(Unnamed Section)", at))
+    return [part for _, part in listed], found
+
+
 def pptx(data: bytes, name: str) -> Document:
+    """Slides as sections; below the presentation's own sections, where it has any. Slides in none of them
+    stand beside them, after them."""
     doc, images = Document(), 0
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         names = z.namelist()
-        slides = sorted((n for n in names if re.fullmatch(r"ppt/slides/slide\d+\.xml", n)), key=lambda n: int(re.search(r"\d+", n)[0]))
-        for k, part in enumerate(slides, 1):
+        slides, sections = _outline(z)
+        rest_of = [k for k in range(1, len(slides) + 1) if not any(k in at for _, at in sections)]
+        order = [x for title, at in sections for x in ((0, title), *((k, 2) for k in at))] + [(k, 1) for k in rest_of]
+        for k, level in order:
+            if not k:
+                doc.section(1, level)
+                continue
+            part = slides[k - 1]
             root, links = E.fromstring(z.read(part)), _links(z, part)
             title, rest, tables = "", [], []
             for shape in root.iter():
@@ -138,7 +171,7 @@ def pptx(data: bytes, name: str) -> Document:
                         rest += lines
                 elif shape.tag == A + "tbl":
                     tables.append([[("\n".join(_lines(tc)), int(tc.get("gridSpan", "1")), int(tc.get("rowSpan", "1"))) for tc in tr.findall(A + "tc") if tc.get("hMerge") != "1" and tc.get("vMerge") != "1"] for tr in shape.findall(A + "tr")])
-            doc.section(1, title or f"Slide {k}")
+            doc.section(level, title or f"Slide {k}")
             for line in rest:
                 doc.text(line)
             for t in tables:

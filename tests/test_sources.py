@@ -36,6 +36,18 @@ def test_docx():
     assert d.tables == [("tbl-0001", '<table><tr><td rowspan="2">a</td><td>b</td></tr><tr><td>c &amp; d</td></tr></table>')]
 
 
+def test_pptx_sections():
+    shape = lambda t, ph="": f'<p:sp><p:nvSpPr><p:nvPr>{ph}</p:nvPr></p:nvSpPr><p:txBody><a:p><a:r><a:t>{t}</a:t></a:r></a:p></p:txBody></p:sp>'
+    slide = lambda x: f"<p:sld {A}><p:cSld><p:spTree>{x}</p:spTree></p:cSld></p:sld>"
+    rel = "".join(f'<Relationship Id="r{k}" Target="slides/slide{k}.xml"/>' for k in (1, 2, 3, 4))
+    ids = "".join(f'<p:sldId id="{250 + k}" r:id="r{k}"/>' for k in (2, 1, 3, 4))
+    named = "".join(f'<s:section name="{n}"><s:sldIdLst>' + "".join(f'<s:sldId id="{250 + k}"/>' for k in at) + "</s:sldIdLst></s:section>" for n, at in (("Intro", [2]), ("", [3, 1, 77]), ("Empty", [88])))
+    main = f'<p:presentation xmlns:p="{office.P[1:-1]}" xmlns:r="{office.R[1:-1]}" xmlns:s="{office._SECTIONS[1:-1]}"><p:sldIdLst>{ids}</p:sldIdLst><p:extLst><p:ext><s:sectionLst>{named}</s:sectionLst></p:ext></p:extLst></p:presentation>'
+    parts = {f"ppt/slides/slide{k}.xml": slide(shape(f"T{k}", '<p:ph type="title"/>')) for k in (1, 2, 3, 4)}
+    d = office.pptx(zipped(**{"ppt/presentation.xml": main, "ppt/_rels/presentation.xml.rels": f"<Relationships {RELS}>{rel}</Relationships>", **parts}), "x.pptx")
+    assert [(level, title) for _, level, title, _ in d.sections] == [(1, "Intro"), (2, "T2"), (1, "(Unnamed Section)"), (2, "T1"), (2, "T3"), (1, "T4")]
+
+
 def test_pptx():
     shape = lambda t, ph="": f'<p:sp><p:nvSpPr><p:nvPr>{ph}</p:nvPr></p:nvSpPr><p:txBody><a:p><a:r><a:t>{t}</a:t></a:r></a:p></p:txBody></p:sp>'
     slide = lambda x: f"<p:sld {A}><p:cSld><p:spTree>{x}</p:spTree></p:cSld></p:sld>"
