@@ -22,7 +22,6 @@ from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -83,6 +82,8 @@ _FOLD = str.maketrans({"í": "i", "ì": "i", "†": "t", "@": "a", "6": "b", "8"
 
 
 _RUN = re.compile(r"[^\W\d_]{2,}")
+#: Four runs of two letters or more, with single letters and anything else between them.
+_FOUR = re.compile(r"(?:[\W\d_]*+(?:[^\W\d_](?![^\W\d_])[\W\d_]*+)*+[^\W\d_]{2,}+){4}")
 _CHARACTER = re.compile(_C)
 
 
@@ -92,8 +93,7 @@ def _words(line: str) -> int:
 
 def _running(line: str) -> bool:
     """Whether a line has four words at least; reads no more of it than that takes."""
-    n = sum(1 for _ in islice(_RUN.finditer(line), 4))
-    return n >= 4 or not line.isascii() and n + len(_CHARACTER.findall(line)) // 3 >= 4
+    return _FOUR.match(line) is not None or not line.isascii() and _words(line) >= 4
 
 
 @lru_cache(4096)

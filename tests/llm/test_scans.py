@@ -103,6 +103,13 @@ def test_misread_words_of_any_length_meet(length):
         assert S.distance(read, word) <= S.MAX_COST
 
 
+def test_running_lines_have_four_words():
+    r = random.Random(9)
+    for _ in range(5000):
+        x = "".join(r.choice("abé 1_-漢字。") for _ in range(r.randint(0, 30)))
+        assert S._running(x) == (S._words(x) >= 4)
+
+
 def test_long_words_are_words():
     long = "donaudampfschifffahrtsgesel1schaft"
     assert S.words_of(f"eine {long} und 12345 b") == ["eine", long, "und"]
