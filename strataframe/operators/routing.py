@@ -17,6 +17,19 @@ MAX_PATTERNS = 1_000  # of globs and headings, each of which is tried on each do
 UNCATEGORIZED = "_uncategorized"
 
 
+def own_document(docs: DataFrame) -> DataFrame:
+    """doc_id of the document that a category tree is made from: the first by name that calls itself a
+    product requirements document; none if there is none."""
+    named = F.lower("doc_id").contains("prd") | F.lower("doc_id").contains("product requirements")
+    return docs.filter(named).agg(F.min("doc_id").alias("doc_id")).filter("doc_id is not null")
+
+
+def specifications(docs: DataFrame, glob: str, own: DataFrame) -> DataFrame:
+    """doc_id of the documents whose name matches a glob, without the own one (doc_id)."""
+    hit = docs.select("doc_id").distinct().filter(F.rlike(F.lower("doc_id"), X.glob_pattern(F.lit(glob))))
+    return hit.join(F.broadcast(own.limit(1)), "doc_id", "left_anti")
+
+
 def rule_table(rules: DataFrame, most: int = MAX_RULES) -> DataFrame:
     """Rules ready to be broadcast; raises beyond ``most`` rows."""
     if rules.limit(most + 1).count() > most:

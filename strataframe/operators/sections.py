@@ -176,3 +176,10 @@ def one_heading_per_page(headings: DataFrame) -> DataFrame:
     don't overlap."""
     best = headings.groupBy("doc_id", "page").agg(F.min(F.struct("level", "title")).alias("x"))
     return best.select("doc_id", "page", F.col("x.level").alias("level"), F.col("x.title").alias("title"))
+
+
+def next_anchors(segments: DataFrame) -> DataFrame:
+    """doc_id, pos, anchor, next_anchor of sections (doc_id, pos, anchor): where a section's text ends; null for
+    the last."""
+    w = Window.partitionBy("doc_id").orderBy("pos")
+    return segments.select("doc_id", "pos", "anchor", F.lead("anchor").over(w).alias("next_anchor"))

@@ -48,6 +48,16 @@ def incremental_plan(files: DataFrame, manifest: DataFrame, adapters: DataFrame,
     return f.select("key", action.otherwise("dry_run" if dry_run else "extract").alias("action"))
 
 
+def source_plan(files: DataFrame, manifest: DataFrame, version: str, policy_sha: str | None = None) -> DataFrame:
+    """key, action of each source (key, source_sha256) that is turned into text: ``unchanged`` only where the
+    manifest (key, source_sha256, version, policy_sha256, status) has the same source, converter and redaction policy
+    and the last run ended well, else ``convert``."""
+    m = manifest.select("key", F.col("source_sha256").alias("old_sha"), F.col("version").alias("old_version"), F.col("policy_sha256").alias("old_policy"), F.col("status").alias("old_status"))
+    same = F.col("old_sha").eqNullSafe(F.col("source_sha256")) & F.col("source_sha256").isNotNull() & (F.col("old_status") == "ok")
+    same = same & F.col("old_version").eqNullSafe(F.lit(version)) & F.col("old_policy").eqNullSafe(F.lit(policy_sha).cast("string"))
+    return files.join(m, "key", "left").select("key", F.when(same, "unchanged").otherwise("convert").alias("action"))
+
+
 def run_report(outcomes: DataFrame, by: str | None = None) -> DataFrame:
     """Counts of outcomes and the overall status: failed if none went well, partial if some failed."""
     n = lambda s: F.sum(F.when(F.col("status") == s, 1).otherwise(0))

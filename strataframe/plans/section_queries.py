@@ -40,6 +40,10 @@ def section_body(s: SparkSession, d: str) -> DataFrame:
     return sections.segments(docs(s, d)).select("doc_id", "pos", "anchor", F.length(b).alias("n_chars"), X.sha(b).alias("body_sha256"))
 
 
+def next_anchor(s: SparkSession, d: str) -> DataFrame:
+    return sections.next_anchors(sections.segments(docs(s, d)))
+
+
 def chunk_body(s: SparkSession, d: str) -> DataFrame:
     rows = bodies(s, d).filter("body is not null").select("doc_id", "anchor", F.posexplode(sections.chunks(F.col("body"), CHUNK)).alias("chunk_no", "chunk"))
     return rows.select("doc_id", "anchor", "chunk_no", F.length("chunk").alias("n_chars"), X.sha(F.col("chunk")).alias("chunk_sha256"))
@@ -232,7 +236,7 @@ def content_hash(s: SparkSession, d: str) -> DataFrame:
     return b.select("doc_id", "anchor", F.size(images).alias("n_images"), store.content_hash(F.col("body"), images, index).alias("content_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, section_body, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, toc_pairs, toc_tree, toc_section_map, page_bodies, outline_padding, page_headings, h18_missing_origins, all_violations, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
+QUERIES = {f.__name__: f for f in (evidence_leaves, content_sections, section_body, next_anchor, chunk_body, nest_by_level, section_end_page, running_lines, heading_inference, toc_parse, toc_rollup, toc_pairs, toc_tree, toc_section_map, page_bodies, outline_padding, page_headings, h18_missing_origins, all_violations, jaccard_pairs, topic_components, discover_topics, discover_topics_filtered, slug_dedup, evidence_origins, h3_duplicate_anchors, h4_missing_anchors, h5_asset_closure, h9_page_gaps, h9_page_bounds, h10_untitled, wiki_verify, dead_wikilinks, h21_validate, flatten_tree, content_hash)}
 
 WHITE = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '||chr(133)||chr(160)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)||chr(65279)"
 NODES = "(SELECT DISTINCT doc_id, node_id, parent_node_id, ord, depth, level, title, anchor, page_start, page_end, is_leaf FROM sections)"
@@ -241,6 +245,7 @@ PAGES = "(SELECT source, doc_id AS page, text FROM (SELECT doc_id, any_value(sou
 _LINES = r"(SELECT doc_id, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS line FROM (SELECT doc_id, regexp_split_to_array(text, '\r\n|\r|\n') AS l FROM " + DOCS + "))"
 _TOC = r"^\s*(\d+(?:\.\d+)*)\s+(\S.*?)\s*\.{2,}\s*(\d+)\s*$"
 TOC = f"(SELECT doc_id, pos, regexp_extract(line, '{_TOC}', 1) AS number, regexp_extract(line, '{_TOC}', 2) AS title, len(regexp_extract_all(regexp_extract(line, '{_TOC}', 1), '[.]')) + 1 AS depth, regexp_extract(line, '{_TOC}', 3)::INT AS page FROM {_LINES} WHERE regexp_matches(line, '{_TOC}'))"
+_ANCHORS = f"(SELECT doc_id, i - 1 AS pos, a[i] AS anchor FROM (SELECT *, unnest(generate_series(1, len(a))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{X.SECTION_ANCHOR}', 1) AS a FROM {DOCS} WHERE contains(text, '<a id=\"sec-'))))"
 _NUMBER, _SPLIT = r"^\d+(\.\d+)*$", r"(?m)^[ \t]*(\d+(?:\.\d+)*)[ \t]+(\S)"
 _CHAPTERS = " || ".join(f"'{k}' || chr(10) || 'CHAPTER {k} ...... {k}' || chr(10)" for k in range(1, 10))
 _NOISE = r"(?i)^(!\[|page\s+\d+\s+of\b|\w+\s+confidential\b|\d+/\d+/\d+$|m\d+\s+rev\b|product\s+requirement\s+document$|contents$)"
@@ -291,6 +296,7 @@ SELECT doc_id, anchor, title, level, category, sha256(body) AS body_sha256 FROM
 b AS (SELECT doc_id, pos, anchor, rtrim(regexp_replace(segment, '^\n', ''), {_SPACE}) AS body FROM seg),
 c AS (SELECT doc_id, pos, anchor, CASE WHEN length(body) > 1500 THEN rtrim(substr(body, 1, 1499), {_SPACE}) || '…' ELSE body END AS body FROM b)
 SELECT doc_id, pos, anchor, length(body) AS n_chars, sha256(body) AS body_sha256 FROM c""",
+    "next_anchor": f"SELECT doc_id, pos, anchor, lead(anchor) OVER (PARTITION BY doc_id ORDER BY pos) AS next_anchor FROM {_ANCHORS}",
     "nest_by_level": f"SELECT doc_id, node_id, ord, (SELECT max(b.ord) FROM {NODES} b WHERE b.doc_id = a.doc_id AND b.ord < a.ord AND b.level < a.level) AS parent_ord FROM {NODES} a",
     "section_end_page": f"""WITH n AS (SELECT * FROM {NODES} WHERE page_start IS NOT NULL AND level > 0), p AS (SELECT doc_id, max(page_end) AS n_pages FROM n GROUP BY 1),
 nx AS (SELECT a.doc_id, a.node_id, arg_min(b.page_start, b.ord) AS nxt FROM n a LEFT JOIN n b ON a.doc_id = b.doc_id AND b.ord > a.ord AND b.level <= a.level GROUP BY 1, 2)

@@ -42,6 +42,21 @@ def incremental_plan(s: SparkSession, d: str) -> DataFrame:
     return store.incremental_plan(now, then, _values(s, [(a,) for a in ADAPTERS], "suffix string"))
 
 
+def source_plan(s: SparkSession, d: str) -> DataFrame:
+    """What has to be converted again, with the adapter's name as the converter's version."""
+    m = read(s, d, "manifest").withColumns({"version": F.col("adapter_name"), "policy_sha256": F.lit(None).cast("string")})
+    then = store.upserted(m.filter(F.col("loaded_at") < F.lit(CUTOFF).cast("timestamp_ntz")), "key", ["loaded_at"])
+    now = store.upserted(m, "key", ["loaded_at"])
+    return store.source_plan(now.select("key", "source_sha256"), then, "pdf_v2")
+
+
+def spec_documents(s: SparkSession, d: str) -> DataFrame:
+    """Specifications by their names, beside the own document."""
+    n = nodes(s, d)
+    own = routing.own_document(n)
+    return routing.specifications(n, "*pes*", own).withColumn("own", F.lit(False)).unionByName(own.withColumn("own", F.lit(True)))
+
+
 def run_report(s: SparkSession, d: str) -> DataFrame:
     m = store.upserted(read(s, d, "manifest"), "key", ["loaded_at"])
     return store.run_report(m.withColumn("domain", F.regexp_extract("source_path", "^in/([^/]*)/", 1)), "domain")
@@ -263,7 +278,7 @@ def fact_pages(s: SparkSession, d: str) -> DataFrame:
 
 
 
-QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_paths, topics_by_path, entity_pages, section_prompts, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, fact_pages)}
+QUERIES = {f.__name__: f for f in (manifest_upsert, manifest_status_merge, incremental_plan, source_plan, spec_documents, run_report, verify_hashes, history_recall, preference_latest, source_discovery, manifest_listing, coerce_atoms, module_classify, module_summary, entity_see_also, multi_doc_entities, edge_validate, cross_domain_entities, cached_lookup, cached_missing, verify_quote, resolve_pins, wiki_catalog, route_linked_spec, route_keyword, prd_section_map, route_evidence_v1, route_evidence_v2, route_paths, topics_by_path, entity_pages, section_prompts, route_counts, taxonomy_v1, taxonomy_v2, spec_owners, spec_section_map, fact_pages)}
 
 _STEM = r"regexp_replace(regexp_extract(source_path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1')"
 _DOMAIN = "regexp_extract(source_path, '^in/([^/]*)/', 1)"
@@ -317,6 +332,8 @@ ORACLE = {
     "manifest_upsert": f"SELECT key, source_path, source_sha256, status, adapter_name, output_sha256 FROM {_LATEST}",
     "manifest_status_merge": "SELECT key, arg_max_null(status, loaded_at) AS status, arg_max(source_sha256, loaded_at) AS source_sha256, arg_max(adapter_name, loaded_at) AS adapter_name, arg_max(output_sha256, loaded_at) AS output_sha256 FROM manifest GROUP BY key",
     "incremental_plan": rf"WITH o AS (SELECT * FROM manifest WHERE loaded_at < TIMESTAMP '{CUTOFF}' QUALIFY row_number() OVER (PARTITION BY key ORDER BY loaded_at DESC) = 1) SELECT n.key, CASE WHEN lower(regexp_extract(n.source_path, '[^/.](\.[^./]*)$', 1)) NOT IN ('.pdf', '.docx', '.xlsx') THEN 'skipped' WHEN o.source_sha256 = n.source_sha256 AND o.status = 'ok' THEN 'unchanged' ELSE 'extract' END AS action FROM {_LATEST} n LEFT JOIN o USING (key)",
+    "source_plan": f"WITH o AS (SELECT * FROM manifest WHERE loaded_at < TIMESTAMP '{CUTOFF}' QUALIFY row_number() OVER (PARTITION BY key ORDER BY loaded_at DESC) = 1) SELECT n.key, CASE WHEN o.source_sha256 = n.source_sha256 AND o.status = 'ok' AND o.adapter_name = 'pdf_v2' THEN 'unchanged' ELSE 'convert' END AS action FROM {_LATEST} n LEFT JOIN o USING (key)",
+    "spec_documents": "WITH o AS (SELECT min(doc_id) AS doc_id FROM sections WHERE contains(lower(doc_id), 'prd') OR contains(lower(doc_id), 'product requirements')) SELECT DISTINCT doc_id, false AS own FROM sections WHERE lower(doc_id) GLOB '*pes*' AND doc_id NOT IN (SELECT doc_id FROM o WHERE doc_id IS NOT NULL) UNION ALL SELECT doc_id, true FROM o WHERE doc_id IS NOT NULL",
     "run_report": f"SELECT *, CASE WHEN n_failed = 0 THEN 'ok' WHEN n_ok > 0 THEN 'partial' ELSE 'failed' END AS overall FROM (SELECT {_DOMAIN} AS domain, count(*) AS n, count(*) FILTER (status = 'ok') AS n_ok, count(*) FILTER (status = 'skipped') AS n_skipped, count(*) FILTER (status = 'failed') AS n_failed FROM {_LATEST} GROUP BY 1)",
     "verify_hashes": "WITH a AS (SELECT key, arg_min_null(output_sha256, loaded_at) AS recorded FROM manifest GROUP BY 1), b AS (SELECT key, arg_max_null(output_sha256, loaded_at) AS actual FROM manifest WHERE status = 'ok' GROUP BY 1) SELECT key, recorded, actual FROM a FULL JOIN b USING (key) WHERE recorded IS DISTINCT FROM actual",
     "history_recall": "SELECT event_id, ts, user_id FROM events WHERE event_type = 'click' ORDER BY event_id DESC LIMIT 20",

@@ -67,6 +67,14 @@ def redact_text(s: SparkSession, d: str) -> DataFrame:
     return _bodies(s, d).filter("body is not null").select("doc_id", "anchor", n.alias("n_redacted"), X.sha(t).alias("body_sha256"))
 
 
+def redact_titles(s: SparkSession, d: str) -> DataFrame:
+    """Titles of sections and paths of sources are redacted by the rules for bodies."""
+    t = _titles(s, d).filter("title is not null").select(F.concat_ws(" ", "doc_id", "node_id").alias("key"), F.col("title").alias("text"))
+    p = read(s, d, "manifest").select("key", F.col("source_path").alias("text")).filter("text is not null").distinct()
+    text, n = X.redacted(F.col("text"), REDACTION)
+    return t.unionByName(p).select("key", n.alias("n_redacted"), text.alias("text"))
+
+
 def file_names(s: SparkSession, d: str) -> DataFrame:
     p = F.col("source_path")
     return read(s, d, "manifest").select("key", "source_path").distinct().select("key", X.file_stem(p).alias("doc_id"), X.suffix(p).alias("suffix"), X.module_file_name(p).alias("flat_name"))
@@ -126,7 +134,7 @@ def parse_llm_json(s: SparkSession, d: str) -> DataFrame:
     return t.select("record_id", F.length(found).alias("n_chars"), F.json_array_length(found).alias("n_items"))
 
 
-QUERIES = {f.__name__: f for f in (tokenize, slugify, normalize_markdown, strip_images, extract_anchors, extract_wikilinks, ref_doc_numbers, inject_block_refs, redact_text, file_names, atom_id, prompt_hash, natural_sort, cells_to_html, pipe_table, format_value, parse_llm_json)}
+QUERIES = {f.__name__: f for f in (tokenize, slugify, normalize_markdown, strip_images, extract_anchors, extract_wikilinks, ref_doc_numbers, inject_block_refs, redact_text, redact_titles, file_names, atom_id, prompt_hash, natural_sort, cells_to_html, pipe_table, format_value, parse_llm_json)}
 
 _STOP = ", ".join(f"'{w}'" for w in X.STOPWORDS)
 DOCS = "(SELECT doc_id, any_value(text) AS text FROM documents GROUP BY doc_id)"
@@ -164,6 +172,7 @@ ORACLE = {
     "ref_doc_numbers": rf"SELECT DISTINCT doc_id, anchor, unnest(regexp_extract_all(body, '{X.REFERENCE_DOC}')) AS doc_number FROM {BODIES}",
     "inject_block_refs": r'''SELECT doc_id, sha256(regexp_replace(text, '<a id="(sec-\d+)"></a>\n(#{1,6} [^\n]*)', '<a id="\1"></a>' || chr(10) || '\2' || chr(10) || '^\1', 'g')) AS text_sha256 FROM ''' + DOCS + " WHERE text IS NOT NULL",
     "redact_text": f"SELECT doc_id, anchor, {_redact('body')[1]} AS n_redacted, sha256({_redact('body')[0]}) AS body_sha256 FROM {BODIES} WHERE body IS NOT NULL",
+    "redact_titles": f"SELECT key, {_redact('t')[1]} AS n_redacted, {_redact('t')[0]} AS text FROM (SELECT concat_ws(' ', doc_id, node_id) AS key, title AS t FROM {TITLES} WHERE title IS NOT NULL UNION ALL SELECT DISTINCT key, source_path FROM manifest WHERE source_path IS NOT NULL)",
     "file_names": r"SELECT key, regexp_replace(regexp_extract(source_path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1') AS doc_id, lower(regexp_extract(source_path, '[^/.](\.[^./]*)$', 1)) AS suffix, replace(replace(source_path, '/', '-'), ' ', '_') || '.md' AS flat_name FROM (SELECT DISTINCT key, source_path FROM manifest)",
     "atom_id": "SELECT atom_no, substr(sha256(lower(trim(coalesce(entity, ''))) || '|' || lower(trim(coalesce(parameter, ''))) || '|' || lower(trim(coalesce(condition, ''))) || '|' || coalesce(doc_id, '') || '|' || coalesce(section, '')), 1, 16) AS computed_id FROM (SELECT DISTINCT atom_no, entity, parameter, condition, doc_id, section FROM atoms)",
     "prompt_hash": f"SELECT doc_id, anchor, {PROMPT_SQL} AS prompt_hash FROM {BODIES}",

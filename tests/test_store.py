@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from strataframe.operators import facts, routing, store
@@ -58,3 +59,16 @@ def test_routes(spark):
 def test_quotes(spark):
     df = spark.createDataFrame([("a  b", "x a\nb y"), ("", "x"), ("zz", "z z")], "q string, b string")
     assert [r[0] for r in df.select(facts.quote_found(F.col("q"), F.col("b"))).collect()] == [True, False, False]
+
+
+def test_sources_are_converted_again_for_another_converter_or_policy(spark):
+    files = spark.createDataFrame([(k, "s1") for k in "abcdefg"] + [("h", None)], "key string, source_sha256 string")
+    rows = [("a", "s1", "v1", "p", "ok"), ("b", "s0", "v1", "p", "ok"), ("c", "s1", "v0", "p", "ok"), ("d", "s1", "v1", "q", "ok"), ("e", "s1", "v1", None, "ok"), ("f", "s1", "v1", "p", "failed"), ("h", None, "v1", "p", "ok")]
+    m = spark.createDataFrame(rows, "key string, source_sha256 string, version string, policy_sha256 string, status string")
+    assert {r.key for r in store.source_plan(files, m, "v1", "p").filter("action = 'unchanged'").collect()} == {"a"}
+    assert {r.key for r in store.source_plan(files, m, "v1").filter("action = 'unchanged'").collect()} == {"e"}
+
+
+def test_too_many_adapters_raise(spark):
+    with pytest.raises(ValueError, match="adapters"):
+        store.incremental_plan(spark.createDataFrame([("a", "x.pdf", "s")], "key string, source_path string, source_sha256 string"), spark.createDataFrame([], "key string, source_sha256 string, status string"), spark.range(store.MAX_ADAPTERS + 1).selectExpr("cast(id as string) as suffix"))
