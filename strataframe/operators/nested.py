@@ -307,6 +307,11 @@ def _state(spark: SparkSession, *tables: DataFrame) -> str | None:
     return hashlib.sha256(repr(seen).encode()).hexdigest()
 
 
+def forget() -> None:
+    """The next query parses and writes anew."""
+    _stored.clear()
+
+
 def stored(spark: SparkSession, index_trees: DataFrame, taxonomies: DataFrame) -> DataFrame:
     """The tagged rows of both tables, parsed and written once in a session for the same files.
 
